@@ -1,0 +1,82 @@
+"""Composed pipelines, on the given tables put into the shape of each feed."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from feedloom.plans import crm_daily, crm_daily_fused
+from feedloom.registry.base import query, rounded
+
+
+def crm_events(t):
+    """Events as the web export has them: a campaign (sometimes none), a city, a session."""
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    return t.events.select(
+        F.date_format("ts", "yyyyMMdd").alias("event_date"),
+        F.when(k % 7 != 0, F.concat(F.lit("campaign "), (k % 7).cast("string"))).alias("campaign_name_cross"),
+        F.when(F.col("user_id") % 11 != 0, F.concat(F.lit("city "), (F.col("user_id") % 5).cast("string"))).alias("city"),
+        F.when(k != 13, F.concat(F.lit("u"), F.col("user_id").cast("string"))).alias("user_pseudo_id"),
+        F.when(k != 21, k % 4).alias("ga_session_id"),
+        F.when(F.col("event_type") == "view", F.lit("page_view"))
+        .when(F.col("event_type") == "click", F.lit("add_to_cart")).otherwise(F.col("event_type")).alias("event_name"),
+        F.when(k != 34, k % 3 == 0).alias("is_active_user"),
+        F.when(F.col("event_type") == "purchase", F.col("value")).alias("purchase_revenue"),
+    )
+
+
+CRM_EVENTS = """crm AS (
+    SELECT strftime(ts, '%Y%m%d') AS event_date,
+           CASE WHEN k % 7 <> 0 THEN 'campaign ' || CAST(k % 7 AS VARCHAR) END AS campaign_name_cross,
+           CASE WHEN user_id % 11 <> 0 THEN 'city ' || CAST(user_id % 5 AS VARCHAR) END AS city,
+           CASE WHEN k <> 13 THEN 'u' || CAST(user_id AS VARCHAR) END AS user_pseudo_id,
+           CASE WHEN k <> 21 THEN k % 4 END AS ga_session_id,
+           CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'add_to_cart' ELSE event_type END AS event_name,
+           CASE WHEN k <> 34 THEN k % 3 = 0 END AS is_active_user,
+           CASE WHEN event_type = 'purchase' THEN value END AS purchase_revenue
+    FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events))"""
+
+CRM_PARTS = """views AS (
+    SELECT event_date, campaign_name_cross, city, CAST(sum(n) AS BIGINT) AS views FROM
+        (SELECT event_date, user_pseudo_id, city, campaign_name_cross, count(CASE WHEN event_name = 'page_view' THEN 1 END) AS n
+         FROM crm GROUP BY ALL) GROUP BY ALL),
+sessions AS (
+    SELECT event_date, campaign_name_cross, city,
+           count(DISTINCT user_pseudo_id || '-' || CAST(ga_session_id AS VARCHAR)) AS sessions FROM crm GROUP BY ALL),
+active_users AS (
+    SELECT event_date, campaign_name_cross, city, count(DISTINCT u) AS active_users FROM
+        (SELECT event_date, user_pseudo_id, city, campaign_name_cross, max(CASE WHEN is_active_user THEN user_pseudo_id END) AS u
+         FROM crm GROUP BY ALL) GROUP BY ALL),
+purchases AS (
+    SELECT event_date, campaign_name_cross, city, CAST(sum(carts) AS BIGINT) AS add_to_cart,
+           count(DISTINCT buyer) AS total_purchasers, coalesce(sum(paid), 0) AS revenue FROM
+        (SELECT event_date, user_pseudo_id, city, campaign_name_cross,
+                sum(CASE WHEN event_name = 'add_to_cart' THEN 1 ELSE 0 END) AS carts,
+                max(CASE WHEN event_name = 'purchase' THEN user_pseudo_id END) AS buyer, sum(purchase_revenue) AS paid
+         FROM crm GROUP BY ALL) GROUP BY ALL)"""
+
+
+@query("crm_daily", f"""
+    WITH {CRM_EVENTS}, {CRM_PARTS}
+    SELECT strftime(strptime(event_date, '%Y%m%d'), '%Y-%m-%d') AS EVENT_BR_TIMESTAMP,
+           campaign_name_cross AS CAMPAIGN_NAME_CROSS, city AS CITY, coalesce(views, 0) AS views,
+           coalesce(sessions, 0) AS sessions, coalesce(active_users, 0) AS active_users,
+           coalesce(add_to_cart, 0) AS add_to_cart, coalesce(total_purchasers, 0) AS total_purchasers,
+           round(coalesce(revenue, 0), 2) AS revenue
+    FROM views FULL OUTER JOIN sessions USING (event_date, campaign_name_cross, city)
+    FULL OUTER JOIN active_users USING (event_date, campaign_name_cross, city)
+    FULL OUTER JOIN purchases USING (event_date, campaign_name_cross, city)""")
+def crm_daily_query(t):
+    return crm_daily(crm_events(t)).withColumn("revenue", rounded("revenue"))
+
+
+@query("crm_daily_fused", f"""
+    WITH {CRM_EVENTS}
+    SELECT event_date, campaign_name_cross, city, count(*) FILTER (event_name = 'page_view') AS views,
+           count(DISTINCT user_pseudo_id || '-' || CAST(ga_session_id AS VARCHAR)) AS sessions,
+           count(DISTINCT CASE WHEN is_active_user THEN user_pseudo_id END) AS active_users,
+           count(*) FILTER (event_name = 'add_to_cart') AS add_to_cart,
+           count(DISTINCT CASE WHEN event_name = 'purchase' THEN user_pseudo_id END) AS total_purchasers,
+           round(coalesce(sum(purchase_revenue), 0), 2) AS revenue
+    FROM crm GROUP BY event_date, campaign_name_cross, city""")
+def crm_daily_fused_query(t):
+    return crm_daily_fused(crm_events(t)).withColumn("revenue", rounded("revenue"))

@@ -1,0 +1,73 @@
+"""Growing feeds.  The given event table is the landed feed; a query runs until all of it is loaded."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from feedloom.registry.base import query, stamp
+from feedloom.session import work_path
+from feedloom.streaming import Days, daily_backfill, stream_backfill, stream_dedupe, stream_files, stream_refresh
+
+
+def _landed(t):
+    # As a pattern, the path may be one file or a folder of many.
+    return stream_files(t.spark, t.path("events")[:-1] + "?", t.events.schema)
+
+
+def _clean(df):
+    return df.where(F.col("event_type") != "error").select(
+        "event_id", "ts", "user_id", F.upper("event_type").alias("event_type"), "value"
+    )
+
+
+def _shown(t, path):
+    rows = t.spark.read.parquet(path)
+    return rows.select(
+        "event_id", stamp("ts").alias("ts"), "user_id", "event_type", "value",
+        F.date_format("day", "yyyy-MM-dd").alias("day"),
+    )
+
+
+CLEANED = """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, upper(event_type) AS event_type, value,
+    strftime(ts, '%Y-%m-%d') AS day FROM events WHERE event_type <> 'error'"""
+
+
+def _by_day():
+    return Days(day=F.to_date("ts"), key="event_id")
+
+
+@query("stream_refresh", CLEANED)
+def stream_refresh_query(t):
+    path = work_path(t.spark, "events")
+    stream_refresh(_landed(t), path, path + "-state", _by_day(), _clean).awaitTermination()
+    return _shown(t, path)
+
+
+@query("stream_backfill", f"{CLEANED} AND ts < TIMESTAMP '2024-01-20'")
+def stream_backfill_query(t):
+    path = work_path(t.spark, "events")
+    stream_backfill(
+        _landed(t), "2024-01-20", "ts", path=path, checkpoint=path + "-state", by=_by_day(), transform=_clean
+    ).awaitTermination()
+    return _shown(t, path)
+
+
+@query("stream_dedupe", """
+    SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, event_type, value FROM events""")
+def stream_dedupe_query(t):
+    path = work_path(t.spark, "events")
+    twice = _landed(t).unionByName(_landed(t)).withColumn("ts", F.col("ts").cast("timestamp"))
+    (
+        stream_dedupe(twice, "event_id", "ts").writeStream.format("parquet")
+        .option("path", path).option("checkpointLocation", path + "-state")
+        .trigger(availableNow=True).start().awaitTermination()
+    )
+    rows = t.spark.read.parquet(path)
+    return rows.select("event_id", stamp("ts").alias("ts"), "user_id", "event_type", "value")
+
+
+@query("daily_backfill", f"{CLEANED} AND ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-21'")
+def daily_backfill_query(t):
+    path = work_path(t.spark, "events")
+    daily_backfill(t.events, path, "ts", "2024-01-03", "2024-01-20", _clean)
+    return _shown(t, path)
