@@ -1,4 +1,8 @@
-"""Number expressions.  A cast alone would accept ``5d`` and ``NaN``, so texts are matched first."""
+"""Number expressions.
+
+A cast alone would accept ``5d`` and ``NaN``.  Brazilian texts have lost their letters
+by the time they are cast; other texts are matched first.
+"""
 
 from __future__ import annotations
 
@@ -8,18 +12,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from feedloom.functions._column import ColumnLike, as_column
-from feedloom.functions.text import clean_text, null_tokens, strip
+from feedloom.functions.text import null_tokens, strip
 
 PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-WHOLE_NUMBER = r"^[+-]?\d+$"
 
 
 def number_text(c: ColumnLike) -> Column:
-    """Brazilian number text to a dot-decimal text.
+    """Brazilian number text to a dot-decimal text; empty when there is no digit or mark.
 
     Dots count as thousands marks only next to a comma, so ``1.234`` stays 1.234.
     """
-    kept = F.regexp_replace(clean_text(c), r"[^0-9,.\-]", "")
+    kept = F.regexp_replace(as_column(c), r"[^0-9,.\-]+", "")
     no_marks = F.when(
         F.contains(kept, F.lit(",")), F.replace(kept, F.lit("."), F.lit(""))
     ).otherwise(kept)
@@ -31,19 +34,20 @@ def comma_to_dot(c: ColumnLike) -> Column:
 
 
 def _double(text: Column) -> Column:
-    return F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double"))
+    return null_tokens(F.regexp_extract(text, PLAIN_NUMBER, 0), [""]).try_cast("double")
 
 
 def to_float(c: ColumnLike, ptbr: bool = True) -> Column:
-    return _double(number_text(c) if ptbr else strip(as_column(c).cast("string")))
+    if ptbr:
+        return number_text(c).try_cast("double")
+    return _double(strip(as_column(c).cast("string")))
 
 
 def to_int(c: ColumnLike, ptbr: bool = True) -> Column:
     """Whole number.  ``ptbr`` keeps the digits before the decimal mark; otherwise a
     text with a fraction is not a whole number and gives null."""
     if ptbr:
-        whole = F.split_part(number_text(c), F.lit("."), F.lit(1))
-        return F.when(whole.rlike(WHOLE_NUMBER), whole.try_cast("bigint"))
+        return F.split_part(number_text(c), F.lit("."), F.lit(1)).try_cast("bigint")
     text = strip(as_column(c).cast("string"))
     number = _double(text)
     # Through a decimal, so that long identifiers keep all their digits.

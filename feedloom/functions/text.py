@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from feedloom.functions._column import ColumnLike, as_column
 
 # The feeds strip Unicode whitespace, which is wider than Spark's trim (spaces
-# only) and than the regex class \s (ASCII only).
+# only) and than the regex class \s (ASCII only, unless the pattern says (?U)).
 WHITESPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
-SPACE_CLASS = "".join(f"\\x{{{ord(char):x}}}" for char in WHITESPACE)
+UNICODE = "(?U)"
+SPACES = r"\s\x1c-\x1f"
 
 # Letters whose plain form is not their Unicode base letter.
 SINGLE_LETTERS = {
@@ -31,7 +32,7 @@ LETTER_GROUPS = {
 MISSING_WORDS = ("", "NA", "NaN", "None")
 
 # Fixed value: what the cleaned names and places keep.
-LATIN_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+LATIN_LETTERS = "a-zA-ZÀ-ÖØ-öø-ÿ"
 
 
 def _plain_letters() -> tuple[str, str]:
@@ -54,16 +55,23 @@ def strip(c: ColumnLike) -> Column:
 
 def squash(c: ColumnLike) -> Column:
     """Strip, and turn each run of whitespace into one space."""
-    return strip(F.regexp_replace(as_column(c), f"[{SPACE_CLASS}]+", " "))
+    # A lone plain space, by far the most frequent run, is not matched at all.
+    runs = f"{UNICODE}[{SPACES}&&[^ ]][{SPACES}]*| [{SPACES}]+"
+    return strip(F.regexp_replace(as_column(c), runs, " "))
 
 
 def unaccent(c: ColumnLike) -> Column:
     """Latin text without accents; values that are already ASCII skip the work."""
     text = as_column(c)
-    plain = F.translate(text, ACCENTED, PLAIN)
+    single = F.translate(text, ACCENTED, PLAIN)
+    plain = single
     for group, replacement in LETTER_GROUPS.items():
         plain = F.replace(plain, F.lit(group), F.lit(replacement))
-    return F.when(text.rlike(r"[^\x00-\x7F]"), plain).otherwise(text)
+    return (
+        F.when(~text.rlike(r"[^\x00-\x7F]"), text)
+        .when(~text.rlike(f"[{''.join(LETTER_GROUPS)}]"), single)
+        .otherwise(plain)
+    )
 
 
 def normalize_text(c: ColumnLike) -> Column:
@@ -71,21 +79,24 @@ def normalize_text(c: ColumnLike) -> Column:
     return F.coalesce(unaccent(F.upper(strip(c))), F.lit(""))
 
 
-def clean_text(c: ColumnLike, upper: bool = True, missing: Sequence[str] = MISSING_WORDS) -> Column:
-    text = strip(c)
-    kept = F.when(~text.isin(*missing), text)
-    return F.upper(kept) if upper else kept
+def null_tokens(c: ColumnLike, tokens: Sequence[str]) -> Column:
+    """Null where the text is one of the tokens.
 
+    Filtering a one-entry array works the argument out once.  ``when(test, value)`` and
+    ``nullif`` repeat it, and in nested expressions the repetitions multiply.
+    """
+    return F.get(F.filter(F.array(as_column(c)), lambda text: ~text.isin(*tokens)), F.lit(0))
 
-def null_tokens(c: ColumnLike, tokens: Sequence[str]) -> Column:
-    text = as_column(c)
-    return F.when(~text.isin(*tokens), text)
+
+def clean_text(c: ColumnLike, upper: bool = True, missing: Sequence[str] = MISSING_WORDS) -> Column:
+    kept = null_tokens(strip(c), missing)
+    return F.upper(kept) if upper else kept
 
 
 def default_text(c: ColumnLike, value: str, blank: bool = True) -> Column:
     """``value`` where the text is null, and where it is empty unless ``blank`` is off."""
     text = as_column(c)
-    return F.coalesce(F.when(text != "", text) if blank else text, F.lit(value))
+    return F.coalesce(null_tokens(text, [""]) if blank else text, F.lit(value))
 
 
 def first_filled(*columns: ColumnLike) -> Column:
@@ -99,7 +110,7 @@ def full_name(*parts: ColumnLike) -> Column:
 
 
 def digits(c: ColumnLike) -> Column:
-    return F.regexp_replace(as_column(c), "[^0-9]", "")
+    return F.regexp_replace(as_column(c), "[^0-9]+", "")
 
 
 def clean_document(c: ColumnLike, length: int = 11, default: str = "-1") -> Column:
@@ -109,11 +120,11 @@ def clean_document(c: ColumnLike, length: int = 11, default: str = "-1") -> Colu
     its sign by then and cannot be told from it.
     """
     number = F.substring(digits(c), 1, length)
-    return F.coalesce(F.when(~number.isin("", "1"), number), F.lit(default))
+    return F.coalesce(null_tokens(number, ["", "1"]), F.lit(default))
 
 
 def letters_only(c: ColumnLike) -> Column:
-    return F.regexp_replace(as_column(c), f"[^{LATIN_LETTERS}{SPACE_CLASS}]", "")
+    return F.regexp_replace(as_column(c), f"{UNICODE}[^{LATIN_LETTERS}{SPACES}]+", "")
 
 
 def truncate(c: ColumnLike, length: int) -> Column:
@@ -124,9 +135,14 @@ def contains_norm(c: ColumnLike, token: str) -> Column:
     return F.contains(normalize_text(c), F.lit(token))
 
 
-def classify(c: ColumnLike, rules: Sequence[tuple[str, Sequence[str]]], default: str) -> Column:
-    """The first class, in order, one of whose tokens occurs in the normalised text."""
-    text = normalize_text(c)
+def classify(
+    c: ColumnLike, rules: Sequence[tuple[str, Sequence[str]]], default: str, normal: bool = False
+) -> Column:
+    """The first class, in order, one of whose tokens occurs in the normalised text.
+
+    ``normal`` says that the column already is normalised.
+    """
+    text = as_column(c) if normal else normalize_text(c)
     branches = [
         F.when(text.rlike("|".join(re.escape(token) for token in tokens)), F.lit(name))
         for name, tokens in rules
@@ -144,9 +160,7 @@ def label_year(c: ColumnLike, day: ColumnLike) -> Column:
 
 
 def strip_prefix(c: ColumnLike, prefix: str) -> Column:
-    text = as_column(c)
-    rest = F.substring(text, F.lit(len(prefix) + 1), F.length(text))
-    return F.when(F.startswith(text, F.lit(prefix)), rest).otherwise(text)
+    return F.regexp_replace(as_column(c), f"^\\Q{prefix}\\E", "")
 
 
 def json_text(c: ColumnLike) -> Column:

@@ -22,10 +22,12 @@ def exclude_patterns(
     df: DataFrame, patterns: Mapping[str, str], values: Mapping[str, str] | None = None
 ) -> DataFrame:
     """Drop rows equal to a value or matching a pattern; null subjects stay."""
-    tests = [F.col(name).rlike(pattern) for name, pattern in patterns.items()]
-    tests += [F.col(name) == value for name, value in (values or {}).items()]
-    for test in tests:
-        df = df.where(~F.coalesce(test, F.lit(False)))
+    # One pattern per column, so that a computed column is worked out once for the test.
+    excluded = {name: [pattern] for name, pattern in patterns.items()}
+    for name, value in (values or {}).items():
+        excluded.setdefault(name, []).append(f"^\\Q{value}\\E\\z")
+    for name, alternatives in excluded.items():
+        df = df.where(~F.coalesce(F.col(name).rlike("|".join(alternatives)), F.lit(False)))
     return df
 
 

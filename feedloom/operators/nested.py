@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.functions import squash, strip
+from feedloom.functions import squash, strip, strip_prefix
 from feedloom.operators.shape import quoted
 
 
@@ -89,9 +89,7 @@ def only_item(items: Column, field: str, on_many: str = "error") -> Column:
 
 def label_text(page: Column, pattern: str, prefix: str = "") -> Column:
     """Squashed text of the page's first match, without a leading prefix."""
-    text = squash(F.regexp_extract(page, pattern, 1))
-    rest = strip(F.substring(text, F.lit(len(prefix) + 1), F.length(text)))
-    return F.when(F.startswith(text, F.lit(prefix)), rest).otherwise(text) if prefix else text
+    return strip(strip_prefix(squash(F.regexp_extract(page, pattern, 1)), prefix))
 
 
 def html_records(

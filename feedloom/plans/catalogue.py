@@ -25,8 +25,7 @@ def catalogue_rows(df: DataFrame, order: Sequence[str] | None = None, venue: str
         "event_date_iso": F.date_format(parse_dt("event_date", DAY_FORMAT), "yyyy-MM-dd"),
         "match_norm": normalize_text("match"),
         "championship_norm": normalize_text("championship"),
-        "tipo_evento": classify("match", spec.EVENT_CLASSES, spec.GAME),
-    })
+    }).withColumn("tipo_evento", classify("match_norm", spec.EVENT_CLASSES, spec.GAME, normal=True))
     events = exclude_patterns(
         events,
         {"championship_norm": spec.EXCLUDED_CHAMPIONSHIPS, "match_norm": spec.EXCLUDED_MATCHES},

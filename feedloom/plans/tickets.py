@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from feedloom.functions import (
     clean_document,
     comma_to_dot,
+    default_text,
     is_document,
     letters_only,
     null_tokens,
@@ -66,8 +67,7 @@ def clean_tickets(df: DataFrame, box_office: bool = False) -> DataFrame:
     holder = F.when(_is_courtesy(), F.lit(spec.NO_DOCUMENT)).otherwise(
         strip(null_tokens("ticket_document", spec.NULL_TEXTS))
     )
-    buyer = F.upper(F.col("name"))
-    name = strip(F.when(strip(buyer) != "", buyer).otherwise(F.col("ticket_name")))
+    name = strip(F.when(strip("name") != "", F.upper("name")).otherwise(F.col("ticket_name")))
     if box_office:
         unnamed = (F.col("sale_from") == spec.BOX_OFFICE_SALE) & (F.coalesce(document, F.lit("")) == "")
         name = F.when(unnamed, F.lit(spec.BOX_OFFICE_NAME)).otherwise(name)
@@ -84,9 +84,9 @@ def clean_tickets(df: DataFrame, box_office: bool = False) -> DataFrame:
         "valor": _shown(comma_to_dot("valor")),
         "data_pagamento": parse_dt("data_pagamento"),
         "usado": to_bool("usado", TICKET_WORDS, default=False),
-        "setor": squash(F.when(sector == "", F.lit(spec.NOT_GIVEN)).otherwise(sector)),
+        "setor": squash(default_text(sector, spec.NOT_GIVEN)),
         "used_time": F.date_format(parse_dt("used_time"), "yyyy-MM-dd HH:mm:ss"),
-        "desconto": F.when(discount == "", F.lit(spec.NO_DISCOUNT)).otherwise(discount),
+        "desconto": default_text(discount, spec.NO_DISCOUNT),
         "taxa_conveniencia": _shown(comma_to_dot("taxa_conveniencia")),
         "ticket_name": _shown(strip(holder_name)),
         "documento_portador": _shown(holder),

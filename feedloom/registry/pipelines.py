@@ -108,7 +108,9 @@ def crm_daily_fused_query(t):
 
 # The feeds' shapes are written in SQL that both sides run; only the cleaning differs.
 def shaped(t, sql: str):
-    tables = {name: getattr(t, name) for name in TABLES if "{" + name + "}" in sql}
+    named = [name for name in TABLES if "{" + name + "}" in sql]
+    # The first table named is the one whose rows are cleaned; the others are looked up.
+    tables = {name: getattr(t, name) if i else t.spread(name) for i, name in enumerate(named)}
     return t.spark.sql(sql, **tables)
 
 
@@ -512,7 +514,7 @@ def load_entries_query(t):
         'size' AS SHIPPINGS_PRODUCTS_ALL_CONFIGURATIONS_KEY
     FROM (SELECT *, strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate_text FROM lineitem) JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""")
 def shop_orders_query(t):
-    joined = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
+    joined = t.spread("lineitem").join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         t.customer, F.col("o_custkey") == F.col("c_custkey")
     )
 
@@ -571,7 +573,7 @@ def shop_users_query(t):
         CASE l_returnflag WHEN 'R' THEN true WHEN 'A' THEN false END AS FLAG_ENTREGUE, l_linestatus AS STATUS_BRUTO, l_suppkey AS SUPPLIER_CODE
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""")
 def ecommerce_orders_query(t):
-    joined = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
+    joined = t.spread("lineitem").join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         t.customer, F.col("o_custkey") == F.col("c_custkey")
     )
 

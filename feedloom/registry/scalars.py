@@ -23,7 +23,7 @@ SOURCE_IN = """CASE CAST(doc_id % 6 AS INT) WHEN 0 THEN '  ' || source || ' ' WH
            trim(text, chr(9) || chr(10) || chr(13) || ' ') AS body
     FROM v""")
 def clean_text(t):
-    made = t.documents.select("doc_id", F.expr(SOURCE_IN).alias("s"), "text")
+    made = t.spread("documents").select("doc_id", F.expr(SOURCE_IN).alias("s"), "text")
     return made.select(
         "doc_id", fn.clean_text("s").alias("cleaned"), fn.clean_text("text", upper=False).alias("body")
     )
@@ -49,7 +49,7 @@ def parse_number_ptbr(t):
         .when(F.col("l_linenumber") == 6, F.lit("n/d"))
         .otherwise(F.lit("1-2"))
     )
-    return t.lineitem.select(
+    return t.spread("lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", fn.to_float(text).alias("price")
     )
 
@@ -71,7 +71,7 @@ def parse_int(t):
         .when(F.col("l_linenumber") == 4, F.lit("sem"))
         .otherwise(whole)
     )
-    return t.lineitem.select(
+    return t.spread("lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         fn.to_int(text).alias("brazilian"), fn.to_int(text, ptbr=False).alias("plain"),
     )
@@ -119,7 +119,7 @@ def utc_ms_text(t):
     FROM documents""")
 def normalize_text(t):
     text = F.when(F.col("doc_id") % 9 != 0, F.col("text"))
-    return t.documents.select("doc_id", fn.normalize_text(text).alias("normal"))
+    return t.spread("documents").select("doc_id", fn.normalize_text(text).alias("normal"))
 
 
 @query("parse_datetime", """
@@ -173,13 +173,13 @@ def clean_document(t):
 @query("letters_only", r"""
     SELECT doc_id, regexp_replace(text, '[^A-Za-zÀ-ÖØ-öø-ÿ\s]', '', 'g') AS letters FROM documents""")
 def letters_only(t):
-    return t.documents.select("doc_id", fn.letters_only("text").alias("letters"))
+    return t.spread("documents").select("doc_id", fn.letters_only("text").alias("letters"))
 
 
 @query("squash_spaces", r"""
     SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS line FROM documents""")
 def squash_spaces(t):
-    return t.documents.select("doc_id", fn.squash("text").alias("line"))
+    return t.spread("documents").select("doc_id", fn.squash("text").alias("line"))
 
 
 @query("comma_to_dot", """

@@ -98,7 +98,7 @@ def apply_line_spec(t):
         F.concat(F.lit(" flag "), F.lower("l_returnflag"))
     )
     word = F.when(F.col("l_returnflag") == "R", F.lit("SIM")).when(F.col("l_returnflag") == "A", F.lit("não"))
-    texts = t.lineitem.select(
+    texts = t.spread("lineitem").select(
         F.col("l_orderkey").cast("string").alias(" Order Key"), F.col("l_partkey").alias("part"),
         F.col("l_suppkey").alias("supplier"), F.col("l_linenumber").alias("line"),
         F.col("l_shipdate").cast("string").alias("Ship Date"), F.concat(F.lit("R$ "), price).alias("Unit Price"),

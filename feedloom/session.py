@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 # Every timestamp rule in the library is written for UTC.  The adaptive settings
 # are what splits a hot join key: a shuffle partition far above the median is cut
 # by map output, whatever its rows hold.  Broadcasts are left to the planner and
-# its size threshold; the library gives no broadcast hint of unproven size.
+# its size threshold; the library gives no broadcast hint of unproven size.  Wide
+# cleaning projections make methods the JVM will not compile (over 8000 bytes); past
+# that size Spark's split-up code is the faster one.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -18,6 +20,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 _local_work_folder: list[str] = []
