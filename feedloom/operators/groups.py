@@ -92,9 +92,10 @@ def base_row(
 def extremes(df: DataFrame, value: str) -> DataFrame:
     """The rows with the highest and with the lowest value, all ties included."""
     highest, lowest = df.agg(F.max(value)).scalar(), df.agg(F.min(value)).scalar()
-    return df.select("*", F.lit("highest").alias("extreme")).where(F.col(value) == highest).unionByName(
-        df.select("*", F.lit("lowest").alias("extreme")).where(F.col(value) == lowest)
-    )
+    marks = F.array_compact(F.array(
+        F.when(F.col(value) == highest, F.lit("highest")), F.when(F.col(value) == lowest, F.lit("lowest"))
+    ))
+    return df.select("*", F.explode(marks).alias("extreme"))
 
 
 def above_mean(df: DataFrame, value: str) -> DataFrame:

@@ -19,9 +19,11 @@ from feedloom.session import cut_lineage
 WINDOW_ROWS = 2_000_000
 
 
-def _largest_group(df: DataFrame, by: Sequence[str]) -> int:
+def _sizes(df: DataFrame, by: Sequence[str]) -> tuple[int, int]:
+    """Rows in the largest group, and in the table."""
     counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
+    largest, total = counts.agg(F.max("n"), F.sum("n")).first()
+    return largest or 0, total or 0
 
 
 def _asc(column: str | Column) -> Column:
@@ -29,15 +31,14 @@ def _asc(column: str | Column) -> Column:
 
 
 def _spread_position(
-    df: DataFrame, by: list[str], order: list[Column], name: str, parts: int | None
+    df: DataFrame, by: list[str], order: list[Column], name: str, parts: int
 ) -> DataFrame:
     # Rows alike in every order column are told apart by their id; any order among
     # them is right, and a run of them can still be cut across tasks.
     keyed = df.withColumn("_row", F.monotonically_increasing_id())
     bounds = [F.col(c) for c in by] + order + [F.col("_row")]
-    count = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = cut_lineage(
-        keyed.repartitionByRange(count, *bounds).withColumn("_part", F.spark_partition_id())
+        keyed.repartitionByRange(parts, *bounds).withColumn("_part", F.spark_partition_id())
     )
     sizes = ranged.groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -66,12 +67,18 @@ def with_position(
     window_rows: int = WINDOW_ROWS,
     parts: int | None = None,
 ) -> DataFrame:
-    """1, 2, 3, … in each group, in a given order.  An empty ``by`` ranks the whole table."""
+    """1, 2, 3, … in each group, in a given order.  An empty ``by`` ranks the whole table.
+
+    ``parts`` is the number of tasks a large table is spread over; by default enough for
+    none to hold more than ``window_rows``.
+    """
     by, order = list(by), [_asc(c) for c in order]
-    if by and _largest_group(df, by) <= window_rows:
+    largest, total = _sizes(df, by)
+    if by and largest <= window_rows:
         window = Window.partitionBy(*by).orderBy(*order)
         return df.withColumn(name, F.row_number().over(window).cast("bigint"))
-    return _spread_position(df, by, order, name, parts)
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _spread_position(df, by, order, name, parts or max(least, -(-total // window_rows)))
 
 
 def top_bottom(

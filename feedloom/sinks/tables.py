@@ -30,22 +30,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(location)
 
 
+def _by_partition(df: DataFrame, column: str | None):
+    """A writer; rows of a partitioned table are first gathered by partition, and adaptive
+    execution splits a partition that holds too much into several files."""
+    if column is None:
+        return df.write
+    return df.hint("rebalance", column).write.partitionBy(column)
+
+
 def full_refresh(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
     """Replace the table; returns it as written.  The path must not be one ``df`` reads."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    writer = _by_partition(df, partition_by).mode("overwrite")
+    writer.option("partitionOverwriteMode", "static").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def append(df: DataFrame, path: str, max_rows: int = 0, partition_by: str | None = None) -> DataFrame:
     """Add the rows; ``max_rows`` bounds the rows per file, not the rows written."""
-    writer = df.write.mode("append")
+    writer = _by_partition(df, partition_by).mode("append")
     if max_rows:
         writer = writer.option("maxRecordsPerFile", max_rows)
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -64,8 +68,7 @@ def replace_partitions(df: DataFrame, path: str, column: str, touched: Iterable[
     """Rewrite the touched partitions of a table with these rows, leaving all others alone.
 
     ``df`` may read the same path: Spark writes beside it and swaps partitions at commit.
-    Rows are first gathered by partition; adaptive execution splits a partition that
-    holds too much into several files.  Touched partitions that get no row are dropped.
+    Touched partitions that get no row are dropped.
     Values are dates or whole numbers; ``None`` is the partition of null values.
     """
     spark = df.sparkSession

@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Where the feeds put their record list, in order of preference.  A path
-# that holds JSON text (instead of an object) is parsed by the same lookup.
-LIST_PATHS = (
-    "$.tickets", "$[0].tickets", "$.result.rows", "$.orders", "$.users", "$.events", "$.data", "$.rows", "$",
-)
-ERROR_PATH = "$.error"
-RESULT_PATH = "$.result"
+from feedloom.functions import strip
+
+# Members that hold the record list, in order of preference; "result" holds
+# the second one, as an object or as JSON text.
+LIST_MEMBERS = ("tickets", "rows", "orders", "users", "events", "data")
+RESULT, ERROR = "result", "error"
+RESULT_LIST = "rows"
+# What an error member looks like when there is no error.
+NO_ERROR = ("", "false", "0", "[]", "{}")
 
 CHUNK = 10_000
 
@@ -28,26 +30,43 @@ def unwrap_pages(
     body: str,
     row_schema: T.StructType,
     keep: Sequence[str] = (),
-    paths: Sequence[str] = LIST_PATHS,
+    members: Sequence[str] = LIST_MEMBERS,
+    strict: bool = True,
 ) -> DataFrame:
     """One row per record of every page, typed by ``row_schema``.
 
-    A page is a bare list, or an object (or a list of one object) with the list under
-    one of ``paths``; ``result`` may be an object or JSON text.  A page that reports an
-    error stops the job; an empty list gives no rows.
+    A page is a bare list, a list of one object, or an object with the list under one of
+    ``members`` or under ``result``.  An empty list gives no rows.  A page that reports an
+    error stops the job, and so does one without any list unless ``strict`` is off.
+
+    An object is parsed once, into all the members it might have; text in the place of a
+    parsed value is what Spark gives for a member declared as a string.
     """
-    text = F.col(body)
-    error = F.get_json_object(text, ERROR_PATH)
-    failed = error.isNotNull() & ~error.isin("", "false", "null", "0", "[]", "{}")
-    # A result given as JSON text comes back unquoted from the lookup and can be read again.
-    inner = F.get_json_object(text, RESULT_PATH)
-    found = [F.get_json_object(text, path) for path in paths]
-    found.insert(0, F.get_json_object(inner, "$.rows"))
-    listed = [F.when(F.startswith(f, F.lit("[")), f) for f in found]
-    checked = F.when(failed, F.raise_error(F.concat(F.lit("page reports error: "), error)))
-    pages = df.select(*keep, F.coalesce(checked, *listed).alias("_list"))
-    records = F.from_json("_list", T.ArrayType(row_schema))
-    return pages.select(*keep, F.explode(records).alias("_row")).select(*keep, "_row.*")
+    listed = T.ArrayType(row_schema)
+    page = T.StructType([
+        T.StructField(ERROR, T.StringType()), T.StructField(RESULT, T.StringType()),
+        *[T.StructField(name, listed) for name in members],
+    ])
+    inner = T.StructType([T.StructField(RESULT_LIST, listed)])
+    is_list = F.startswith(strip(body), F.lit("["))
+    wrapped = F.get_json_object(body, f"$[0].{members[0]}")
+    opened = df.select(
+        *keep,
+        F.when(~is_list, F.from_json(body, page)).alias("_page"),
+        F.when(is_list, F.coalesce(F.from_json(wrapped, listed), F.from_json(body, listed))).alias("_bare"),
+    )
+    opened = opened.withColumn("_result", F.from_json(f"_page.{RESULT}", inner)[RESULT_LIST])
+    lists = ["_bare", f"_page.{members[0]}", "_result", *[f"_page.{name}" for name in members[1:]]]
+    # The first list with records, else any list at all.
+    filled = [F.when(F.size(name) > 0, F.col(name)) for name in lists]
+    failure = F.when(
+        ~F.col(f"_page.{ERROR}").isin(*NO_ERROR),
+        F.raise_error(F.concat(F.lit("page reports error: "), F.col(f"_page.{ERROR}"))).cast(listed),
+    )
+    nothing = F.raise_error(F.lit("page holds no record list")).cast(listed)
+    otherwise = [F.col(name) for name in lists] + ([nothing] if strict else [])
+    records = F.coalesce(failure, *filled, *otherwise)
+    return opened.select(*keep, F.explode(records).alias("_row")).select(*keep, "_row.*")
 
 
 def missing_pages(df: DataFrame, feed: str, page: str, pages: str | None = None) -> DataFrame:

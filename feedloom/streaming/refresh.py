@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from feedloom.sinks.tables import path_exists, replace_partitions
+from feedloom.functions import day_range
+from feedloom.sinks.tables import days_between, path_exists, replace_partitions
 
 # The cycle and the hour the loop ends.
 CYCLE = "300 seconds"
@@ -129,9 +130,6 @@ def daily_backfill(
     day_column: str = "day",
 ) -> None:
     """Reload a range of days in one job: the days are partitions, not loop turns."""
-    from feedloom.functions import day_range
-    from feedloom.sinks.tables import days_between
-
     window = df.where(day_range(moment, start, end))
     rows = transform(window).withColumn(day_column, F.to_date(moment))
     replace_partitions(rows, path, day_column, days_between(start, end))

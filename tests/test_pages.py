@@ -4,20 +4,19 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedloom.operators.nested import first_of, html_records, label_text, last_of, only_item, pivot_params
 from feedloom.sources import PagesMissing, check_pages, missing_pages, unwrap_pages
 from feedloom.sources import pages as pages_module
 from tests.conftest import rows
 
-RECORD = "struct<id: int, name: string>"
+RECORD = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType())])
 
 
 def opened(spark, *bodies):
-    from pyspark.sql.types import _parse_datatype_string
-
     frame = spark.createDataFrame([(b if isinstance(b, str) else json.dumps(b, ensure_ascii=False),) for b in bodies], "body string")
-    return rows(unwrap_pages(frame, "body", _parse_datatype_string(RECORD)))
+    return rows(unwrap_pages(frame, "body", RECORD))
 
 
 def test_every_envelope(spark):
@@ -35,6 +34,25 @@ def test_every_envelope(spark):
 def test_reported_error_stops_the_job(spark):
     with pytest.raises(Exception, match="page reports error: denied"):
         opened(spark, {"error": "denied", "result": {"rows": []}})
+    with pytest.raises(Exception, match="page reports error: .*code"):
+        opened(spark, {"error": {"code": 7}, "tickets": [{"id": 1}]})
+    assert opened(spark, {"error": False, "tickets": [{"id": 1}]}) == [(1, None)]
+
+
+@pytest.mark.parametrize("body", ["", "not json", '{"message": "hello"}', '{"tickets": '])
+def test_page_without_a_list_stops_the_job(spark, body):
+    with pytest.raises(Exception, match="page holds no record list"):
+        opened(spark, body)
+
+
+def test_page_without_a_list_can_be_passed_over(spark):
+    frame = spark.createDataFrame([("{}",), ('[{"id": 1}]',)], "body string")
+    schema = T.StructType([T.StructField("id", T.IntegerType())])
+    assert rows(unwrap_pages(frame, "body", schema, strict=False)) == [(1,)]
+
+
+def test_empty_list_gives_way_to_the_next(spark):
+    assert opened(spark, {"orders": [], "data": [{"id": 3}]}) == [(3, None)]
 
 
 @pytest.mark.parametrize("chunk", [2, 10_000])
