@@ -19,7 +19,6 @@ from feedloom.functions import (
     truncate,
 )
 from feedloom.functions.flags import ENTRY_WORDS
-from feedloom.functions.text import null_tokens
 
 # How each declared kind is read.  "raw" columns pass through.
 SHOP_KINDS: dict[str, Callable[[str], Column]] = {
@@ -31,8 +30,8 @@ SHOP_KINDS: dict[str, Callable[[str], Column]] = {
     "raw": F.col,
 }
 ENTRY_KINDS: dict[str, Callable[[str], Column]] = {
-    # Only the exactly empty text is missing here: a text of spaces ends up empty.
-    "text": lambda c: F.upper(strip(null_tokens(c, [""]))),
+    # The feed's empty texts are null already; a text of spaces ends up empty.
+    "text": lambda c: F.upper(strip(c)),
     "float": lambda c: to_float(c, ptbr=False),
     "int": lambda c: to_int(c, ptbr=False),
     "bool": lambda c: to_bool(c, ENTRY_WORDS),

@@ -12,21 +12,21 @@ from feedloom.registry.pipelines import CRM_EVENTS, CRM_PARTS, crm_events
 
 
 def people(t):
-    """Two versions of each customer: one closed, one open (every tenth has no open one)."""
+    """Two versions of each customer: one closed, one open (but none open in one segment)."""
     base = t.customer.select(
         F.col("c_custkey").alias("cpf"), F.col("c_custkey").alias("sk_pessoa"), F.col("c_name").alias("nome"),
-        F.when(F.col("c_custkey") % 4 != 0, F.concat("c_name", F.lit("@mail.com"))).alias("email"),
+        F.when(F.col("c_custkey") % 4 != 0, F.concat("c_name", F.lit("@mail.com"))).alias("email"), "c_mktsegment",
     )
     closed = base.withColumn("load_end_date", F.lit("1997-01-01")).withColumn("sk_pessoa", -F.col("sk_pessoa"))
-    current = base.where(F.col("cpf") % 10 != 0).withColumn("load_end_date", F.lit(None).cast("string"))
-    return stack_frames(closed, current)
+    current = base.where(F.col("c_mktsegment") != "FURNITURE").withColumn("load_end_date", F.lit(None).cast("string"))
+    return stack_frames(closed, current).drop("c_mktsegment")
 
 
 PEOPLE = """people AS (
     SELECT c_custkey AS cpf, -c_custkey AS sk_pessoa, c_name AS nome,
            CASE WHEN c_custkey % 4 <> 0 THEN c_name || '@mail.com' END AS email, '1997-01-01' AS load_end_date FROM customer
     UNION ALL SELECT c_custkey, c_custkey, c_name, CASE WHEN c_custkey % 4 <> 0 THEN c_name || '@mail.com' END, NULL
-    FROM customer WHERE c_custkey % 10 <> 0)"""
+    FROM customer WHERE c_mktsegment <> 'FURNITURE')"""
 
 
 @query("join_current", f"""

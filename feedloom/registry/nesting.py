@@ -44,20 +44,22 @@ LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
            CASE WHEN l_linenumber IN (1, 2) THEN l_linestatus WHEN l_linenumber >= 5 THEN 'second' END AS payments_method,
            CASE WHEN l_linenumber IN (1, 2) THEN l_extendedprice WHEN l_linenumber >= 5 THEN l_quantity END AS payments_value,
-           CASE WHEN l_linenumber IN (1, 2) OR l_linenumber >= 5 THEN l_returnflag END AS "payments_card.brand"
+           CASE WHEN l_linenumber IN (1, 2) OR l_linenumber >= 5 THEN l_returnflag END AS payments_card_brand
     FROM lineitem""")
 def array_first(t):
-    return nested.first_of(t.lineitem.select(*LINE, _payments()), "payments", "payments_")
+    opened = nested.first_of(t.lineitem.select(*LINE, _payments()), "payments", "payments_")
+    return opened.withColumnRenamed("payments_card.brand", "payments_card_brand")
 
 
 @query("array_last", """
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
            CASE WHEN l_linenumber = 1 THEN l_linestatus WHEN l_linenumber = 2 OR l_linenumber >= 5 THEN 'second' END AS statuses_method,
            CASE WHEN l_linenumber = 1 THEN l_extendedprice WHEN l_linenumber = 2 OR l_linenumber >= 5 THEN l_quantity END AS statuses_value,
-           CASE WHEN l_linenumber IN (1, 2) OR l_linenumber >= 5 THEN l_returnflag END AS "statuses_card.brand"
+           CASE WHEN l_linenumber IN (1, 2) OR l_linenumber >= 5 THEN l_returnflag END AS statuses_card_brand
     FROM lineitem""")
 def array_last(t):
-    return nested.last_of(t.lineitem.select(*LINE, _payments()), "payments", "statuses_")
+    opened = nested.last_of(t.lineitem.select(*LINE, _payments()), "payments", "statuses_")
+    return opened.withColumnRenamed("statuses_card.brand", "statuses_card_brand")
 
 
 def key_value(key, text=None, number=None):

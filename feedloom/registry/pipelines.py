@@ -34,8 +34,9 @@ from feedloom.session import work_path
 
 def crm_events(t):
     """Events as the web export has them: a campaign (sometimes none), a city, a session."""
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    return t.events.select(
+    k = F.col("k")
+    made = t.events.withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
+    return made.select(
         F.date_format("ts", "yyyyMMdd").alias("event_date"),
         F.when(k % 7 != 0, F.concat(F.lit("campaign "), (k % 7).cast("string"))).alias("campaign_name_cross"),
         F.when(F.col("user_id") % 11 != 0, F.concat(F.lit("city "), (F.col("user_id") % 5).cast("string"))).alias("city"),
@@ -164,7 +165,7 @@ def event_base_query(t):
             for name, value in members.items()
         ])
 
-    made = t.events.withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
+    made = t.spread("events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
     k, user = F.col("k"), text(F.col("user_id"))
     item = struct(item_name=F.concat(F.lit("item "), text(k)), item_category3="mensal", item_category4=None,
                   coupon=F.concat(F.lit("C"), user))
@@ -472,7 +473,8 @@ SELECT l_orderkey * 100000000 + l_partkey * 1000 + l_linenumber AS seq, l_suppke
     'inteira' AS dscinterna, l_returnflag AS dsctipoproduto, CASE l_returnflag WHEN 'N' THEN 'pa' ELSE 'ca' END AS status,
     CASE WHEN l_linenumber = 4 THEN 'x' ELSE CAST(l_quantity AS VARCHAR(20)) END AS valor, CAST(l_tax AS VARCHAR(20)) AS valor_taxa,
     CASE WHEN l_linenumber = 5 THEN 'n/a' ELSE CAST(l_suppkey AS VARCHAR(20)) END AS cartao,
-    CASE l_linenumber WHEN 1 THEN 's' WHEN 2 THEN 'N' WHEN 3 THEN '1' WHEN 4 THEN 'sim' END AS acesso_entrou, l_discount AS extra
+    CASE l_linenumber WHEN 1 THEN 's' WHEN 2 THEN 'N' WHEN 3 THEN '1' WHEN 4 THEN 'sim' END AS acesso_entrou, l_discount AS extra,
+    CASE WHEN l_returnflag = 'A' THEN '' ELSE ' livre' END AS nota
 FROM {lineitem}"""
 
 ENTRIES = f"""
@@ -481,7 +483,8 @@ ENTRIES = f"""
     entries AS (SELECT upper(trim(idacesso)) AS IDACESSO, upper(idapresentacao) AS IDAPRESENTACAO, codigo AS CODIGO, upper(trim(titulo)) AS CAMPEONATO,
         upper(trim(nullif(dscapresentacao, ''))) AS PARTIDA, 'INTEIRA' AS TIPO_INGRESSO, dsctipoproduto AS TIPO_PRODUTO, upper(status) AS STATUS,
         TRY_CAST(valor AS DOUBLE) AS VALOR, CAST(valor_taxa AS DOUBLE) AS VALOR_TAXA, TRY_CAST(cartao AS BIGINT) AS CARTAO,
-        CASE WHEN acesso_entrou IN ('s', '1') THEN true WHEN acesso_entrou = 'N' THEN false END AS ACESSO_ENTROU, extra AS EXTRA FROM d)"""
+        CASE WHEN acesso_entrou IN ('s', '1') THEN true WHEN acesso_entrou = 'N' THEN false END AS ACESSO_ENTROU, extra AS EXTRA,
+        nullif(nota, '') AS NOTA FROM d)"""
 
 
 def entries_in(t):

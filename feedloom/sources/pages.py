@@ -72,8 +72,9 @@ def unwrap_pages(
 def missing_pages(df: DataFrame, feed: str, page: str, pages: str | None = None) -> DataFrame:
     """Page numbers from 1 to the announced count (or the highest seen) that did not land.
 
-    Feeds that are complete are settled by counting; only for the others are numbers
-    written out, in chunks, so that one long feed is spread over many tasks.
+    Feeds that are complete are settled by counting.  Only for the others are landed
+    pages compared and numbers written out, in chunks, so that one long feed is spread
+    over many tasks.
     """
     expected = F.max(pages or page).cast("bigint")
     in_range = F.when(F.col(page) >= 1, F.col(page))
@@ -88,7 +89,7 @@ def missing_pages(df: DataFrame, feed: str, page: str, pages: str | None = None)
     first = F.col("_chunk") * CHUNK + 1
     last = F.least(F.col("_expected"), F.col("_chunk") * CHUNK + CHUNK)
     numbers = chunks.select(feed, F.explode(F.sequence(first, last)).alias(page))
-    landed = df.select(feed, F.col(page).cast("bigint").alias(page)).distinct()
+    landed = df.select(feed, F.col(page).cast("bigint").alias(page)).join(short, feed, "left_semi").distinct()
     return numbers.join(landed, [feed, page], "left_anti")
 
 
