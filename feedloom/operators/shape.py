@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -113,7 +113,3 @@ def stack_frames(first: DataFrame, *others: DataFrame) -> DataFrame:
     for other in others:
         stacked = stacked.unionByName(other, allowMissingColumns=True)
     return stacked
-
-
-def select_present(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return df.select([name for name in names if name in df.columns])
