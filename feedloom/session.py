@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +19,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
-_local_work_folder: list[str] = []
-
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators rely on; returns the session."""
@@ -42,16 +39,11 @@ def build_session(app: str = "feedloom", master: str | None = None, **settings:
 def work_folder(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    Where that is unset (tests, a single machine) it is a folder of the session's own
+    warehouse, ``spark.sql.warehouse.dir``, which every executor can reach as well.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    if not _local_work_folder:
-        _local_work_folder.append(tempfile.mkdtemp(prefix="feedloom-"))
-    return _local_work_folder[0]
+    return shared.rstrip("/") if shared else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
 
 
 def work_path(spark: SparkSession, name: str) -> str:

@@ -17,7 +17,7 @@ def oracle():
     return oracle_connection(SF)
 
 
-@pytest.mark.parametrize("key", list(entry.queries()))
+@pytest.mark.parametrize("key", list(entry.QUERIES))
 def test_query_equals_its_sql(spark, oracle, key):
     result = entry.queries()[key](spark, SF)
     sql = entry.oracle_sql().get(key)
@@ -32,7 +32,7 @@ def test_flagship(spark):
 
 
 def test_only_the_run_log_has_no_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"run_log"}
+    assert set(entry.QUERIES) - set(entry.ORACLE) == {"run_log"}
 
 
 def test_inventory_is_covered():

@@ -2,8 +2,6 @@ from __future__ import annotations
 
 from types import SimpleNamespace
 
-import pytest
-
 from feedloom import session
 
 
@@ -18,10 +16,9 @@ def test_work_folder_is_the_one_the_cluster_names():
     assert session.work_path(shared, "t") != session.work_path(shared, "t")
 
 
-def test_only_a_local_session_may_have_its_own():
-    assert session.work_folder(fake("local[4]")) == session.work_folder(fake("local[4]"))
-    with pytest.raises(ValueError):
-        session.work_folder(fake("yarn"))
+def test_unset_it_lies_in_the_warehouse_on_every_master():
+    for master in ("local[4]", "yarn"):
+        assert session.work_folder(fake(master, **{"spark.sql.warehouse.dir": "hdfs:///w/"})) == "hdfs:///w/_work"
 
 
 def test_settings_are_applied(spark):
