@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from feedloom.llm import ngrams
 from feedloom.llm.packing import pack
 
 QUERIES = {}
@@ -19,6 +21,18 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def fold(folds: int):
+    """The part of the rows that a document's id falls into; none for a null id."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds))
+
+
+@query
+def op4_ngram_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").withColumn("held_out", F.coalesce(fold(5) == 1, F.lit(False)))
+    model = ngrams.fit(docs.where("not held_out"))
+    return ngrams.score(docs, model, "doc_id", "held_out")
+
+
 @query
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
