@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import ngrams
+from feedloom.llm import ngrams, toxicity
 from feedloom.llm.packing import pack
 
 QUERIES = {}
@@ -33,6 +33,20 @@ def op4_ngram_scores(spark: SparkSession, folder: str) -> DataFrame:
     return ngrams.score(docs, model, "doc_id", "held_out")
 
 
+TOXIC_AT = 0.3
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    return toxicity.fit(docs, labels.where(fold(4) != 2))
+
+
+@query
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").withColumn("held_out", F.coalesce(fold(4) == 2, F.lit(False)))
+    scored = toxicity.score(docs, fit_toxicity(docs, read(spark, folder, "labels")), "doc_id", "held_out")
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC_AT).cast("int"))
+
+
 @query
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
