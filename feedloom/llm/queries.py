@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import ngrams, toxicity
+from feedloom.llm import licenses, ngrams, toxicity
 from feedloom.llm.packing import pack
 
 QUERIES = {}
@@ -26,6 +26,12 @@ def fold(folds: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds))
 
 
+@query
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return licenses.summarise(licenses.scan(docs, licenses.frequencies(docs), "doc_id"))
+
+
 @query
 def op4_ngram_scores(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").withColumn("held_out", F.coalesce(fold(5) == 1, F.lit(False)))

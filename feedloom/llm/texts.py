@@ -87,6 +87,13 @@ class Words(NamedTuple):
     end: np.ndarray
     hash: np.ndarray
     first: np.ndarray  # of each document, its first word's number; one more at the end
+    total: np.ndarray  # running sum that the hashes are differences of
+
+    def prefix(self, size: int) -> np.ndarray:
+        """Hashes of the first ``size`` bytes of each word, apart from those of words; of longer words only, else 0."""
+        end = np.minimum(self.start + size, self.end)
+        hashes = mixed((self.total[end] - self.total[self.start]) * powers(len(self.total), True)[self.start] + np.uint64(size))
+        return np.where(self.end - self.start > size, hashes, np.uint64(0))
 
     def document(self) -> np.ndarray:
         """The document of each word, by number in the chunk."""
@@ -109,7 +116,7 @@ def words(chunk: Chunk, inside: np.ndarray, fold: np.ndarray = LOWER) -> Words:
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(len(data))[:len(data)], out=total[1:])
     hashes = mixed((total[end] - total[start]) * powers(len(data), True)[start])
-    return Words(start, end, hashes, np.searchsorted(start, offsets))
+    return Words(start, end, hashes, np.searchsorted(start, offsets), total)
 
 
 def binary(column: np.ndarray) -> bytes:

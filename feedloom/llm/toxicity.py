@@ -1,9 +1,10 @@
 """Toxic passages by maximum-scoring segments over token log-odds, calibrated by extreme values.
 
 Fitting reads a bounded sample of labelled rows (``sample``, by hash of the id), and nothing but their texts
-and labels.  A token's score is its log-odds between toxic and clean texts under a Dirichlet prior
-proportional to the token's frequency (``prior`` pseudo-tokens); tokens whose log-odds are not ``z`` standard
-errors above zero cost ``drift``.  A linear scan finds every maximal segment of a text.  For clean texts the
+and labels.  A token is a word; its stems, its first 4, 5 and 6 bytes, are scored alike, for languages that
+inflect, and the word takes the largest score among them.  A score is the log-odds between toxic and clean texts under a Dirichlet prior
+proportional to its frequency (``prior`` times as many pseudo-tokens as the sample has); words with none that lies ``z`` standard errors above
+zero cost ``drift``.  A linear scan finds every maximal segment of a text.  For clean texts the
 number of segments scoring s or more in n tokens is about K n exp(-lambda s); a passage is significant where
 that is below one, and a text's evidence is the sum of -log of it over its significant passages.  A logistic
 curve, fitted to evidence from scores learnt on the other half of the sample, turns evidence into the
@@ -28,9 +29,11 @@ from feedloom.llm.texts import WORD, chunks, words
 SAMPLE = 32_768  # labelled rows read for fitting
 TERMS = 65_536  # scored tokens a model may hold, most significant first
 Z = 3.0
-PRIOR = 10_000.0
+PRIOR = 0.05
 DRIFT = 0.1
 HALVES = 2
+STEMS = (4, 5, 6)
+ALL = np.uint64(0)  # stands for any word: its counts are the totals
 
 
 @dataclass
@@ -65,16 +68,25 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(s, e, r - b) for s, e, b, r in found]
 
 
-def _found(hashes: np.ndarray, first: np.ndarray, model: Model) -> list[tuple[int, int, int, float]]:
+def _features(w) -> np.ndarray:
+    """The word and its stems, a column of hashes for each word."""
+    return np.stack([w.hash, *(w.prefix(size) for size in STEMS)])
+
+
+def _found(features: np.ndarray, first: np.ndarray, model: Model) -> list[tuple[int, int, int, float]]:
     """Segments of each document of a chunk, as (document, first word, end word, score).
 
     Only scored tokens are walked through: between two of them lies a run of equal costs, taken as one.
     """
     if not len(model.tokens):
         return []
-    at = np.minimum(np.searchsorted(model.tokens, hashes), len(model.tokens) - 1)
-    hits = np.flatnonzero(model.tokens[at] == hashes)
-    value = model.scores[at[hits]]
+    value = np.zeros(features.shape[1])
+    for hashes in features:
+        at = np.minimum(np.searchsorted(model.tokens, hashes), len(model.tokens) - 1)
+        hits = np.flatnonzero(model.tokens[at] == hashes)
+        value[hits] = np.maximum(value[hits], model.scores[at[hits]])
+    hits = np.flatnonzero(value)
+    value = value[hits]
     document = np.searchsorted(first, hits, "right") - 1
     found = []
     for a, b in _runs(document):
@@ -95,7 +107,7 @@ def _runs(keys: np.ndarray):
 def _log_odds(toxic, clean, toxic_all, clean_all, prior):
     """Log-odds and their standard errors, with the prior shared out by overall frequency."""
     share = prior * (toxic + clean) / max(toxic_all + clean_all, 1)
-    a, b = toxic + share, clean + share
+    a, b = toxic + np.maximum(share, 1e-9), clean + np.maximum(share, 1e-9)
     odds = np.log(a / (toxic_all + prior - a)) - np.log(b / (clean_all + prior - b))
     return odds, np.sqrt(1 / a + 1 / b)
 
@@ -139,7 +151,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, z: float = Z,
     def count(batches):
         for batch in batches:
             classes = np.minimum(batch.column(1).to_numpy(), 1) + 2 * batch.column(2).to_numpy()
-            held = [(w.hash, np.repeat(classes[c.rows], np.diff(w.first))) for c in chunks(batch.column(3)) for w in [words(c, WORD)]]
+            held = []
+            for c in chunks(batch.column(3)):
+                w = words(c, WORD)
+                kinds = np.repeat(classes[c.rows], np.diff(w.first))
+                features = np.concatenate([np.full((1, len(kinds)), ALL), _features(w)])
+                present = features != 0
+                present[0] = True
+                held.append((features[present], np.broadcast_to(kinds, features.shape)[present]))
             hashes, kinds = (np.concatenate(x) for x in zip(*held)) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
             tokens, at = np.unique(hashes, return_inverse=True)
             counts = np.bincount(at * 4 + kinds, minlength=4 * len(tokens)).reshape(-1, 4)
@@ -148,12 +167,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, z: float = Z,
     names = ["clean0", "toxic0", "clean1", "toxic1"]
     sums = [F.sum(n).alias(n) for n in names]
     counted = texts.mapInArrow(count, "token long, " + ", ".join(f"{n} long" for n in names)).groupBy("token").agg(*sums)
-    totals = [v or 0 for v in counted.agg(*sums).first()]
+    totals = list((counted.where(F.col("token") == int(ALL)).drop("token").first() or [0] * 4))
+    prior = max(prior * sum(totals), 1.0)
     both = F.col("toxic0") + F.col("toxic1")
     share = F.lit(prior) * (both + F.col("clean0") + F.col("clean1")) / F.lit(max(sum(totals), 1))
     rough = (F.log((both + share) / (totals[1] + totals[3] + prior)) - F.log((F.col("clean0") + F.col("clean1") + share) / (totals[0] + totals[2] + prior))) / F.sqrt(1 / (both + share) + 1 / (F.col("clean0") + F.col("clean1") + share))
     # a token that misses the bar over all, by far, reaches it in neither half
-    kept = counted.where(both > 0).withColumn("z", rough).where(F.col("z") > z / 2).orderBy(F.desc("z"), "token").limit(TERMS).toArrow()
+    kept = counted.where((F.col("token") != int(ALL)) & (both > 0)).withColumn("z", rough).where(F.col("z") > z / 2).orderBy(F.desc("z"), "token").limit(TERMS).toArrow()
     token = kept["token"].to_numpy().view(np.uint64)
     order = np.argsort(token)
     token = token[order]
@@ -178,8 +198,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, z: float = Z,
                 w = words(c, WORD)
                 lengths = np.diff(w.first)
                 per: dict[int, list[float]] = {}
+                features = _features(w)
                 for h, model in enumerate(by_other):
-                    for document, _, _, score in _found(w.hash, w.first, model):
+                    for document, _, _, score in _found(features, w.first, model):
                         if half[c.rows.start + document] == h:
                             per.setdefault(document, []).append(score)
                 rows += [(int(min(toxic[c.rows.start + d], 1)), int(half[c.rows.start + d]), int(lengths[d]), per.get(d, [])) for d in range(len(c))]
@@ -213,7 +234,7 @@ def passages(docs: DataFrame, model: Model) -> DataFrame:
             rows = []
             for c in chunks(batch.column(1)):
                 w = words(c, WORD)
-                for document, start, end, score in _found(w.hash, w.first, model):
+                for document, start, end, score in _found(_features(w), w.first, model):
                     n = int(w.first[document + 1] - w.first[document])
                     expected = float(model.size * n * np.exp(-model.rate * score))
                     if expected < 1:
@@ -234,7 +255,7 @@ def score(docs: DataFrame, model: Model, *columns: str | Column) -> DataFrame:
             evidence, number = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
             for c in chunks(batch.column(batch.num_columns - 1)):
                 w = words(c, WORD)
-                for document, _, _, s in _found(w.hash, w.first, model):
+                for document, _, _, s in _found(_features(w), w.first, model):
                     own = _evidence([s], int(w.first[document + 1] - w.first[document]), model)
                     evidence[c.rows.start + document] += own
                     number[c.rows.start + document] += own > 0
