@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import licenses, ngrams, toxicity, warc
+from feedloom.llm import licenses, neighbours, ngrams, toxicity, warc
 from feedloom.llm.packing import pack
 
 QUERIES = {}
@@ -53,6 +53,12 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= TOXIC_AT).cast("int"))
 
 
+@query
+def op8_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    rows = neighbours.usable(read(spark, folder, "embeddings"))
+    return neighbours.search(neighbours.build_index(rows), rows.where(F.col("id") % 20 == 0))
+
+
 @query
 def op9_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
     records = warc.derivatives(warc.responses(read(spark, folder, "pages")))
