@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import licenses, neighbours, ngrams, order_minhash, toxicity, warc
+from feedloom.llm import licenses, neighbours, ngrams, order_minhash, repeats, toxicity, warc
 from feedloom.llm.packing import pack
 
 QUERIES = {}
@@ -45,6 +45,11 @@ def op4_ngram_scores(spark: SparkSession, folder: str) -> DataFrame:
     return ngrams.score(docs, model, "doc_id", "held_out")
 
 
+@query
+def op5_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.removals(read(spark, folder, "documents"))
+
+
 TOXIC_AT = 0.3
 
 
