@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import licenses, neighbours, ngrams, order_minhash, repeats, toxicity, warc
+from feedloom.llm import decontamination, licenses, neighbours, ngrams, order_minhash, repeats, toxicity, warc
 from feedloom.llm.packing import pack
 
 QUERIES = {}
@@ -26,6 +26,12 @@ def fold(folds: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds))
 
 
+@query
+def op1_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.matches(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+    return found.drop("text_hash")
+
+
 @query
 def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     found = order_minhash.classes(read(spark, folder, "documents"))
