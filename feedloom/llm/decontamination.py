@@ -41,7 +41,8 @@ ANSWER = 0.7
 SHORT = 8
 BLOCK_PIECES = 256
 BLOCK_TERMS = 32_768
-HITS = 40_000  # rows of the latent matrix that a task gathers at a time
+HITS = 40_000  # that a task works on at a time
+COMMON = 128  # terms whose counts are held as a dense matrix
 TERM_PART = 256  # terms whose sums travel together
 SALT = 64
 
@@ -131,7 +132,7 @@ def _block_numbers(edges: np.ndarray, places: np.ndarray, counts: np.ndarray) ->
     return np.repeat(firsts[:-1], np.diff(edges)) + places // STRIDE, firsts
 
 
-def _frequencies(hits: DataFrame, size: int) -> tuple[int, np.ndarray]:
+def _frequencies(hits: DataFrame, size: int) -> np.ndarray:
     """How many texts hold each term."""
 
     def run(batches):
@@ -145,20 +146,47 @@ def _frequencies(hits: DataFrame, size: int) -> tuple[int, np.ndarray]:
     found = hits.select("terms").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # a row per term at most
     total = np.zeros(size, np.int64)
     total[found["term"].to_numpy()] = found["n"].to_numpy()
-    return int(total.max(initial=0)), total
-
-
-def _gathered(matrix: np.ndarray, terms: np.ndarray, block: np.ndarray, n: int) -> np.ndarray:
-    """Sum of the matrix's rows over the hits of each block, some ``HITS`` gathered rows at a time."""
-    result = np.zeros((n, matrix.shape[1]), np.float32)
-    for a in range(0, len(terms), HITS):
-        part = block[a:a + HITS]
-        heads = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-        result[part[heads]] += np.add.reduceat(matrix[terms[a:a + HITS]], heads, axis=0)
-    return result
-
-
-def _latent_space(hits: DataFrame, own: np.ndarray, weight: np.ndarray, rank: int, seed: int = 0) -> np.ndarray:
+    return total
+
+
+def _add_rows(total: np.ndarray, to: np.ndarray, rows: np.ndarray, source: np.ndarray) -> None:
+    """Add rows[source] to total[to], one row for each place at a time, which numpy does in whole rows."""
+    order = np.argsort(to, kind="stable")
+    heads = np.flatnonzero(np.r_[True, np.diff(to[order]) != 0]) if len(to) else np.zeros(0, np.int64)
+    nth = np.arange(len(to)) - np.repeat(heads, np.diff(np.r_[heads, len(to)]))
+    by = np.argsort(nth, kind="stable")
+    ends = np.cumsum(np.bincount(nth)) if len(nth) else []
+    for a, b in zip([0, *ends], ends):
+        part = order[by[a:b]]
+        total[to[part]] += rows[source[part]]
+
+
+class Rows:
+    """The term counts of a segment's blocks: a dense matrix of the few most frequent terms, which hold most
+    hits, and the other hits one by one."""
+
+    def __init__(self, terms: np.ndarray, block: np.ndarray, n: int, common: np.ndarray) -> None:
+        self.n, self.common = n, common
+        place = np.full(int(max(terms.max(initial=0), common.max(initial=0))) + 1, -1)
+        place[common] = np.arange(len(common))
+        often = place[terms] >= 0
+        at = block[often] * len(common) + place[terms[often]]
+        self.counts = np.bincount(at, minlength=n * len(common)).reshape(n, len(common)).astype(np.float32)
+        self.terms, self.block = terms[~often], block[~often]
+
+    def times(self, matrix: np.ndarray) -> np.ndarray:
+        """Blocks by columns of the matrix, which has a row per term."""
+        result = self.counts @ matrix[self.common]
+        _add_rows(result, self.block, matrix, self.terms)
+        return result
+
+    def back(self, image: np.ndarray, total: np.ndarray) -> None:
+        """Add the transpose times a matrix with a row per block to the total, which has a row per term."""
+        total[self.common] += self.counts.T @ image
+        _add_rows(total, self.terms, image, self.block)
+
+
+def _latent_space(hits: DataFrame, own: np.ndarray, weight: np.ndarray, common: np.ndarray, rank: int, seed: int = 0) -> np.ndarray:
     """Terms by ``rank``: the leading right singular vectors of the rows of all blocks and the benchmark's.
 
     One pass: with a random O, the sum of A'(A O) over all tasks gives the Nystroem factors of A'A.
@@ -174,14 +202,10 @@ def _latent_space(hits: DataFrame, own: np.ndarray, weight: np.ndarray, rank: in
             for _, edges, places, terms, counts in _segments(batch):
                 block, firsts = _block_numbers(edges, places, counts)
                 square = np.bincount(block, weight[terms] ** 2, firsts[-1])
-                length = np.sqrt(np.maximum(square, 1e-12))
-                image = _gathered(weighted, terms, block, firsts[-1]) / length[:, None]
-                order = np.argsort(terms, kind="stable")
-                for a in range(0, len(order), HITS):
-                    part = order[a:a + HITS]
-                    heads = np.flatnonzero(np.r_[True, np.diff(terms[part]) != 0])
-                    scale = (weight[terms[part]] / length[block[part]]).astype(np.float32)
-                    total[terms[part[heads]]] += np.add.reduceat(image[block[part]] * scale[:, None], heads, axis=0)
+                own_rows = Rows(terms, block, firsts[-1], common)
+                image = own_rows.times(weighted) / np.maximum(square, 1e-12)[:, None].astype(np.float32)  # rows of length one, twice
+                own_rows.back(image, total)
+        total *= weight[:, None].astype(np.float32)
         rows = range(0, size, TERM_PART)
         yield pa.record_batch([pa.array(rows, pa.int32()), pa.array([total[a:a + TERM_PART].tobytes() for a in rows], pa.binary())], names=["part", "sums"])
 
@@ -236,10 +260,11 @@ def _search(docs: DataFrame, block: Block, rank: int, cosine: float) -> DataFram
     path = work_path(spark, "hits")
     _hits(docs, block.terms).write.parquet(path)
     hits = spark.read.parquet(path)
-    _, frequency = _frequencies(hits, len(block.terms))
+    frequency = _frequencies(hits, len(block.terms))
     weight = np.log((docs.count() + 1) / (frequency + 1)) + 1e-3
     own = block.rows(weight)
-    space = _latent_space(hits, own, weight, rank)
+    common = np.argsort(-frequency, kind="stable")[:COMMON]
+    space = _latent_space(hits, own, weight, common, rank)
     pieces = own @ space
     pieces = (pieces / np.maximum(np.linalg.norm(pieces, axis=1, keepdims=True), 1e-12)).astype(np.float32)
     matrix = (space * weight[:, None]).astype(np.float32)
@@ -257,7 +282,7 @@ def _search(docs: DataFrame, block: Block, rank: int, cosine: float) -> DataFram
             rows = []
             for first, edges, places, terms, counts in _segments(batch):
                 number, firsts = _block_numbers(edges, places, counts)
-                latent = _gathered(matrix, terms, number, firsts[-1])
+                latent = Rows(terms, number, firsts[-1], common).times(matrix)
                 last = firsts[1:] - 1
                 following = np.r_[latent[1:], np.zeros((1, latent.shape[1]), np.float32)]
                 following[last[counts > 0]] = 0
