@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import decontamination, licenses, neighbours, ngrams, order_minhash, repeats, toxicity, warc
+from feedloom.llm import decontamination, licenses, neighbours, ngrams, order_minhash, quality, repeats, toxicity, warc
 from feedloom.llm.packing import pack
 
 QUERIES = {}
@@ -70,6 +70,13 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= TOXIC_AT).cast("int"))
 
 
+@query
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").withColumn("held_out", F.coalesce(fold(4) == 2, F.lit(False)))
+    model = quality.fit(docs, read(spark, folder, "labels").where(fold(4) != 2))
+    return quality.score(docs, model, "doc_id", "held_out").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 @query
 def op8_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     rows = neighbours.usable(read(spark, folder, "embeddings"))

@@ -144,7 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, z: float = Z,
     chosen = known.agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).toArrow()
     if not chosen.num_rows:
         return Model(intercept=-30.0)
-    taught = docs.sparkSession.createDataFrame(chosen.to_pandas()).withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(HALVES)).cast("int"))
+    taught = docs.sparkSession.createDataFrame(chosen).withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(HALVES)).cast("int"))
     # at most ``sample`` rows of three integers, so the side sent to all executors is bounded
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(taught), "doc_id").select("doc_id", "toxic", "half", "text")
 
