@@ -16,7 +16,8 @@ are taken.  Nothing is capped.
 
 Defined results: upper case A-Z, punctuation and spacing don't count; texts of fewer words than a shingle
 are alike only if all words are; a text without words, null or empty, is its own class, as is a row without
-``doc_id``, whose class is null; repeated rows fall into one class.  Other columns are kept as they are.
+``doc_id``, whose class is null; repeated rows fall into one class; of several texts with one id the one with
+the least signature is compared and the others are classes of their own.  Other columns are kept as they are.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ SHINGLE = 5
 SKETCHES = 12
 PICKED = 2
 THRESHOLD = 0.8
+NOT_WORDS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"  # what is left out of words, before lower-casing
 LEADERS = 2
 SPREAD = 8
 DEPTH = 4
@@ -277,6 +279,7 @@ def links(docs: DataFrame, rows: DataFrame, size: int = SHINGLE, threshold: floa
     ``rows`` is what ``sketched`` gives for ``docs``.
     """
     one = rows.groupBy("s1", "s2").agg(F.min("doc_id").alias("doc_id"), F.any_value("n").alias("n"), F.any_value("sketches").alias("sketches"))
+    one = one.groupBy("doc_id").agg(F.min_by(F.struct("s1", "s2", "n", "sketches"), F.struct("s1", "s2")).alias("t")).select("doc_id", "t.*")
     spread_out = one.select("doc_id", "s1", "s2", "n", "sketches", F.posexplode("sketches").alias("place", "key"))
     keyed = spread_out.select(F.array("place").alias("at"), "key", "doc_id", "s1", "s2", "n", "sketches")
     shared = keyed.groupBy("at", "key").agg(F.count("*").alias("size")).where("size > 1").drop("size")
@@ -309,7 +312,9 @@ def classes(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD,
     joined = components(found)
     counts = found.select(F.explode(F.array("a", "b")).alias("text_id")).groupBy("text_id").agg(F.count("*").alias("n_links"))
     one = rows.groupBy("s1", "s2").agg(F.min("doc_id").alias("text_id"))
-    per_text = one.join(joined, F.col("text_id") == F.col("node"), "left").join(counts, "text_id", "left")
+    compared = one.groupBy("text_id").agg(F.min(F.struct("s1", "s2")).alias("t")).select("text_id", "t.*")
+    linked = compared.join(counts, "text_id").join(joined, F.col("text_id") == F.col("node")).select("s1", "s2", "component", "n_links")
+    per_text = one.join(linked, ["s1", "s2"], "left")
     per_text = per_text.select("s1", "s2", F.coalesce("component", "text_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     # rows without words are in no class with others
     named = rows.join(per_text, ["s1", "s2"]).select("doc_id", "class_id", "n_links")
@@ -318,9 +323,13 @@ def classes(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD,
 
 
 def deduplicate(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` that stand for their class: one row each, that of the least id."""
+    """The rows of ``docs`` that stand for their class: those of its least id, equal ones once.
+
+    Rows without words and rows without an id all stay.
+    """
     kept = classes(docs, **settings).where("doc_id = class_id").select(F.col("doc_id").alias("_kept")).distinct()
-    with_words = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]", "")) > 0
     known = docs.where(F.col("doc_id").isNotNull()).join(kept, F.col("doc_id").cast("long") == F.col("_kept"), "left_semi")
-    once = known.where(with_words).dropDuplicates(["doc_id"])
-    return once.unionByName(known.where(~with_words)).unionByName(docs.where(F.col("doc_id").isNull()))
+    has_words = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), NOT_WORDS, "")) > 0
+    hashed = known.withColumns({"_words": has_words, "_hash": F.xxhash64("text")})
+    once = hashed.where("_words").dropDuplicates(["doc_id", "_hash"])
+    return once.unionByName(hashed.where("not _words")).drop("_words", "_hash").unionByName(docs.where(F.col("doc_id").isNull()))

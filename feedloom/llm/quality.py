@@ -156,7 +156,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, pool: int = PO
     others = others.orderBy(F.xxhash64("doc_id"), "doc_id").limit(pool).withColumn("label", F.lit(None).cast("int"))
     # sample + pool rows of two integers: the side sent to all executors is bounded
     picked = docs.sparkSession.createDataFrame(chosen.union(others).toArrow())
-    read = docs.withColumn("doc_id", F.col("doc_id").cast("long")).join(F.broadcast(picked), "doc_id").select("doc_id", "label", *INPUTS)
+    read = docs.select(F.col("doc_id").cast("long"), *INPUTS).join(F.broadcast(picked), "doc_id").select("doc_id", "label", *INPUTS)
 
     def run(batches):
         for batch in batches:

@@ -264,3 +264,9 @@ def score(docs: DataFrame, model: Model, *columns: str | Column) -> DataFrame:
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), "score double, n_passages long, evidence double"])
     return docs.select(*columns, F.col("text").alias("_scored_text")).mapInArrow(run, schema)
+
+
+def reject(docs: DataFrame, model: Model, at: float) -> DataFrame:
+    """The rows of ``docs`` that score below ``at``, as they are."""
+    rows = score(docs, model, F.struct(*docs.columns).alias("_row"))
+    return rows.where(F.col("score") < at).select("_row.*")
