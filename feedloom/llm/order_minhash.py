@@ -6,13 +6,15 @@ texts share a sketch if they share those shingles in the same order; ``sketches`
 sketches.  Texts that share a sketch and whose lengths allow it are candidates.  A candidate pair is aligned:
 with L the longest common subsequence of the two shingle sequences, found inside the band of shifts that the
 threshold leaves possible, the similarity is L / (m + n - L), which for texts in the same order is the
-Jaccard similarity of their labelled shingles.  Links of at least ``threshold`` join documents into classes.
+Jaccard similarity of their labelled shingles.  Texts that repeat themselves are aligned a second time with
+each shingle's first occurrence alone, and the larger similarity counts.  Links of at least ``threshold`` join documents into classes.
 
 Texts of the same words are one text from the start.  Of the texts that share a sketch, each is first paired
-with a few leaders, which joins groups of copies without pairing them all.  Then pairs across the classes so
-far are taken; where a sketch has more of those than ``spread`` per text (passages that many texts share),
-pairs have to agree in one more sketch, and so on up to ``depth`` sketches, where all pairs across classes
-are taken.  Nothing is capped.
+with a few leaders (the least id, the shortest, one by hash), which joins groups of copies without pairing
+them all, and texts that are little more than a passage they share, since nothing is nearer to all of those
+than the shortest.  Then pairs across the classes so far are taken.  Where a sketch has more of those than
+``spread`` per text (a passage inside many texts), pairs have to agree in one more sketch as well, where again
+all pairs across classes are taken, or leaders where they are still too many.
 
 Defined results: upper case A-Z, punctuation and spacing don't count; texts of fewer words than a shingle
 are alike only if all words are; a text without words, null or empty, is its own class, as is a row without
@@ -38,9 +40,8 @@ SKETCHES = 12
 PICKED = 2
 THRESHOLD = 0.8
 NOT_WORDS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"  # what is left out of words, before lower-casing
-LEADERS = 2
 SPREAD = 8
-DEPTH = 4
+DEPTH = 2
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -141,7 +142,22 @@ def _by_rows(a: np.ndarray, b: np.ndarray, low: int, high: int) -> int:
     return int(row.max())
 
 
+def _once(a: np.ndarray) -> np.ndarray:
+    """First occurrences, in order."""
+    _, first = np.unique(a, return_index=True)
+    return a if len(first) == len(a) else a[np.sort(first)]
+
+
 def similarity(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float:
+    """Of the texts as they are or, if that is too little, of their first occurrences; 0 below the threshold."""
+    found = aligned(a, b, threshold)
+    if found:
+        return found
+    x, y = _once(a), _once(b)
+    return aligned(x, y, threshold) if len(x) < len(a) or len(y) < len(b) else 0.0
+
+
+def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float:
     """L / (m + n - L) if that is ``threshold`` or more, else 0; L inside the band the threshold allows."""
     m, n = len(a), len(b)
     need = int(np.ceil(threshold * (m + n) / (1 + threshold) - 1e-9))
@@ -241,39 +257,44 @@ def _alike(threshold: float):
     return F.least("n_a", "n_b") >= F.lit(threshold - 1e-9) * F.greatest("n_a", "n_b")
 
 
-def _led(members: DataFrame, leaders: int, threshold: float) -> DataFrame:
-    """Pairs of each member of a bucket with its leaders, which different orders put first."""
-    chosen = members.groupBy("at", "key").agg(
-        F.count("*").alias("size"),
-        *(F.min_by(F.struct(F.col("doc_id").alias("a"), F.col("n").alias("n_a")), F.struct(F.xxhash64("doc_id", F.lit(i)) if i else F.lit(0), "doc_id")).alias(f"l{i}") for i in range(leaders)),
-    ).where("size > 1").withColumn("leader", F.explode(F.array_distinct(F.array(*(f"l{i}" for i in range(leaders)))))).select("at", "key", "leader.*")
+def _led(members: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of each member of a bucket with its leaders: the least id, the shortest, and one by hash."""
+    text = F.struct(F.col("doc_id").alias("a"), F.col("n").alias("n_a"))
+    orders = (F.struct("doc_id"), F.struct("n", "doc_id"), F.struct(F.xxhash64("doc_id", F.lit(1)), "doc_id"))
+    first = [F.min_by(text, order).alias(f"l{i}") for i, order in enumerate(orders)]
+    chosen = members.groupBy("at", "key").agg(F.count("*").alias("size"), *first).where("size > 1")
+    chosen = chosen.select("at", "key", F.explode(F.array_distinct(F.array(*(f"l{i}" for i in range(len(orders)))))).alias("leader")).select("at", "key", "leader.*")
     met = members.select("at", "key", F.col("doc_id").alias("b"), F.col("n").alias("n_b")).join(chosen, ["at", "key"])
     return met.where((F.col("a") != F.col("b")) & _alike(threshold)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _across(members: DataFrame, classes: DataFrame, sketches: int, spread: int, depth: int, threshold: float) -> DataFrame:
+def _across(members: DataFrame, classes: DataFrame, spread: int, depth: int, threshold: float) -> DataFrame:
     """Pairs of different classes that share a sketch, or more of them where one is shared too widely."""
     named = members.join(classes, F.col("doc_id") == F.col("node"), "left").select("at", "key", "doc_id", "n", "sketches", F.coalesce("component", "doc_id").alias("c"))
-    found = None
+    found = []
     for level in range(1, depth + 1):
         sizes = named.groupBy("at", "key", "c").agg(F.count("*").alias("k")).groupBy("at", "key").agg(F.sum("k").alias("m"), F.sum(F.col("k") * F.col("k")).alias("q"))
-        mixed_ones = sizes.where("q < m * m").withColumn("wide", (F.col("m") * F.col("m") - F.col("q")) / 2 > F.lit(spread) * F.col("m")).drop("m", "q")
-        here = _written(named.join(mixed_ones, ["at", "key"]), "members")
-        taken = here if level == depth else here.where("not wide")
-        left = taken.select("at", "key", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
-        right = taken.select("at", "key", F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("c").alias("c_b"))
-        pairs = left.join(right, ["at", "key"]).where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & _alike(threshold)).select("a", "b")
-        found = pairs if found is None else found.union(pairs)
-        if level == depth or here.where("wide").isEmpty():
+        crossed = sizes.where("q < m * m").withColumn("wide", (F.col("m") * F.col("m") - F.col("q")) / 2 > F.lit(spread) * F.col("m")).drop("m", "q")
+        here = _written(named.join(crossed, ["at", "key"]), "members")
+        narrow, wide = here.where("not wide"), here.where("wide")
+        left = narrow.select("at", "key", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
+        right = narrow.select("at", "key", F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("c").alias("c_b"))
+        found.append(left.join(right, ["at", "key"]).where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & _alike(threshold)).select("a", "b"))
+        if wide.isEmpty():
+            break
+        if level == depth:
+            found.append(_led(wide, threshold))
             break
         more = F.explode(F.filter(F.transform("sketches", lambda x, i: F.struct(i.alias("at"), x.alias("key"))), lambda s: s["at"] > F.element_at("at", -1)))
-        wide = here.where("wide").select("at", "key", "doc_id", "n", "sketches", "c", more.alias("next"))
-        named = wide.select(F.concat("at", F.array("next.at")).alias("at"), F.xxhash64("key", "next.key").alias("key"), "doc_id", "n", "sketches", "c")
-    return found.distinct()
+        named = wide.select("at", "key", "doc_id", "n", "sketches", "c", more.alias("next"))
+        named = named.select(F.concat("at", F.array("next.at")).alias("at"), F.xxhash64("key", "next.key").alias("key"), "doc_id", "n", "sketches", "c")
+    pairs = found[0]
+    for more_pairs in found[1:]:
+        pairs = pairs.union(more_pairs)
+    return pairs.distinct()
 
 
-def links(docs: DataFrame, rows: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD, sketches: int = SKETCHES,
-          leaders: int = LEADERS, spread: int = SPREAD, depth: int = DEPTH) -> DataFrame:
+def links(docs: DataFrame, rows: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD, spread: int = SPREAD, depth: int = DEPTH) -> DataFrame:
     """``a, b, similarity`` between texts of different words, ``a < b``; enough of them to join every class.
 
     ``rows`` is what ``sketched`` gives for ``docs``.
@@ -288,27 +309,19 @@ def links(docs: DataFrame, rows: DataFrame, size: int = SHINGLE, threshold: floa
     # a repeated id with another text is left out by the signature
     read = docs.select(F.col("doc_id").cast("long"), "text").join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
     texts = _written(sequences(read, size).join(wanted, ["doc_id", "s1", "s2"], "left_semi").dropDuplicates(["doc_id"]), "sequences")
-    first = _written(_verified(_led(members, 1, threshold), texts, threshold), "links")
-    classes = components(first)
-    named = members.join(classes, F.col("doc_id") == F.col("node"), "left").withColumn("c", F.coalesce("component", "doc_id"))
-    open_ones = named.groupBy("at", "key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("at", "key")
-    still = members.join(open_ones, ["at", "key"], "left_semi")
-    in_class = lambda side: classes.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
-    led = _led(still, leaders, threshold).join(in_class("a"), "a", "left").join(in_class("b"), "b", "left")
-    led = led.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
-    second = _written(first.union(_verified(led, texts, threshold)), "links")
-    rest = _across(members, components(second), sketches, spread, depth, threshold)
-    return _written(second.union(_verified(rest, texts, threshold)), "links").dropDuplicates(["a", "b"])
+    first = _written(_verified(_led(members, threshold), texts, threshold), "links")
+    rest = _across(members, components(first), spread, depth, threshold)
+    return _written(first.union(_verified(rest, texts, threshold)), "links").dropDuplicates(["a", "b"])
 
 
 def classes(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD, sketches: int = SKETCHES, picked: int = PICKED,
-            leaders: int = LEADERS, spread: int = SPREAD, depth: int = DEPTH) -> DataFrame:
+            spread: int = SPREAD, depth: int = DEPTH) -> DataFrame:
     """``doc_id, class_id, n_links`` for each row; a class is named by its least id.
 
     ``n_links`` counts the links found between the document's words and others in the class.
     """
     rows = _written(sketched(docs, size, sketches, picked), "sketches")
-    found = links(docs, rows, size, threshold, sketches, leaders, spread, depth)
+    found = links(docs, rows, size, threshold, spread, depth)
     joined = components(found)
     counts = found.select(F.explode(F.array("a", "b")).alias("text_id")).groupBy("text_id").agg(F.count("*").alias("n_links"))
     one = rows.groupBy("s1", "s2").agg(F.min("doc_id").alias("text_id"))
