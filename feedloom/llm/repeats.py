@@ -34,7 +34,7 @@ LENGTH = 50
 GRAM = 16
 CHUNK_BYTES = 1 << 20
 NAME_SHARD = 24 << 20  # bytes of text per shard of names
-SORT_SHARD = 8 << 20  # bytes of text per shard of runs
+SORT_SHARD = 3 << 20  # bytes of text per shard of runs
 LAST = (1 << 63) - 1  # stands for no id
 _BASE = 0x9E3779B97F4A7C15
 

@@ -14,7 +14,7 @@ import numpy as np
 
 SYMBOL = 8
 SHALLOW = 16
-ROWS = 1 << 17  # compared at a time
+ROWS = 1 << 15  # compared at a time
 
 
 def _symbols(buffer: np.ndarray, at: np.ndarray) -> np.ndarray:
