@@ -6,8 +6,8 @@ texts share a sketch if they share those shingles in the same order; ``sketches`
 sketches.  Texts that share a sketch and whose lengths allow it are candidates.  A candidate pair is aligned:
 with L the longest common subsequence of the two shingle sequences, found inside the band of shifts that the
 threshold leaves possible, the similarity is L / (m + n - L), which for texts in the same order is the
-Jaccard similarity of their labelled shingles.  Texts that repeat themselves are aligned a second time with
-each shingle's first occurrence alone, and the larger similarity counts.  Links of at least ``threshold`` join documents into classes.
+Jaccard similarity of their labelled shingles.  Texts that repeat themselves and miss the threshold so are
+aligned a second time by each shingle's first occurrence alone.  Links of at least ``threshold`` join documents into classes.
 
 Texts of the same words are one text from the start.  Of the texts that share a sketch, each is first paired
 with a few leaders (the least id, the shortest, one by hash), which joins groups of copies without pairing

@@ -126,9 +126,8 @@ _SPAN = (np.uint32, np.uint32, np.uint32)  # text, start, end
 
 def _spans_of(record: np.ndarray, place: np.ndarray, text: np.ndarray, first: np.ndarray, length: int):
     """Maximal runs of covered strings: record and place of each, in order, as text, start and end."""
-    new = np.r_[True, (record[1:] != record[:-1]) | (place[1:] != place[:-1] + 1)] if len(record) else np.zeros(0, bool)
-    a = np.flatnonzero(new)
-    b = np.r_[a[1:], len(record)] - 1
+    edges = np.flatnonzero(np.r_[True, (record[1:] != record[:-1]) | (place[1:] != place[:-1] + 1), True]) if len(record) else np.zeros(1, np.int64)
+    a, b = edges[:-1], edges[1:] - 1
     return record[a], text[record[a]], first[record[a]] + place[a], first[record[a]] + place[b] + length
 
 
