@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.operators.ranks import WINDOW_ROWS, with_position
+from feedloom.operators.ranks import with_position
 
 
 def two_level(
@@ -102,24 +102,17 @@ def above_mean(df: DataFrame, value: str) -> DataFrame:
     return df.where(F.col(value) > df.agg(F.avg(value)).scalar())
 
 
-def entity_totals(
-    df: DataFrame, entity: str, value: str, order: Sequence[str | Column],
-    window_rows: int = WINDOW_ROWS,
-) -> DataFrame:
+def entity_totals(df: DataFrame, entity: str, value: str, order: Sequence[str]) -> DataFrame:
     """Every entry with its position in the entity's list and the entity's total.
 
     The list stays in rows, so an entity may have any number of entries.
     """
-    totals = df.groupBy(entity).agg(F.sum(value).alias("total"))
-    return with_position(df, [entity], order, window_rows=window_rows).join(totals, entity, "left")
+    return with_position(df, [entity], order, sums={"total": value})
 
 
-def ranking(
-    df: DataFrame, by: Sequence[str], value: str, ties: Sequence[str],
-    window_rows: int = WINDOW_ROWS,
-) -> DataFrame:
+def ranking(df: DataFrame, by: Sequence[str], value: str, ties: Sequence[str]) -> DataFrame:
     """Descending places; ``ties`` settles equal values."""
-    return with_position(df, by, [F.col(value).desc(), *ties], "place", window_rows)
+    return with_position(df, by, [f"-{value}", *ties], "place")
 
 
 def summary_bands(

@@ -1,84 +1,81 @@
 """Positions inside groups, and the first and last rows of an order.
 
-A window over a group puts the whole group into one task.  ``with_position`` looks
-at the largest group first.  Below ``window_rows`` it uses that window; above it,
-rows are range-partitioned by group and order, so a large group is spread over as
-many tasks as it needs, and each task only has to know how many rows of the same
-group came before it.
+A window over a group puts the whole group into one task.  Here every row first falls
+into a bucket of its leading order value; the buckets cut the whole table's values into
+equal shares, so neither a large group nor a table without groups meets in one task.  A
+row's position is its number inside (group, bucket) plus the rows of the group in earlier
+buckets.  There is one path for all sizes, and no job runs while the query is built.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from feedloom.session import cut_lineage
+BUCKETS = 256
+ACCURACY = 100_000
 
-WINDOW_ROWS = 2_000_000
 
+def _number(column: Column, kind: T.DataType) -> Column:
+    """A number that rises with the column; of a text its first six bytes, which may tie."""
+    if isinstance(kind, T.StringType):
+        return F.conv(F.rpad(F.hex(F.substring(F.encode(column, "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column).cast("double")
+    if isinstance(kind, T.TimestampNTZType):
+        return F.unix_micros(column.cast("timestamp")).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("double")
+    if isinstance(kind, T.BooleanType):
+        return column.cast("int").cast("double")
+    return column.cast("double")
 
-def _sizes(df: DataFrame, by: Sequence[str]) -> tuple[int, int]:
-    """Rows in the largest group, and in the table."""
-    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    largest, total = counts.agg(F.max("n"), F.sum("n")).first()
-    return largest or 0, total or 0
 
-
-def _asc(column: str | Column) -> Column:
-    return F.col(column).asc() if isinstance(column, str) else column
-
-
-def _spread_position(
-    df: DataFrame, by: list[str], order: list[Column], name: str, parts: int
-) -> DataFrame:
-    # Rows alike in every order column are told apart by their id; any order among
-    # them is right, and a run of them can still be cut across tasks.
-    keyed = df.withColumn("_row", F.monotonically_increasing_id())
-    bounds = [F.col(c) for c in by] + order + [F.col("_row")]
-    ranged = cut_lineage(
-        keyed.repartitionByRange(parts, *bounds).withColumn("_part", F.spark_partition_id())
-    )
-    sizes = ranged.groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # Only the first group of a part can have begun in an earlier part, so this table
-    # has at most one row per part: the one place where a broadcast is safe by size.
-    before = (
-        sizes.withColumn("_before", F.sum("_n").over(earlier))
-        .where(F.col("_before").isNotNull())
-        .select(*[F.col(c).alias(f"_by_{i}") for i, c in enumerate(by)],
-                F.col("_part").alias("_at"), "_before")
-    )
-    same_group = F.col("_part") == F.col("_at")
-    for i, c in enumerate(by):
-        same_group = same_group & F.col(c).eqNullSafe(F.col(f"_by_{i}"))
-    inside = F.row_number().over(Window.partitionBy(*by, "_part").orderBy(*order, "_row"))
-    placed = ranged.join(F.broadcast(before), same_group, "left")
-    position = inside + F.coalesce(F.col("_before"), F.lit(0))
-    return placed.withColumn(name, position.cast("bigint")).select(*df.columns, name)
+def _sorted_by(order: Sequence[str]) -> list[Column]:
+    return [F.col(c[1:]).desc() if c.startswith("-") else F.col(c).asc() for c in order]
 
 
 def with_position(
     df: DataFrame,
     by: Sequence[str],
-    order: Sequence[str | Column],
+    order: Sequence[str],
     name: str = "position",
-    window_rows: int = WINDOW_ROWS,
-    parts: int | None = None,
+    sums: Mapping[str, str] | None = None,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """1, 2, 3, … in each group, in a given order.  An empty ``by`` ranks the whole table.
 
-    ``parts`` is the number of tasks a large table is spread over; by default enough for
-    none to hold more than ``window_rows``.
+    ``order`` names columns, a leading ``-`` turns one around.  It has to tell the rows of a
+    group apart: rows alike in all of it are numbered in any order.  Rows of one leading
+    value stay together, so that value should not be the same for most of a large table.
+    ``sums`` adds group totals of columns under new names, from the same pass as the counts.
     """
-    by, order = list(by), [_asc(c) for c in order]
-    largest, total = _sizes(df, by)
-    if by and largest <= window_rows:
-        window = Window.partitionBy(*by).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return _spread_position(df, by, order, name, parts or max(least, -(-total // window_rows)))
+    by, order, sums = list(by), list(order), dict(sums or {})
+    lead, down = order[0].removeprefix("-"), order[0].startswith("-")
+    number = _number(F.col(lead), df.schema[lead].dataType)
+    number = -number if down else number
+    shares = [i / buckets for i in range(1, buckets)]
+    edges = df.agg(F.percentile_approx(number, shares, ACCURACY).alias("edges")).scalar()
+    # Nulls come first going up and last going down, as Spark sorts them.
+    bucket = F.when(number.isNull(), F.lit(buckets if down else -1)).otherwise(F.size(F.filter("_edges", lambda e: e < number)))
+    keyed = df.withColumn("_edges", F.coalesce(edges, F.array().cast("array<double>"))).withColumn("_bucket", bucket).drop("_edges")
+    totals = [F.sum(c).alias(f"_sum_{n}") for n, c in sums.items()]
+    counted = keyed.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"), *totals)
+    group = Window.partitionBy(*by)  # at most ``buckets`` + 1 rows each
+    earlier = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = counted.select(
+        *[F.col(c).alias(f"_by_{i}") for i, c in enumerate(by)], F.col("_bucket").alias("_at"),
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"), *[F.sum(f"_sum_{n}").over(group).alias(n) for n in sums],
+    )
+    same = F.col("_bucket") == F.col("_at")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_by_{i}"))
+    inside = F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy(*_sorted_by(order)))
+    placed = keyed.withColumn("_inside", inside).join(before, same)
+    return placed.select(*df.columns, (F.col("_inside") + F.col("_before")).cast("bigint").alias(name), *sums)
 
 
 def top_bottom(

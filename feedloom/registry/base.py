@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.session import tune
-from feedloom.sources import read_spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,10 +28,6 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
-    def spread(self, name: str) -> DataFrame:
-        """A table whose rows are about to be cleaned at length."""
-        return read_spread(self.spark, self.path(name))
-
 
 def query(name: str, sql: str | None = None):
     """Register ``build(tables) -> DataFrame`` under a key."""

@@ -35,7 +35,7 @@ from feedloom.session import work_path
 def crm_events(t):
     """Events as the web export has them: a campaign (sometimes none), a city, a session."""
     k = F.col("k")
-    made = t.spread("events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
+    made = t.events.withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
     return made.select(
         F.date_format("ts", "yyyyMMdd").alias("event_date"),
         F.when(k % 7 != 0, F.concat(F.lit("campaign "), (k % 7).cast("string"))).alias("campaign_name_cross"),
@@ -111,7 +111,7 @@ def crm_daily_fused_query(t):
 def shaped(t, sql: str):
     named = [name for name in TABLES if "{" + name + "}" in sql]
     # The first table named is the one whose rows are cleaned; the others are looked up.
-    tables = {name: getattr(t, name) if i else t.spread(name) for i, name in enumerate(named)}
+    tables = {name: getattr(t, name) for name in named}
     return t.spark.sql(sql, **tables)
 
 
@@ -165,7 +165,7 @@ def event_base_query(t):
             for name, value in members.items()
         ])
 
-    made = t.spread("events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
+    made = t.events.withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
     k, user = F.col("k"), text(F.col("user_id"))
     item = struct(item_name=F.concat(F.lit("item "), text(k)), item_category3="mensal", item_category4=None,
                   coupon=F.concat(F.lit("C"), user))
@@ -517,7 +517,7 @@ def load_entries_query(t):
         'size' AS SHIPPINGS_PRODUCTS_ALL_CONFIGURATIONS_KEY
     FROM (SELECT *, strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate_text FROM lineitem) JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""")
 def shop_orders_query(t):
-    joined = t.spread("lineitem").join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
+    joined = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         t.customer, F.col("o_custkey") == F.col("c_custkey")
     )
 
@@ -576,7 +576,7 @@ def shop_users_query(t):
         CASE l_returnflag WHEN 'R' THEN true WHEN 'A' THEN false END AS FLAG_ENTREGUE, l_linestatus AS STATUS_BRUTO, l_suppkey AS SUPPLIER_CODE
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""")
 def ecommerce_orders_query(t):
-    joined = t.spread("lineitem").join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
+    joined = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         t.customer, F.col("o_custkey") == F.col("c_custkey")
     )
 

@@ -1,9 +1,9 @@
 """Reading feeds."""
 
-from feedloom.sources.files import read_day, read_delimited, read_spread, read_table
+from feedloom.sources.files import read_day, read_delimited, read_table
 from feedloom.sources.pages import PagesMissing, check_pages, missing_pages, unwrap_pages
 
 __all__ = [
-    "PagesMissing", "check_pages", "missing_pages", "read_day", "read_delimited", "read_spread",
+    "PagesMissing", "check_pages", "missing_pages", "read_day", "read_delimited",
     "read_table", "unwrap_pages",
 ]

@@ -57,23 +57,6 @@ def read_table(spark: SparkSession, ref: str, jdbc: dict[str, str] | None = None
     return spark.read.parquet(ref) if "/" in ref else spark.read.table(ref)
 
 
-def read_spread(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table, with its rows dealt out to all cores if it is small.
-
-    A feed that lands as one file would be cleaned by one task.  Its size is looked up:
-    a table with a full split for every core is read as it is.
-    """
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = location.getFileSystem(spark._jsc.hadoopConfiguration())
-    size = files.getContentSummary(location).getLength()
-    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes")
-    )
-    return df.repartition(cores) if size < cores * split else df
-
-
 def read_day(df: DataFrame, column: str, day: str) -> DataFrame:
     """One day of a table.
 

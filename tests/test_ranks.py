@@ -20,30 +20,51 @@ def skewed(spark):
     return data, spark.createDataFrame(data, "g string, v int, id int").repartition(6)
 
 
-@pytest.mark.parametrize("window_rows", [10, 10**9])
-def test_positions_agree_with_brute_force(skewed, window_rows):
+@pytest.mark.parametrize("buckets", [2, 7, 256])
+def test_positions_agree_with_brute_force(skewed, buckets):
     data, frame = skewed
     groups = defaultdict(list)
     for g, v, i in data:
         groups[g].append((-v, i))
     expected = [(g, -v, i, n) for g, entries in groups.items() for n, (v, i) in enumerate(sorted(entries), 1)]
-    placed = with_position(frame, ["g"], [F.col("v").desc(), "id"], window_rows=window_rows, parts=7)
+    placed = with_position(frame, ["g"], ["-v", "id"], buckets=buckets)
     found = [tuple(r) for r in placed.collect()]
     assert sorted(found, key=str) == sorted(expected, key=str)
 
 
-def test_spread_positions_leave_no_group_in_one_task(skewed):
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp", "boolean", "double"])
+@pytest.mark.parametrize("down", [False, True])
+def test_positions_follow_sparks_order_of_any_kind(spark, kind, down):
+    values = {
+        "string": ["", "b", "a", "abcdefgh", "abcdefgg", "é", None], "boolean": [True, False, None],
+        "date": ["2024-01-02", "1960-05-01", None], "timestamp": ["2024-01-02 03:04:05", "1960-05-01 00:00:00", None], "double": ["1.5", "-3", "0", None, "1e300"],
+    }[kind]
+    frame = spark.createDataFrame([(v, i) for i, v in enumerate(values * 3)], f"v {'boolean' if kind == 'boolean' else 'string'}, id int").withColumn("v", F.col("v").cast(kind))
+    order = F.col("v").desc() if down else F.col("v").asc()
+    wanted = [r.id for r in frame.orderBy(order, "id").collect()]
+    placed = with_position(frame, [], ["-v" if down else "v", "id"], buckets=4)
+    assert [r.id for r in placed.orderBy("position").collect()] == wanted
+
+
+def test_positions_leave_no_group_in_one_task(spark, skewed):
+    """Rows are shuffled by group and bucket, and building the query starts no job."""
     _, frame = skewed
-    placed = with_position(frame, ["g"], ["v", "id"], window_rows=10, parts=8)
-    sizes = placed.groupBy("g", F.spark_partition_id()).count()
-    assert sizes.where("g = 'hot'").count() > 1
+    group = "positions-are-lazy"
+    spark.sparkContext.setJobGroup(group, group)
+    placed = with_position(frame, ["g"], ["v", "id"], buckets=8)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext.setJobGroup("tests", "tests")
+    assert placed.count() == frame.count()
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(g" in plan and "_bucket" in plan.split("hashpartitioning(g", 1)[1][:60]
 
 
 def test_overall_ranking(skewed):
     data, frame = skewed
-    found = with_position(frame, [], ["v", "id"], parts=5).select("v", "id", "position").collect()
+    found = with_position(frame, [], ["v", "id"]).select("v", "id", "position").collect()
     expected = [(v, i, n) for n, (v, i) in enumerate(sorted((v, i) for _, v, i in data), 1)]
     assert sorted(map(tuple, found), key=lambda r: r[2]) == expected
+    assert with_position(frame.where("false"), [], ["v", "id"]).count() == 0
 
 
 def test_dedupe_treats_null_as_a_key(spark):
