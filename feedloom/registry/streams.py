@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from feedloom.registry.base import query, stamp
 from feedloom.session import work_path
-from feedloom.streaming import Days, daily_backfill, stream_backfill, stream_dedupe, stream_files, stream_refresh
+from feedloom.streaming import Days, daily_backfill, read_refreshed, stream_backfill, stream_dedupe, stream_files, stream_refresh
 
 
 def _landed(t):
@@ -20,8 +20,7 @@ def _clean(df):
     )
 
 
-def _shown(t, path):
-    rows = t.spark.read.parquet(path)
+def _shown(rows):
     return rows.select(
         "event_id", stamp("ts").alias("ts"), "user_id", "event_type", "value",
         F.date_format("day", "yyyy-MM-dd").alias("day"),
@@ -40,7 +39,7 @@ def _by_day():
 def stream_refresh_query(t):
     path = work_path(t.spark, "events")
     stream_refresh(_landed(t), path, path + "-state", _by_day(), _clean).awaitTermination()
-    return _shown(t, path)
+    return _shown(read_refreshed(t.spark, path))
 
 
 @query("stream_backfill", f"{CLEANED} AND ts < TIMESTAMP '2024-01-20'")
@@ -49,19 +48,15 @@ def stream_backfill_query(t):
     stream_backfill(
         _landed(t), "2024-01-20", "ts", path=path, checkpoint=path + "-state", by=_by_day(), transform=_clean
     ).awaitTermination()
-    return _shown(t, path)
+    return _shown(read_refreshed(t.spark, path))
 
 
 @query("stream_dedupe", """
     SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, event_type, value FROM events""")
 def stream_dedupe_query(t):
     path = work_path(t.spark, "events")
-    twice = _landed(t).unionByName(_landed(t)).withColumn("ts", F.col("ts").cast("timestamp"))
-    (
-        stream_dedupe(twice, "event_id", "ts").writeStream.format("parquet")
-        .option("path", path).option("checkpointLocation", path + "-state")
-        .trigger(availableNow=True).start().awaitTermination()
-    )
+    twice = _landed(t).unionByName(_landed(t))
+    stream_dedupe(twice, path, path + "-state", "event_id").awaitTermination()
     rows = t.spark.read.parquet(path)
     return rows.select("event_id", stamp("ts").alias("ts"), "user_id", "event_type", "value")
 
@@ -70,4 +65,4 @@ def stream_dedupe_query(t):
 def daily_backfill_query(t):
     path = work_path(t.spark, "events")
     daily_backfill(t.events, path, "ts", "2024-01-03", "2024-01-20", _clean)
-    return _shown(t, path)
+    return _shown(t.spark.read.parquet(path))

@@ -64,6 +64,17 @@ def fan_out(df: DataFrame, paths: list[str], upper_headers: bool = True) -> list
     return [first, *[full_refresh(first, path) for path in paths[1:]]]
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    files, location = _file_system(spark, path)
+    files.delete(location, True)
+
+
+def swap_partitions(df: DataFrame, path: str, column: str) -> None:
+    """Replace the partitions that these rows have values of; all others stay."""
+    writer = df.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(column).parquet(path)
+
+
 def replace_partitions(df: DataFrame, path: str, column: str, touched: Iterable[object]) -> None:
     """Rewrite the touched partitions of a table with these rows, leaving all others alone.
 

@@ -3,6 +3,7 @@
 from feedloom.streaming.refresh import (
     Days,
     daily_backfill,
+    read_refreshed,
     run_until,
     stream_backfill,
     stream_dedupe,
@@ -11,5 +12,5 @@ from feedloom.streaming.refresh import (
 )
 
 __all__ = [
-    "Days", "daily_backfill", "run_until", "stream_backfill", "stream_dedupe", "stream_files", "stream_refresh",
+    "Days", "daily_backfill", "read_refreshed", "run_until", "stream_backfill", "stream_dedupe", "stream_files", "stream_refresh",
 ]

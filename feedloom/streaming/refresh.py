@@ -1,8 +1,15 @@
-"""The near-real-time load: every cycle replaces the days its input touches.
-
-A cycle is a micro-batch of landed files.  Its result depends only on the table and
-on the batch, and loading a batch twice equals loading it once, so a cycle repeated
-after a failure is harmless.
+"""The near-real-time load: every cycle replaces what its input touches.
+
+A cycle is a micro-batch of landed files.  What a table holds does not depend on how the
+files were cut into cycles or on the order in which they came: every record has an order
+(its landing, unless the feed says otherwise), the newest of a key or of a day's snapshots
+wins, inside a batch as against the table, and a record that the transform drops leaves a
+mark so that an older copy cannot come back.  ``read_refreshed`` shows the table without
+orders and marks.
+
+A cycle's rows are first written beside the table under the cycle's number and only then
+swapped in.  A cycle repeated after a crash finds them and finishes the swap; it does not
+read partitions that may be half replaced.
 """
 
 from __future__ import annotations
@@ -10,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, time
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,23 +25,31 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from feedloom.functions import day_range
-from feedloom.sinks.tables import days_between, path_exists, replace_partitions
+from feedloom.sinks.tables import days_between, path_exists, remove, replace_partitions, swap_partitions
 
 # The cycle and the hour the loop ends.
 CYCLE = "300 seconds"
 CLOSING_TIME = time(23, 55)
 
+ZONE = ZoneInfo("America/Sao_Paulo")
+
+LANDED, ORDER, LIVE = "_landed", "_order", "_live"
+
 Transform = Callable[[DataFrame], DataFrame]
 
 
 def stream_files(
     spark: SparkSession, path: str, schema: T.StructType, files_per_cycle: int | None = None
 ) -> DataFrame:
-    """Landed Parquet files as a stream; ``path`` may be a folder or a pattern."""
+    """Landed Parquet files as a stream; ``path`` may be a folder or a pattern.
+
+    ``_landed`` orders records by the time and name of the file they came in.
+    """
     reader = spark.readStream.schema(schema)
     if files_per_cycle:
         reader = reader.option("maxFilesPerTrigger", files_per_cycle)
-    return reader.parquet(path)
+    stamp = F.date_format("_metadata.file_modification_time", "yyyyMMddHHmmss.SSS")
+    return reader.parquet(path).withColumn(LANDED, F.concat_ws(" ", stamp, "_metadata.file_name"))
 
 
 def _same(df: DataFrame) -> DataFrame:
@@ -45,7 +61,8 @@ class Days:
     """How records are dated and told apart, as landed and as loaded.
 
     ``day`` and ``key`` are read from the landed record; ``loaded_day`` and ``loaded_key``
-    from the transformed one, and default to the same columns.
+    from the transformed one, and default to the same columns.  ``order`` is larger for the
+    newer one of two records of a key, or of two snapshots of a day.
     """
 
     day: Column
@@ -53,27 +70,58 @@ class Days:
     key: str | None = None
     loaded_key: str | None = None
     column: str = "day"
-
-
-def _load_cycle(batch: DataFrame, path: str, transform: Transform, by: Days) -> None:
-    spark = batch.sparkSession
-    # One entry per calendar day in the batch, whatever the number of rows.
-    days = [row[0] for row in batch.select(by.day.alias("day")).distinct().collect()]
-    if not days:
-        return
+    order: Column | None = None
+
+
+def _newest(rows: DataFrame, unit: list[str], single: bool) -> DataFrame:
+    """Of each unit the rows of the newest order; of a key, one of them."""
+    if single:
+        whole = F.struct(*rows.columns)
+        best = rows.groupBy(*unit).agg(F.max_by(whole, F.struct(ORDER, F.xxhash64(*rows.columns))).alias("_best"))
+        return best.select("_best.*")
+    last = rows.groupBy(*unit).agg(F.max(ORDER).alias("_last"))
+    same = F.col(ORDER) == F.col("_last")
+    for i, c in enumerate(unit):
+        last = last.withColumnRenamed(c, f"_unit_{i}")
+        same = same & F.col(c).eqNullSafe(F.col(f"_unit_{i}"))
+    return rows.join(last, same, "left_semi")
+
+
+def _cycle_rows(batch: DataFrame, path: str, transform: Transform, by: Days) -> DataFrame:
+    """What the days that the batch touches hold after it."""
+    order = F.col(LANDED) if by.order is None else by.order
+    landed = batch.withColumns({by.column: by.day, ORDER: order})
+    unit = [by.column] if by.key is None else [by.column, by.key]
+    fresh = _newest(landed, unit, by.key is not None)
+    loaded_key = by.loaded_key or by.key
     loaded_day = by.day if by.loaded_day is None else by.loaded_day
-    rows = transform(batch).withColumn(by.column, loaded_day)
-    if by.key is not None and path_exists(spark, path):
-        known = [d for d in days if d is not None]
-        touched = F.col(by.column).isin(known) if known else F.lit(False)
-        if None in days:
-            touched = touched | F.col(by.column).isNull()
-        table = spark.read.schema(rows.schema).parquet(path).where(touched)
-        # Keys of the batch as it came in: a record the transform now drops must go too.
-        key = by.loaded_key or by.key
-        sent = batch.select(F.col(by.key).alias(key)).distinct()
-        rows = table.join(sent, key, "left_anti").select(*rows.columns).unionByName(rows)
-    replace_partitions(rows, path, by.column, days)
+    given = fresh.drop(ORDER) if by.column in batch.columns else fresh.drop(ORDER, by.column)
+    made = transform(given).drop(LANDED).withColumn(by.column, loaded_day)
+    units = fresh.select(F.col(by.column).alias("_day"), *([F.col(by.key).alias("_key")] if by.key else []), ORDER).distinct()
+    at = F.col(by.column).eqNullSafe(F.col("_day"))
+    at = at & F.col(loaded_key).eqNullSafe(F.col("_key")) if by.key else at
+    live = made.join(units, at).select(*made.columns, ORDER).withColumn(LIVE, F.lit(True))
+    gone = units.join(made, at, "left_anti")
+    blank = {f.name: F.lit(None).cast(f.dataType) for f in made.schema}
+    blank |= {by.column: F.col("_day").cast(made.schema[by.column].dataType)} | ({loaded_key: F.col("_key").cast(made.schema[loaded_key].dataType)} if by.key else {})
+    marks = gone.select(*(c.alias(name) for name, c in blank.items()), ORDER).withColumn(LIVE, F.lit(False))
+    rows = live.unionByName(marks)
+    if path_exists(batch.sparkSession, path):
+        touched = units.select("_day").distinct()
+        table = batch.sparkSession.read.schema(rows.schema).parquet(path)
+        rows = table.join(touched, F.col(by.column).eqNullSafe(F.col("_day")), "left_semi").unionByName(rows)
+    return _newest(rows, [by.column] if by.key is None else [by.column, loaded_key], by.key is not None)
+
+
+def _load_cycle(batch: DataFrame, path: str, transform: Transform, by: Days, number: int) -> None:
+    spark = batch.sparkSession
+    aside = f"{path}__cycles/{number}"
+    if not path_exists(spark, f"{aside}/_SUCCESS"):
+        if batch.isEmpty():
+            return
+        _cycle_rows(batch, path, transform, by).write.mode("overwrite").parquet(aside)
+    swap_partitions(spark.read.parquet(aside), path, by.column)
+    remove(spark, aside)
 
 
 def stream_refresh(
@@ -84,11 +132,11 @@ def stream_refresh(
     transform: Transform = _same,
     cycle: str | None = None,
 ) -> StreamingQuery:
-    """Load a stream into a table partitioned by day.
+    """Load a stream into a table partitioned by day; ``read_refreshed`` reads it.
 
-    Without a key a cycle's files are taken as the whole of each day they touch, and
-    replace it.  With a key they are increments: records with the same key are replaced
-    and the day's other records stay.  A record must not change its day.
+    Without a key, the records of one order are a snapshot of each day they hold, and the
+    newest snapshot replaces the day.  With a key they are increments: the newest record of
+    a key stays, and the day's other records too.  A record must not change its day.
 
     ``cycle`` (for example ``CYCLE``) polls until stopped; by default everything that
     has landed is loaded and the query ends.
@@ -96,7 +144,7 @@ def stream_refresh(
     trigger = {"processingTime": cycle} if cycle else {"availableNow": True}
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        _load_cycle(batch, path, transform, by)
+        _load_cycle(batch, path, transform, by, batch_id)
 
     return (
         source.writeStream.foreachBatch(load)
@@ -104,14 +152,18 @@ def stream_refresh(
     )
 
 
+def read_refreshed(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).where(LIVE).drop(ORDER, LIVE)
+
+
 def stream_backfill(source: DataFrame, before: str, moment: str, **refresh) -> StreamingQuery:
     """The history before a day, loaded by the same path before the polling starts."""
     return stream_refresh(source.where(F.col(moment) < F.to_timestamp(F.lit(before))), **refresh)
 
 
 def run_until(query: StreamingQuery, closing: time = CLOSING_TIME, now: datetime | None = None) -> bool:
-    """Let a polling query run until the closing time of the day, then stop it."""
-    now = now or datetime.now()
+    """Let a polling query run until the closing time of the day, in the feed's zone, then stop it."""
+    now = now or datetime.now(ZONE).replace(tzinfo=None)
     left = (datetime.combine(now.date(), closing) - now).total_seconds()
     ended = query.awaitTermination(int(left)) if left > 0 else False
     if not ended:
@@ -119,10 +171,24 @@ def run_until(query: StreamingQuery, closing: time = CLOSING_TIME, now: datetime
     return ended
 
 
-def stream_dedupe(source: DataFrame, key: str, moment: str, delay: str = "1 day") -> DataFrame:
-    """The first copy of each key; copies later than ``delay`` behind the newest event are
-    out of reach, since only the current day is read again."""
-    return source.withWatermark(moment, delay).dropDuplicatesWithinWatermark([key])
+def stream_dedupe(source: DataFrame, path: str, checkpoint: str, key: str, order: Column | None = None) -> StreamingQuery:
+    """Add the records whose key the table lacks, however late they are, and one of each key.
+
+    Copies are the same record.  A cycle's rows are a folder of the table of their own, which
+    a repeated cycle overwrites, and it looks for keys in the other cycles' folders only.
+    """
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        spark, folder = batch.sparkSession, f"{path}/cycle={batch_id}"
+        columns = [c for c in batch.columns if c != LANDED]
+        first = F.struct(F.col(LANDED) if order is None else order, F.xxhash64(*columns))
+        rows = batch.groupBy(F.col(key).alias("_key")).agg(F.min_by(F.struct(*columns), first).alias("_first")).select("_first.*")
+        if path_exists(spark, path):
+            stored = spark.read.schema(rows.schema.add("cycle", "long")).parquet(path).where(F.col("cycle") != batch_id)
+            rows = rows.join(stored.select(F.col(key).alias("_key")), F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+        rows.write.mode("overwrite").parquet(folder)
+
+    return source.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def daily_backfill(
