@@ -73,7 +73,7 @@ def runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple
     none = np.zeros(0, np.int64)
     if len(data) < length:
         return none.astype(np.uint64), none, none, none
-    names = _least(_grams(data, gram), length - gram + 1)
+    names = mixed(_least(_grams(data, gram), length - gram + 1))  # least values lie near zero: spread them again
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     inside = text[:len(names)] == text[length - 1:]
     new = inside.copy()
