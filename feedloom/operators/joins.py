@@ -15,12 +15,30 @@ from pyspark.sql import functions as F
 from feedloom.functions import after_sep
 
 
+SALTS = 256
+
+
+def left_join_salted(fact: DataFrame, dim: DataFrame, on: str, hot: Sequence[str], salts: int = SALTS) -> DataFrame:
+    """Left join in which the facts of known hot keys (sentinels) are spread over ``salts`` tasks.
+
+    Each hot key's rows of the dimension, few by nature, are repeated once per salt; all other
+    keys have salt 0.  Which salt a fact gets depends on its content alone.
+    """
+    if not hot:
+        return fact.join(dim, on, "left")
+    is_hot = F.coalesce(F.col(on).isin(*hot), F.lit(False))
+    spread = F.when(is_hot, F.pmod(F.xxhash64(*fact.columns), F.lit(salts))).otherwise(F.lit(0))
+    copies = F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
+    left = fact.withColumn("_salt", spread.cast("int"))
+    return left.join(dim.withColumn("_salt", copies), [on, "_salt"], "left").drop("_salt")
+
+
 def join_current(
-    fact: DataFrame, dim: DataFrame, on: str, end_column: str, columns: Sequence[str]
+    fact: DataFrame, dim: DataFrame, on: str, end_column: str, columns: Sequence[str], hot: Sequence[str] = ()
 ) -> DataFrame:
     """Left join to the open version of a dimension; a fact without one stays."""
     current = dim.where(F.col(end_column).isNull()).select(on, *columns)
-    return fact.join(current, on, "left")
+    return left_join_salted(fact, current, on, hot)
 
 
 def latest_per_key(df: DataFrame, key: str, order: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -40,6 +58,7 @@ def enrich_priority(
     on: str,
     lefts: Sequence[tuple[DataFrame, str]],
     choices: Mapping[str, Sequence[str]],
+    hot: Sequence[str] = (),
 ) -> DataFrame:
     """Inner join, left joins, then for each new column the first filled choice.
 
@@ -48,7 +67,7 @@ def enrich_priority(
     """
     joined = fact.join(inner, on, "inner")
     for table, key in lefts:
-        joined = joined.join(table, key, "left")
+        joined = left_join_salted(joined, table, key, hot)
     return joined.withColumns({
         name: F.coalesce(*[F.col(c) for c in columns]) for name, columns in choices.items()
     })

@@ -12,6 +12,17 @@ from feedloom.plans.facts import (
     extend_dim,
     extend_dim_entries,
 )
+from feedloom.plans.loads import (
+    events_of_dates,
+    load_all,
+    load_dim,
+    load_dim_entries,
+    load_ecommerce,
+    load_fact,
+    load_integration,
+    load_web_day,
+    load_window,
+)
 from feedloom.plans.shop import shop_orders, shop_users
 from feedloom.plans.tickets import clean_tickets, refresh_tickets, ticket_counters
 from feedloom.plans.web_events import event_base
@@ -19,7 +30,7 @@ from feedloom.plans.web_events import event_base
 __all__ = [
     "CrmColumns", "build_fact", "build_integration", "catalogue_rows", "clean_clients", "clean_events",
     "clean_tickets", "crm_daily", "crm_daily_fused", "crm_parts", "crm_shape", "ecommerce_customers",
-    "ecommerce_orders", "entry_tickets", "event_base", "extend_dim", "extend_dim_entries", "load_clients",
-    "load_entries", "read_exports", "refresh_tickets", "replicate", "shop_orders", "shop_users",
+    "ecommerce_orders", "entry_tickets", "event_base", "events_of_dates", "extend_dim", "extend_dim_entries", "load_all", "load_clients",
+    "load_dim", "load_dim_entries", "load_ecommerce", "load_entries", "load_fact", "load_integration", "load_web_day", "load_window", "read_exports", "refresh_tickets", "replicate", "shop_orders", "shop_users",
     "ticket_counters",
 ]

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from feedloom.functions import label_year, null_tokens
 from feedloom.operators.dedupe import distinct_rows
 from feedloom.operators.filters import exclude_ilike, keep_ids
-from feedloom.operators.joins import enrich_priority, join_current, new_rows
+from feedloom.operators.joins import enrich_priority, join_current, left_join_salted, new_rows
 from feedloom.specs import tickets as spec
 
+# Fixed value: what a ticket without a buyer's document carries, courtesy sales among them.
+NO_DOCUMENT = ["-1"]
+
 FACT_COLUMNS = [
     "sk_partida", "sk_pessoa", "ingresso", "cpf", "valor", "data_pagamento", "forma_pagamento", "usado",
     "setor", "portao_acesso", "fileira", "assento", "desconto", "taxa_conveniencia", "sk_contrato",
@@ -31,8 +34,8 @@ def build_fact(
     """
     if events is not None:
         stage = keep_ids(stage, "cod_evento", events)
-    named = join_current(stage, people, "cpf", "load_end_date", ["sk_pessoa"])
-    joined = named.join(contracts.select("cpf", "sk_contrato"), "cpf", "left")
+    named = join_current(stage, people, "cpf", "load_end_date", ["sk_pessoa"], NO_DOCUMENT)
+    joined = left_join_salted(named, contracts.select("cpf", "sk_contrato"), "cpf", NO_DOCUMENT)
     return joined.withColumnsRenamed(FACT_RENAMES).select(*FACT_COLUMNS)
 
 
@@ -57,6 +60,7 @@ def build_integration(
             (known.select("cpf", F.col("nome").alias("client_nome"), F.col("email").alias("client_email")), "cpf"),
         ],
         {"nome": ["person_nome", "client_nome", "ticket_nome"], "email": ["person_email", "client_email"]},
+        NO_DOCUMENT,
     )
     return joined.select(
         F.col("PARTIDA").alias("partida"),

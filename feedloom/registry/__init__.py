@@ -11,6 +11,7 @@ from feedloom.registry import (  # noqa: F401  (each module registers its querie
     sourcing,
     streams,
 )
+from feedloom.registry import loads  # noqa: E402, F401  (builds on the others' SQL)
 from feedloom.registry.base import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

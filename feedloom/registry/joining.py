@@ -8,7 +8,7 @@ from feedloom.operators import joins, ranks
 from feedloom.operators.shape import stack_frames
 from feedloom.plans.crm import crm_parts
 from feedloom.registry.base import query, rounded, stamp
-from feedloom.registry.pipelines import CRM_EVENTS, CRM_PARTS, crm_events
+from feedloom.registry.pipelines import CRM_EVENTS, CRM_GROUPS, crm_events, crm_measures
 
 
 def people(t):
@@ -125,12 +125,8 @@ def next_match_events(t):
 
 
 @query("outer_join_chain", f"""
-    WITH {CRM_EVENTS}, {CRM_PARTS}
-    SELECT event_date, campaign_name_cross, city, views, sessions, active_users, add_to_cart, total_purchasers,
-           round(revenue, 2) AS revenue
-    FROM views FULL OUTER JOIN sessions USING (event_date, campaign_name_cross, city)
-    FULL OUTER JOIN active_users USING (event_date, campaign_name_cross, city)
-    FULL OUTER JOIN purchases USING (event_date, campaign_name_cross, city)""")
+    WITH {CRM_EVENTS}, {CRM_GROUPS}
+    SELECT event_date, campaign_name_cross, city, {crm_measures('NULL')} FROM shown""")
 def outer_join_chain(t):
     parts = crm_parts(crm_events(t))
     chained = joins.outer_chain(list(parts.values()), ["event_date", "campaign_name_cross", "city"])

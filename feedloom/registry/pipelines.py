@@ -13,6 +13,7 @@ from feedloom.plans import (
     clean_tickets,
     crm_daily,
     crm_daily_fused,
+    crm_shape,
     ecommerce_customers,
     ecommerce_orders,
     entry_tickets,
@@ -49,6 +50,17 @@ def crm_events(t):
     )
 
 
+def crm_export(t):
+    """The same events nested as the export nests them."""
+    flat = crm_events(t)
+    source = F.struct(F.struct(F.col("campaign_name_cross").alias("campaign_name")).alias("cross_channel_campaign"))
+    params = F.array(key_value("page_title", text=F.lit("page")), key_value("ga_session_id", number=F.col("ga_session_id")))
+    return flat.select(
+        "event_date", "event_name", "user_pseudo_id", "is_active_user", source.alias("session_traffic_source_last_click"),
+        F.struct("city").alias("geo"), params.alias("event_params"), F.struct("purchase_revenue").alias("ecommerce"),
+    )
+
+
 CRM_EVENTS = """crm AS (
     SELECT strftime(ts, '%Y%m%d') AS event_date,
            CASE WHEN k % 7 <> 0 THEN 'campaign ' || CAST(k % 7 AS VARCHAR) END AS campaign_name_cross,
@@ -60,38 +72,32 @@ CRM_EVENTS = """crm AS (
            CASE WHEN event_type = 'purchase' THEN value END AS purchase_revenue
     FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events))"""
 
-CRM_PARTS = """views AS (
-    SELECT event_date, campaign_name_cross, city, CAST(sum(n) AS BIGINT) AS views FROM
-        (SELECT event_date, user_pseudo_id, city, campaign_name_cross, count(CASE WHEN event_name = 'page_view' THEN 1 END) AS n
-         FROM crm GROUP BY ALL) GROUP BY ALL),
-sessions AS (
-    SELECT event_date, campaign_name_cross, city,
-           count(DISTINCT user_pseudo_id || '-' || CAST(ga_session_id AS VARCHAR)) AS sessions FROM crm GROUP BY ALL),
-active_users AS (
-    SELECT event_date, campaign_name_cross, city, count(DISTINCT u) AS active_users FROM
-        (SELECT event_date, user_pseudo_id, city, campaign_name_cross, max(CASE WHEN is_active_user THEN user_pseudo_id END) AS u
-         FROM crm GROUP BY ALL) GROUP BY ALL),
-purchases AS (
-    SELECT event_date, campaign_name_cross, city, CAST(sum(carts) AS BIGINT) AS add_to_cart,
-           count(DISTINCT buyer) AS total_purchasers, coalesce(sum(paid), 0) AS revenue FROM
-        (SELECT event_date, user_pseudo_id, city, campaign_name_cross,
-                sum(CASE WHEN event_name = 'add_to_cart' THEN 1 ELSE 0 END) AS carts,
-                max(CASE WHEN event_name = 'purchase' THEN user_pseudo_id END) AS buyer, sum(purchase_revenue) AS paid
-         FROM crm GROUP BY ALL) GROUP BY ALL)"""
+# One grouped pass gives all measures.  In the report's terms they are four results put side by side by
+# day, campaign and city, and a null never equals a null: such a group shows once per result.
+CRM_GROUPS = """grouped AS (
+    SELECT event_date, campaign_name_cross, city, campaign_name_cross IS NULL OR city IS NULL AS apart,
+        count(*) FILTER (event_name = 'page_view') AS views,
+        count(DISTINCT user_pseudo_id || '-' || CAST(ga_session_id AS VARCHAR)) AS sessions,
+        count(DISTINCT user_pseudo_id) FILTER (is_active_user) AS active_users,
+        count(*) FILTER (event_name = 'add_to_cart') AS add_to_cart,
+        count(DISTINCT user_pseudo_id) FILTER (event_name = 'purchase') AS total_purchasers,
+        round(coalesce(sum(purchase_revenue), 0), 2) AS revenue
+    FROM crm GROUP BY event_date, campaign_name_cross, city),
+shown AS (SELECT *, unnest(CASE WHEN apart THEN [1, 2, 3, 4] ELSE [0] END) AS result FROM grouped)"""
+
+
+def crm_measures(missing: str) -> str:
+    """The measures of the results a row stands for; the others are missing."""
+    results = {"views": 1, "sessions": 2, "active_users": 3, "add_to_cart": 4, "total_purchasers": 4, "revenue": 4}
+    return ", ".join(f"CASE WHEN result IN (0, {n}) THEN {name} ELSE {missing} END AS {name}" for name, n in results.items())
 
 
 @query("crm_daily", f"""
-    WITH {CRM_EVENTS}, {CRM_PARTS}
+    WITH {CRM_EVENTS}, {CRM_GROUPS}
     SELECT strftime(strptime(event_date, '%Y%m%d'), '%Y-%m-%d') AS EVENT_BR_TIMESTAMP,
-           campaign_name_cross AS CAMPAIGN_NAME_CROSS, city AS CITY, coalesce(views, 0) AS views,
-           coalesce(sessions, 0) AS sessions, coalesce(active_users, 0) AS active_users,
-           coalesce(add_to_cart, 0) AS add_to_cart, coalesce(total_purchasers, 0) AS total_purchasers,
-           round(coalesce(revenue, 0), 2) AS revenue
-    FROM views FULL OUTER JOIN sessions USING (event_date, campaign_name_cross, city)
-    FULL OUTER JOIN active_users USING (event_date, campaign_name_cross, city)
-    FULL OUTER JOIN purchases USING (event_date, campaign_name_cross, city)""")
+           campaign_name_cross AS CAMPAIGN_NAME_CROSS, city AS CITY, {crm_measures('0')} FROM shown""")
 def crm_daily_query(t):
-    return crm_daily(crm_events(t)).withColumn("revenue", rounded("revenue"))
+    return crm_daily(crm_shape(crm_export(t))).withColumn("revenue", rounded("revenue"))
 
 
 @query("crm_daily_fused", f"""
@@ -156,6 +162,12 @@ def day_text(date: str) -> str:
             ELSE 'SPFCTICKET' END AS CROSS_CHANNEL_MEDIUM
     FROM v WHERE event_type <> 'error'""")
 def event_base_query(t):
+    return event_base(web_export(t))
+
+
+def web_export(t):
+    """Web events nested as the export nests them."""
+
     def text(column):
         return column.cast("string")
 
@@ -171,7 +183,7 @@ def event_base_query(t):
                   coupon=F.concat(F.lit("C"), user))
     campaign = struct(campaign_id=text(k % 7), campaign_name=F.concat(F.lit("campaign "), text(k % 7)), source="crm",
                       medium=F.expr(MEDIUM_IN))
-    export = made.select(
+    return made.select(
         F.date_format("ts", "yyyyMMdd").alias("event_date"),
         F.when(F.col("event_type") == "error", F.lit("file_download")).otherwise(F.col("event_type")).alias("event_name"),
         user.alias("user_id"), F.concat(F.lit("p"), user).alias("user_pseudo_id"),
@@ -195,7 +207,6 @@ def event_base_query(t):
                manual_medium=None).alias("collected_traffic_source"),
         struct(cross_channel_campaign=campaign).alias("session_traffic_source_last_click"),
     )
-    return event_base(export)
 
 
 # ---- tickets ----------------------------------------------------------------------
@@ -443,24 +454,31 @@ def ticket_fact_query(t):
     return build_fact(shaped(t, STAGE_IN), shaped(t, PEOPLE_IN), _contracts(t), batch)
 
 
-@query("integration_feed", f"""
+FEED_SQL = f"""
     WITH {CATALOGUE}, stage AS ({shape_sql(STAGE_IN)}), people AS ({shape_sql(PEOPLE_IN)}),
-    clients AS (SELECT CAST(s_suppkey * 10 AS VARCHAR) AS cpf, s_name AS nome, CASE WHEN s_nationkey > 5 THEN s_name || '@shop' END AS email FROM supplier)
-    SELECT fe.PARTIDA AS partida, fe.DT_EVENTO AS data_realizacao, fc.ingresso, fc.portao_acesso AS tipo_acesso, fc.valor, fc.cpf,
-        coalesce(dp.nome, dpf.nome, fc.nome) AS nome, coalesce(dp.email, dpf.email) AS email, fc.setor, 'NAO_INFORMADO' AS descricao,
-        'FCARD' AS ticketeira, fc.usado AS used, fc.fileira AS "row", fc.assento AS seat, fe.COD_EVENTO AS event, fc.order_id, fc.sale_from, fc.subsector,
-        fc.ticket_id, fc.used_time, fc.member_fc_id, fc.client_id, 'PAGO' AS order_status, fc.data_pagamento AS payment_date,
-        fc.forma_pagamento AS payment_method, CASE WHEN fc.member_unique_id IN ('', 'null') THEN NULL ELSE fc.member_unique_id END AS member_unique_id,
-        fc.ipe_comprou_ano_vigente, fc.desconto, fc.taxa_conveniencia, fc.ticket_name, fc.documento_portador, fc.flag_cpf_portador
-    FROM stage fc JOIN catalogue fe ON fc.cod_evento = fe.COD_EVENTO
-    LEFT JOIN people dp ON fc.cpf = dp.cpf AND dp.load_end_date IS NULL AND dp.email IS NOT NULL
-    LEFT JOIN clients dpf ON fc.cpf = dpf.cpf AND dpf.email IS NOT NULL""")
-def integration_feed_query(t):
-    clients = t.supplier.select(
+    known AS (SELECT cpf, nome, email FROM people WHERE load_end_date IS NULL AND email IS NOT NULL),
+    clients AS (SELECT CAST(s_suppkey * 10 AS VARCHAR) AS cpf, s_name AS nome, s_name || '@shop' AS email FROM supplier WHERE s_nationkey > 5),
+    ticket AS (SELECT s.*, PARTIDA, DT_EVENTO FROM stage s JOIN catalogue c ON c.COD_EVENTO = s.cod_evento),
+    named AS (SELECT ticket.*, coalesce(known.nome, clients.nome, ticket.nome) AS best_name, coalesce(known.email, clients.email) AS best_email
+        FROM ticket LEFT JOIN known USING (cpf) LEFT JOIN clients USING (cpf))
+    SELECT cpf, best_name AS nome, best_email AS email, cod_evento AS event, PARTIDA AS partida, DT_EVENTO AS data_realizacao,
+        ticket_id, ingresso, order_id, client_id, member_fc_id, nullif(nullif(member_unique_id, ''), 'null') AS member_unique_id,
+        valor, desconto, taxa_conveniencia, data_pagamento AS payment_date, forma_pagamento AS payment_method, 'PAGO' AS order_status,
+        portao_acesso AS tipo_acesso, setor, subsector, fileira AS "row", assento AS seat, usado AS used, used_time, sale_from,
+        ticket_name, documento_portador, flag_cpf_portador, ipe_comprou_ano_vigente, 'NAO_INFORMADO' AS descricao, 'FCARD' AS ticketeira
+    FROM named"""
+
+
+def _shop_clients(t):
+    return t.supplier.select(
         (F.col("s_suppkey") * 10).cast("string").alias("cpf"), F.col("s_name").alias("nome"),
         F.when(F.col("s_nationkey") > 5, F.concat("s_name", F.lit("@shop"))).alias("email"),
     )
-    return build_integration(shaped(t, STAGE_IN), catalogue_in(t), shaped(t, PEOPLE_IN), clients)
+
+
+@query("integration_feed", FEED_SQL)
+def integration_feed_query(t):
+    return build_integration(shaped(t, STAGE_IN), catalogue_in(t), shaped(t, PEOPLE_IN), _shop_clients(t))
 
 
 # ---- second ticketing feed --------------------------------------------------------
@@ -576,6 +594,10 @@ def shop_users_query(t):
         CASE l_returnflag WHEN 'R' THEN true WHEN 'A' THEN false END AS FLAG_ENTREGUE, l_linestatus AS STATUS_BRUTO, l_suppkey AS SUPPLIER_CODE
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""")
 def ecommerce_orders_query(t):
+    return ecommerce_orders(ecommerce_export(t))
+
+
+def ecommerce_export(t):
     joined = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         t.customer, F.col("o_custkey") == F.col("c_custkey")
     )
@@ -584,7 +606,7 @@ def ecommerce_orders_query(t):
         return F.replace(F.col(column).cast("decimal(18,2)").cast("string"), F.lit("."), F.lit(","))
 
     word = F.when(F.col("l_returnflag") == "R", F.lit("Sim")).when(F.col("l_returnflag") == "A", F.lit("Não"))
-    export = joined.select(
+    return joined.select(
         F.col("l_orderkey").cast("string").alias("Order"), F.col("l_linenumber").cast("string").alias("Sequence "),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("Creation Date"), F.col("c_name").alias("Client Name"),
         F.lit(" NaN").alias("Coupon"),
@@ -594,7 +616,6 @@ def ecommerce_orders_query(t):
         brazilian("l_tax").alias("Service (Price/ Selling Price)"), word.alias("Delivered"),
         F.col("l_linestatus").alias("Status raw value (temporary)"), F.col("l_suppkey").alias("Supplier-Code"),
     )
-    return ecommerce_orders(export)
 
 
 @query("ecommerce_customers", """

@@ -9,7 +9,7 @@ from feedloom.functions import day_range, to_float, to_int
 from feedloom.registry.base import query, stamp
 from feedloom.session import work_path
 from feedloom.sinks import export_delimited
-from feedloom.sources import check_pages, missing_pages, read_day, read_delimited, read_table, unwrap_pages
+from feedloom.sources import PagesMissing, check_pages, missing_pages, read_day, read_delimited, read_table, unwrap_pages
 
 
 @query("read_delimited", """
@@ -89,4 +89,17 @@ def missing_pages_query(t):
     SELECT conv_id, turn + 1 AS page, role FROM conversations""")
 def check_pages_query(t):
     pages = t.conversations.select("conv_id", (F.col("turn") + 1).alias("page"), "role")
-    return check_pages(pages, "conv_id", "page", on_missing="skip")
+    return check_pages(pages, "conv_id", "page")
+
+
+@query("check_pages_gaps", """
+    WITH landed AS (SELECT conv_id, turn + 1 AS page, role FROM conversations WHERE turn <> 1)
+    SELECT conv_id, CAST(2 AS BIGINT) AS page FROM landed GROUP BY conv_id HAVING max(page) > 2""")
+def check_pages_gaps_query(t):
+    """A feed without its second pages: the check refuses it, and what is missing is the result."""
+    pages = t.conversations.where("turn <> 1").select("conv_id", (F.col("turn") + 1).alias("page"), "role")
+    try:
+        check_pages(pages, "conv_id", "page")
+    except PagesMissing:
+        return missing_pages(pages, "conv_id", "page")
+    raise AssertionError("a feed with gaps passed the check")

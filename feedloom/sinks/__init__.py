@@ -16,13 +16,16 @@ from feedloom.sinks.tables import (
     full_refresh,
     log_run,
     path_exists,
+    read_if_there,
     replace_partitions,
     replace_window_in_place,
+    rewrite,
     run_logged,
+    swap_partitions,
 )
 
 __all__ = [
     "append", "export_delimited", "fan_out", "full_refresh", "insert_new", "log_run",
-    "merge_upsert", "path_exists", "replace_by_key", "replace_by_window", "replace_partitions",
-    "replace_tail", "replace_where", "replace_window_in_place", "run_logged", "verify_unique",
+    "merge_upsert", "path_exists", "read_if_there", "replace_by_key", "replace_by_window", "replace_partitions",
+    "replace_tail", "replace_where", "replace_window_in_place", "rewrite", "run_logged", "swap_partitions", "verify_unique",
 ]

@@ -45,6 +45,26 @@ def full_refresh(df: DataFrame, path: str, partition_by: str | None = None) -> D
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def rewrite(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
+    """``full_refresh`` by rows that may read the table itself.
+
+    They are written beside it first, so the table is never read while it is replaced and the
+    rows are computed once; the copy goes when the table stands.
+    """
+    spark, aside = df.sparkSession, f"{path}__next"
+    df.write.mode("overwrite").parquet(aside)
+    written = full_refresh(spark.read.schema(df.schema).parquet(aside), path, partition_by)
+    remove(spark, aside)
+    return written
+
+
+def read_if_there(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """The table, or no rows of the same columns before its first load."""
+    if path_exists(spark, path):
+        return spark.read.schema(like.schema).parquet(path)
+    return like.where(F.lit(False))
+
+
 def append(df: DataFrame, path: str, max_rows: int = 0, partition_by: str | None = None) -> DataFrame:
     """Add the rows; ``max_rows`` bounds the rows per file, not the rows written."""
     writer = _by_partition(df, partition_by).mode("append")

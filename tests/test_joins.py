@@ -72,3 +72,27 @@ def test_enrich_priority(spark):
     second = spark.createDataFrame([("a", "second"), ("a", "again")], "cpf string, two string")
     found = joins.enrich_priority(fact, events, "event", [(first, "cpf"), (second, "cpf")], {"name": ["one", "two", "own"]})
     assert rows(found, "event", "name", "two") == [(1, "first", "again"), (1, "first", "second"), (2, "own", None)]
+
+
+def test_salted_join_is_a_left_join_and_spreads_the_hot_key(spark):
+    """Half of the facts carry the sentinel; at default thresholds no task holds that half."""
+    from pyspark.sql import functions as F
+
+    from feedloom.operators.joins import left_join_salted
+
+    facts = spark.range(40_000).select("id", F.when(F.col("id") % 2 == 0, F.lit("-1")).when(F.col("id") % 97 != 0, F.col("id").cast("string")).alias("cpf"))
+    dim = spark.range(20_000).select((F.col("id") * 3).cast("string").alias("cpf"), F.col("id").alias("sk"))
+    dim = dim.union(spark.createDataFrame([("-1", 1_000_000), ("-1", 1_000_001)], dim.schema))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = left_join_salted(facts, dim, "cpf", ["-1"])
+        wanted = facts.join(dim, "cpf", "left")
+        assert found.columns == wanted.columns
+        assert found.exceptAll(wanted).isEmpty() and wanted.exceptAll(found).isEmpty()
+        parts = found.where("cpf = '-1'").groupBy(F.spark_partition_id().alias("p")).count()
+        largest = parts.agg(F.max("count")).first()[0]
+        assert largest < 40_000 / 2 or parts.count() > 1
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(cpf" in plan and "_salt" in plan.split("hashpartitioning(cpf", 1)[1][:40]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
