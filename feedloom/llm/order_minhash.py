@@ -41,7 +41,6 @@ PICKED = 2
 THRESHOLD = 0.8
 NOT_WORDS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"  # what is left out of words, before lower-casing
 SPREAD = 8
-DEPTH = 2
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -268,41 +267,47 @@ def _led(members: DataFrame, threshold: float) -> DataFrame:
     return met.where((F.col("a") != F.col("b")) & _alike(threshold)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _across(members: DataFrame, classes: DataFrame, spread: int, depth: int, threshold: float) -> DataFrame:
-    """Pairs of different classes that share a sketch, or more of them where one is shared too widely."""
-    named = members.join(classes, F.col("doc_id") == F.col("node"), "left").select("at", "key", "doc_id", "n", "sketches", F.coalesce("component", "doc_id").alias("c"))
-    found = []
-    for level in range(1, depth + 1):
-        sizes = named.groupBy("at", "key", "c").agg(F.count("*").alias("k")).groupBy("at", "key").agg(F.sum("k").alias("m"), F.sum(F.col("k") * F.col("k")).alias("q"))
-        crossed = sizes.where("q < m * m").withColumn("wide", (F.col("m") * F.col("m") - F.col("q")) / 2 > F.lit(spread) * F.col("m")).drop("m", "q")
-        here = _written(named.join(crossed, ["at", "key"]), "members")
-        narrow, wide = here.where("not wide"), here.where("wide")
-        left = narrow.select("at", "key", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
-        right = narrow.select("at", "key", F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("c").alias("c_b"))
-        found.append(left.join(right, ["at", "key"]).where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & _alike(threshold)).select("a", "b"))
-        if wide.isEmpty():
-            break
-        if level == depth:
-            found.append(_led(wide, threshold))
-            break
-        more = F.explode(F.filter(F.transform("sketches", lambda x, i: F.struct(i.alias("at"), x.alias("key"))), lambda s: s["at"] > F.element_at("at", -1)))
-        named = wide.select("at", "key", "doc_id", "n", "sketches", "c", more.alias("next"))
-        named = named.select(F.concat("at", F.array("next.at")).alias("at"), F.xxhash64("key", "next.key").alias("key"), "doc_id", "n", "sketches", "c")
-    pairs = found[0]
-    for more_pairs in found[1:]:
-        pairs = pairs.union(more_pairs)
-    return pairs.distinct()
-
-
-def links(docs: DataFrame, rows: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD, spread: int = SPREAD, depth: int = DEPTH) -> DataFrame:
+def _crossed(named: DataFrame, spread: int) -> DataFrame:
+    """The members of buckets that hold several classes, and whether those make too many pairs."""
+    per_class = named.groupBy("at", "key", "c").agg(F.count("*").alias("k"))
+    sizes = per_class.groupBy("at", "key").agg(F.sum("k").alias("m"), F.sum(F.col("k") * F.col("k")).alias("q"))
+    wide = (F.col("m") * F.col("m") - F.col("q")) / 2 > F.lit(spread) * F.col("m")
+    return _written(named.join(sizes.where("q < m * m").select("at", "key", wide.alias("wide")), ["at", "key"]), "members")
+
+
+def _between(narrow: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of members of a bucket that are in different classes."""
+    left = narrow.select("at", "key", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
+    right = narrow.select("at", "key", F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("c").alias("c_b"))
+    met = left.join(right, ["at", "key"])
+    return met.where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & _alike(threshold)).select("a", "b")
+
+
+def _across(members: DataFrame, classes: DataFrame, spread: int, threshold: float) -> DataFrame:
+    """Pairs of different classes that share a sketch, or two of them where one is shared too widely.
+
+    A pair that shares a sketch which is not shared widely is found by that one, so only the
+    widely shared sketches of a text are taken two at a time.
+    """
+    named = members.join(classes, F.col("doc_id") == F.col("node"), "left").select("at", "key", "doc_id", "n", F.coalesce("component", "doc_id").alias("c"))
+    here = _crossed(named, spread)
+    own = here.where("wide").groupBy("doc_id", "n", "c").agg(F.array_sort(F.collect_list(F.struct("at", "key"))).alias("s"))  # a sketch each at most
+    both = F.flatten(F.transform("s", lambda x, i: F.transform(F.slice(F.col("s"), i + 2, F.size("s")), lambda y: F.struct(
+        F.concat(x["at"], F.lit(","), y["at"]).alias("at"), F.xxhash64(x["key"], y["key"]).alias("key")))))
+    twice = _crossed(own.select("doc_id", "n", "c", F.explode(both).alias("two")).select("two.at", "two.key", "doc_id", "n", "c"), spread)
+    pairs = _between(here.where("not wide"), threshold).union(_between(twice.where("not wide"), threshold))
+    return pairs.union(_led(twice.where("wide"), threshold)).distinct()
+
+
+def links(docs: DataFrame, rows: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD, spread: int = SPREAD) -> DataFrame:
     """``a, b, similarity`` between texts of different words, ``a < b``; enough of them to join every class.
 
     ``rows`` is what ``sketched`` gives for ``docs``.
     """
     one = rows.groupBy("s1", "s2").agg(F.min("doc_id").alias("doc_id"), F.any_value("n").alias("n"), F.any_value("sketches").alias("sketches"))
     one = one.groupBy("doc_id").agg(F.min_by(F.struct("s1", "s2", "n", "sketches"), F.struct("s1", "s2")).alias("t")).select("doc_id", "t.*")
-    spread_out = one.select("doc_id", "s1", "s2", "n", "sketches", F.posexplode("sketches").alias("place", "key"))
-    keyed = spread_out.select(F.array("place").alias("at"), "key", "doc_id", "s1", "s2", "n", "sketches")
+    spread_out = one.select("doc_id", "s1", "s2", "n", F.posexplode("sketches").alias("place", "key"))
+    keyed = spread_out.select(F.col("place").cast("string").alias("at"), "key", "doc_id", "s1", "s2", "n")
     shared = keyed.groupBy("at", "key").agg(F.count("*").alias("size")).where("size > 1").drop("size")
     members = _written(keyed.join(shared, ["at", "key"]), "buckets")
     wanted = members.select("doc_id", "s1", "s2").distinct()
@@ -310,18 +315,18 @@ def links(docs: DataFrame, rows: DataFrame, size: int = SHINGLE, threshold: floa
     read = docs.select(F.col("doc_id").cast("long"), "text").join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
     texts = _written(sequences(read, size).join(wanted, ["doc_id", "s1", "s2"], "left_semi").dropDuplicates(["doc_id"]), "sequences")
     first = _written(_verified(_led(members, threshold), texts, threshold), "links")
-    rest = _across(members, components(first), spread, depth, threshold)
+    rest = _across(members, components(first), spread, threshold)
     return _written(first.union(_verified(rest, texts, threshold)), "links").dropDuplicates(["a", "b"])
 
 
 def classes(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD, sketches: int = SKETCHES, picked: int = PICKED,
-            spread: int = SPREAD, depth: int = DEPTH) -> DataFrame:
+            spread: int = SPREAD) -> DataFrame:
     """``doc_id, class_id, n_links`` for each row; a class is named by its least id.
 
     ``n_links`` counts the links found between the document's words and others in the class.
     """
     rows = _written(sketched(docs, size, sketches, picked), "sketches")
-    found = links(docs, rows, size, threshold, spread, depth)
+    found = links(docs, rows, size, threshold, spread)
     joined = components(found)
     counts = found.select(F.explode(F.array("a", "b")).alias("text_id")).groupBy("text_id").agg(F.count("*").alias("n_links"))
     one = rows.groupBy("s1", "s2").agg(F.min("doc_id").alias("text_id"))
