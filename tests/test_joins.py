@@ -84,6 +84,7 @@ def test_salted_join_is_a_left_join_and_spreads_the_hot_key(spark):
     dim = spark.range(20_000).select((F.col("id") * 3).cast("string").alias("cpf"), F.col("id").alias("sk"))
     dim = dim.union(spark.createDataFrame([("-1", 1_000_000), ("-1", 1_000_001)], dim.schema))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # these tables are small enough for one task
     try:
         found = left_join_salted(facts, dim, "cpf", ["-1"])
         wanted = facts.join(dim, "cpf", "left")
@@ -91,8 +92,9 @@ def test_salted_join_is_a_left_join_and_spreads_the_hot_key(spark):
         assert found.exceptAll(wanted).isEmpty() and wanted.exceptAll(found).isEmpty()
         parts = found.where("cpf = '-1'").groupBy(F.spark_partition_id().alias("p")).count()
         largest = parts.agg(F.max("count")).first()[0]
-        assert largest < 40_000 / 2 or parts.count() > 1
+        assert largest < 0.5 * parts.agg(F.sum("count")).first()[0]
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert "hashpartitioning(cpf" in plan and "_salt" in plan.split("hashpartitioning(cpf", 1)[1][:40]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
