@@ -3,11 +3,12 @@
 A text is the sequence of its shingles (``size`` consecutive words), each labelled with how often it has
 occurred before.  A sketch is the ``picked`` labelled shingles with the smallest hashes, in text order, so two
 texts share a sketch if they share those shingles in the same order; ``sketches`` hash functions give as many
-sketches.  Texts that share a sketch and whose lengths allow it are candidates.  A candidate pair is aligned:
-with L the longest common subsequence of the two shingle sequences, found inside the band of shifts that the
-threshold leaves possible, the similarity is L / (m + n - L), which for texts in the same order is the
-Jaccard similarity of their labelled shingles.  Texts that repeat themselves and miss the threshold so are
-aligned a second time by each shingle's first occurrence alone.  Links of at least ``threshold`` join documents into classes.
+sketches.  Every other function leaves repeated occurrences out, so that a line repeated a hundred times does
+not fill all sketches.  Texts that share a sketch and whose lengths allow it are candidates.  A candidate pair
+is aligned: with L the longest common subsequence of the two sequences of first occurrences, found inside the
+band of shifts that the threshold leaves possible, the similarity is L / (m + n - L), which for texts in the
+same order is the Jaccard similarity of their shingles.  Repetition alone makes no two texts alike.  Links of
+at least ``threshold`` join documents into classes.
 
 Texts of the same words are one text from the start.  Of the texts that share a sketch, each is first paired
 with a few leaders (the least id, the shortest, one by hash), which joins groups of copies without pairing
@@ -36,7 +37,7 @@ from feedloom.llm.texts import BASE, WORD, Words, binary, chunks, mixed, powers,
 from feedloom.session import work_path
 
 SHINGLE = 5
-SKETCHES = 12
+SKETCHES = 16
 PICKED = 2
 THRESHOLD = 0.8
 NOT_WORDS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"  # what is left out of words, before lower-casing
@@ -79,8 +80,8 @@ def labelled(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return result
 
 
-def sketch(labels: np.ndarray, ends: np.ndarray, sketches: int = SKETCHES, picked: int = PICKED) -> np.ndarray:
-    """A row of sketches for each document that has shingles."""
+def sketch(labels: np.ndarray, again: np.ndarray, ends: np.ndarray, sketches: int = SKETCHES, picked: int = PICKED) -> np.ndarray:
+    """A row of sketches for each document that has shingles; ``again`` marks occurrences after the first."""
     starts = ends[:-1][np.diff(ends) > 0]
     counts = np.diff(np.r_[starts, len(labels)])
     of = np.repeat(np.arange(len(starts)), counts)
@@ -90,6 +91,8 @@ def sketch(labels: np.ndarray, ends: np.ndarray, sketches: int = SKETCHES, picke
         order ^= order >> np.uint64(29)
         order *= np.uint64(0xD6E8FEB86659FD93)
         order ^= order >> np.uint64(32)
+        if function % 2:
+            order[again] = NONE
         places = []
         for _ in range(picked):
             least = np.minimum.reduceat(order, starts)
@@ -113,8 +116,8 @@ def signature(found: Words) -> tuple[np.ndarray, np.ndarray]:
     return halves[0], halves[1]
 
 
-def _in_order(i: np.ndarray, j: np.ndarray) -> int:
-    """Longest run of matches that rises on both sides; i rises, and for equal i, j falls."""
+def _in_order(j: np.ndarray) -> int:
+    """Length of the longest rising subsequence."""
     if len(j) < 2 or (np.diff(j) > 0).all():
         return len(j)
     tails: list[int] = []
@@ -127,37 +130,11 @@ def _in_order(i: np.ndarray, j: np.ndarray) -> int:
     return len(tails)
 
 
-def _by_rows(a: np.ndarray, b: np.ndarray, low: int, high: int) -> int:
-    """The same by dynamic programming over the band, for texts that repeat themselves."""
-    row = np.zeros(len(b) + 1, np.int64)
-    for i, x in enumerate(a):
-        start, stop = max(i + low, 0), min(i + high + 1, len(b))
-        if start >= stop:
-            continue
-        # cells outside the band keep what the band had at its edge
-        step = np.maximum(row[start + 1:stop + 1], row[start:stop] + (b[start:stop] == x))
-        row[start + 1:stop + 1] = np.maximum(np.maximum.accumulate(step), row[start])
-        row[stop + 1:stop + 2] = np.maximum(row[stop + 1:stop + 2], row[stop])
-    return int(row.max())
-
-
-def _once(a: np.ndarray) -> np.ndarray:
-    """First occurrences, in order."""
-    _, first = np.unique(a, return_index=True)
-    return a if len(first) == len(a) else a[np.sort(first)]
-
-
 def similarity(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float:
-    """Of the texts as they are or, if that is too little, of their first occurrences; 0 below the threshold."""
-    found = aligned(a, b, threshold)
-    if found:
-        return found
-    x, y = _once(a), _once(b)
-    return aligned(x, y, threshold) if len(x) < len(a) or len(y) < len(b) else 0.0
+    """L / (m + n - L) of two sequences without repetition if that is ``threshold`` or more, else 0.
 
-
-def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float:
-    """L / (m + n - L) if that is ``threshold`` or more, else 0; L inside the band the threshold allows."""
+    L is sought inside the band the threshold allows.
+    """
     m, n = len(a), len(b)
     need = int(np.ceil(threshold * (m + n) / (1 + threshold) - 1e-9))
     if not m or not n or need > min(m, n):
@@ -172,24 +149,18 @@ def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float
     common = 0
     if len(x) and len(y):
         order = np.argsort(y, kind="stable")
-        ordered = y[order]
-        first, last = np.searchsorted(ordered, x), np.searchsorted(ordered, x, "right")
-        counts = last - first
-        if counts.sum() > 4 * (m + n):
-            common = _by_rows(x, y, low, high)
-        else:
-            i = np.repeat(np.arange(len(x)), counts)
-            back = np.cumsum(counts)[i] - 1 - np.arange(len(i))  # places of one shingle, last first
-            j = order[first[i] + back]
-            inside = (j - i >= low) & (j - i <= high)
-            common = _in_order(i[inside], j[inside])
+        at = np.minimum(np.searchsorted(y[order], x), len(y) - 1)
+        i = np.flatnonzero(y[order[at]] == x)
+        j = order[at[i]]
+        inside = (j - i >= low) & (j - i <= high)
+        common = _in_order(j[inside])
     total = head + tail + common
     found = total / (m + n - total)
     return found if found >= threshold - 1e-12 else 0.0
 
 
 def sketched(docs: DataFrame, size: int = SHINGLE, sketches: int = SKETCHES, picked: int = PICKED) -> DataFrame:
-    """``doc_id, n, s1, s2, sketches`` of the rows with an id and words."""
+    """``doc_id, n, s1, s2, sketches`` of the rows with an id and words; ``n`` counts different shingles."""
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("sketches", pa.list_(pa.int64()))])
 
     def run(batches):
@@ -201,7 +172,10 @@ def sketched(docs: DataFrame, size: int = SHINGLE, sketches: int = SKETCHES, pic
                 some = np.flatnonzero(counts)
                 if not len(some):
                     continue
-                rows = sketch(labelled(hashes, ends), ends, sketches, picked)
+                labels = labelled(hashes, ends)
+                again = labels != hashes
+                counts = counts - np.diff(np.r_[0, np.cumsum(again)][ends])
+                rows = sketch(labels, again, ends, sketches, picked)
                 s1, s2 = signature(found)
                 ids = batch.column(0).slice(chunk.rows.start, len(chunk)).take(pa.array(some))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1) * sketches, pa.int32()), pa.array(rows.ravel().view(np.int64)))
@@ -212,7 +186,7 @@ def sketched(docs: DataFrame, size: int = SHINGLE, sketches: int = SKETCHES, pic
 
 
 def sequences(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """``doc_id, s1, s2, sequence``: 32 bits of each shingle in order, which is enough between two texts."""
+    """``doc_id, s1, s2, sequence``: 32 bits of each shingle's first occurrence in order, enough between two texts."""
     schema = pa.schema([("doc_id", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("sequence", pa.binary())])
 
     def run(batches):
@@ -221,8 +195,10 @@ def sequences(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
                 found = words(chunk, WORD)
                 hashes, ends = shingles(found, size)
                 s1, s2 = signature(found)
-                short = (hashes >> np.uint64(32)).astype(np.uint32)
-                blobs = [binary(short[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+                once = labelled(hashes, ends) == hashes
+                short = (hashes[once] >> np.uint64(32)).astype(np.uint32)
+                cuts = np.r_[0, np.cumsum(once)][ends]
+                blobs = [binary(short[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
                 yield pa.record_batch([batch.column(0).slice(chunk.rows.start, len(chunk)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), pa.array(blobs, pa.binary())], schema=schema)
 
     return docs.mapInArrow(run, "doc_id long, s1 long, s2 long, sequence binary")

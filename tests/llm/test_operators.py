@@ -222,12 +222,11 @@ def brute_similarity(a, b):
         same = lcs(x, y)
         return same / (len(x) + len(y) - same)
 
-    found = one(a, b)
-    return found if found >= 0.8 - 1e-12 else one(list(dict.fromkeys(a)), list(dict.fromkeys(b)))
+    return one(a, b)
 
 
 @settings(max_examples=80, deadline=None)
-@given(st.lists(st.integers(0, 30), min_size=1, max_size=60), st.lists(st.tuples(st.integers(0, 60), st.integers(0, 30)), max_size=8))
+@given(st.lists(st.integers(0, 90), min_size=1, max_size=80), st.lists(st.tuples(st.integers(0, 60), st.integers(0, 90)), max_size=8))
 def test_banded_alignment(sequence, edits):
     other = list(sequence)
     for at, value in edits:
@@ -237,6 +236,7 @@ def test_banded_alignment(sequence, edits):
             del other[at % len(other)]
         else:
             other[at % len(other)] = value
+    sequence, other = list(dict.fromkeys(sequence)), list(dict.fromkeys(other))
     wanted = brute_similarity(sequence, other)
     found = order_minhash.similarity(np.array(sequence, np.uint32), np.array(other, np.uint32), 0.8)
     assert found == (pytest.approx(wanted) if wanted >= 0.8 - 1e-12 else 0.0)
@@ -255,6 +255,7 @@ def near_rows():
             rows.append((1000 + 50 * g + c, " ".join(own)))
     rows += [(2000 + i, passage + " " + prose(5000 + i, 12 + i % 30)) for i in range(60)]
     rows += [(3000 + i, passage + f" end{i}") for i in range(6)]
+    rows += [(3500 + i, prose(8000 + i, 40) + " is so." * 150) for i in range(20)]  # a line repeated makes nothing alike
     return rows + [(4000 + i, prose(7000 + i, 80)) for i in range(40)]
 
 
