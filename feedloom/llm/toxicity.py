@@ -3,11 +3,12 @@
 Fitting reads a bounded sample of labelled rows (``sample``, by hash of the id), and nothing but their texts
 and labels.  A token is a word; its stems, its first 4, 5 and 6 bytes, are scored alike, for languages that
 inflect, and the word takes the largest score among them.  A score is the log-odds between toxic and clean texts under a Dirichlet prior
-proportional to its frequency (``prior`` times as many pseudo-tokens as the sample has); words with none that lies ``z`` standard errors above
-zero cost ``drift``.  A linear scan finds every maximal segment of a text.  For clean texts the
+proportional to its frequency (``prior`` times as many pseudo-tokens as the sample has).  What is toxic
+has log-odds of ``odds`` or more that lie ``z`` standard errors above zero; other words cost ``drift``, also those that are merely
+a little more frequent in toxic texts, as all words of a language can be.  A linear scan finds every maximal segment of a text.  For clean texts the
 number of segments scoring s or more in n tokens is about K n exp(-lambda s); a passage is significant where
 that is below one, and a text's evidence is the sum of -log of it over its significant passages.  A logistic
-curve, fitted to evidence from scores learnt on the other half of the sample, turns evidence into the
+curve, fitted to the logarithm of evidence from scores learnt on the other half of the sample, turns evidence into the
 probability of the label.
 
 Defined results: null and empty texts have no passage and get the base rate's score; repeated rows are scored
@@ -29,6 +30,7 @@ from feedloom.llm.texts import WORD, chunks, words
 SAMPLE = 32_768  # labelled rows read for fitting
 TERMS = 65_536  # scored tokens a model may hold, most significant first
 Z = 3.0
+ODDS = 3.0
 PRIOR = 0.05
 DRIFT = 0.1
 HALVES = 2
@@ -138,7 +140,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(max(w[1], 0.0))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, z: float = Z, prior: float = PRIOR, drift: float = DRIFT) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, z: float = Z, odds: float = ODDS, prior: float = PRIOR, drift: float = DRIFT) -> Model:
     """Learn from documents with ``labels (doc_id, toxic)``; rows to be held out are not to be among the labels."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
     chosen = known.agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).toArrow()
@@ -171,18 +173,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, z: float = Z,
     prior = max(prior * sum(totals), 1.0)
     both = F.col("toxic0") + F.col("toxic1")
     share = F.lit(prior) * (both + F.col("clean0") + F.col("clean1")) / F.lit(max(sum(totals), 1))
-    rough = (F.log((both + share) / (totals[1] + totals[3] + prior)) - F.log((F.col("clean0") + F.col("clean1") + share) / (totals[0] + totals[2] + prior))) / F.sqrt(1 / (both + share) + 1 / (F.col("clean0") + F.col("clean1") + share))
+    clean = F.col("clean0") + F.col("clean1")
+    rough = F.log((both + share) / (totals[1] + totals[3] + prior)) - F.log((clean + share) / (totals[0] + totals[2] + prior))
+    error = F.sqrt(1 / (both + share) + 1 / (clean + share))
     # a token that misses the bar over all, by far, reaches it in neither half
-    kept = counted.where((F.col("token") != int(ALL)) & (both > 0)).withColumn("z", rough).where(F.col("z") > z / 2).orderBy(F.desc("z"), "token").limit(TERMS).toArrow()
+    kept = counted.where((F.col("token") != int(ALL)) & (both > 0)).withColumn("z", rough / error).where((F.col("z") > z / 2) & (rough > odds / 2)).orderBy(F.desc("z"), "token").limit(TERMS).toArrow()
     token = kept["token"].to_numpy().view(np.uint64)
     order = np.argsort(token)
     token = token[order]
     c0, t0, c1, t1 = (kept[n].to_numpy()[order].astype(float) for n in names)
 
     def scored(toxic, clean, toxic_all, clean_all) -> Model:
-        odds, error = _log_odds(toxic, clean, toxic_all, clean_all, prior)
-        good = odds > z * error
-        model = Model(token[good], odds[good], drift)
+        own, error = _log_odds(toxic, clean, toxic_all, clean_all, prior)
+        good = (own > z * error) & (own >= odds)
+        model = Model(token[good], own[good], drift)
         counts = clean[good]
         model.rate = _lambda(model.scores, counts, max(clean_all - counts.sum(), 1.0), drift)
         return model
@@ -217,7 +221,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, z: float = Z,
         least = min((s for s, _ in clean), default=0.0)
         model.size = max(len(clean), 1) / max(read * np.exp(-model.rate * least), 1e-300)
     x = np.array([_evidence(r["scores"], r["n"], by_other[r["half"]]) for r in rows])
-    final.intercept, final.slope = _logistic(x, np.array([r["toxic"] for r in rows], float))
+    final.intercept, final.slope = _logistic(np.log1p(x), np.array([r["toxic"] for r in rows], float))
     return final
 
 
@@ -259,7 +263,7 @@ def score(docs: DataFrame, model: Model, *columns: str | Column) -> DataFrame:
                     own = _evidence([s], int(w.first[document + 1] - w.first[document]), model)
                     evidence[c.rows.start + document] += own
                     number[c.rows.start + document] += own > 0
-            chance = 1 / (1 + np.exp(-np.clip(model.intercept + model.slope * evidence, -30, 30)))
+            chance = 1 / (1 + np.exp(-np.clip(model.intercept + model.slope * np.log1p(evidence), -30, 30)))
             yield pa.record_batch([*batch.columns[:-1], pa.array(chance), pa.array(number), pa.array(evidence)], names=[*names, "score", "n_passages", "evidence"])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), "score double, n_passages long, evidence double"])
