@@ -310,11 +310,15 @@ def _each(rows: DataFrame, length: int) -> DataFrame:
 
 
 def trim(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """``docs`` with what is left of their texts; rows that had text and have none left go."""
+    """``docs`` with what is left of their texts; rows that had text and have none left go.
+
+    The texts come from the removal's result, so those of ``docs`` are not shuffled once more.
+    """
     found = by_text(docs, length, gram, keep_text=True).withColumnRenamed("digest", "_digest")
     digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
-    whole = docs.select(F.struct(*docs.columns).alias("_row"), digest.alias("_digest"), F.col("doc_id").cast("long").alias("doc_id"))
-    rows = _each(whole.join(found, "_digest"), length)
+    others = F.struct(*[c for c in docs.columns if c != "text"])
+    without = docs.select(others.alias("_row"), digest.alias("_digest"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").isNull().alias("_none"))
+    rows = _each(without.join(found, "_digest"), length)
     rows = rows.where((F.col("kept") != "") | (F.col("n_bytes") == 0))
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("_row.text")).alias("text")
+    text = F.when(~F.col("_none"), F.col("kept")).alias("text")
     return rows.select(*(text if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns))
