@@ -238,9 +238,11 @@ def _led(members: DataFrame, threshold: float) -> DataFrame:
     orders = (F.struct("doc_id"), F.struct("n", "doc_id"), F.struct(F.xxhash64("doc_id", F.lit(1)), "doc_id"))
     first = [F.min_by(text, order).alias(f"l{i}") for i, order in enumerate(orders)]
     chosen = members.groupBy("at", "key").agg(F.count("*").alias("size"), *first).where("size > 1")
-    chosen = chosen.select("at", "key", F.explode(F.array_distinct(F.array(*(f"l{i}" for i in range(len(orders)))))).alias("leader")).select("at", "key", "leader.*")
-    met = members.select("at", "key", F.col("doc_id").alias("b"), F.col("n").alias("n_b")).join(chosen, ["at", "key"])
-    return met.where((F.col("a") != F.col("b")) & _alike(threshold)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    chosen = chosen.select("at", "key", F.array(*(f"l{i}" for i in range(len(orders)))).alias("leaders"))
+    # a text meets mostly the same leaders in all its buckets: they are gathered, a few per sketch, before pairs are made
+    met = members.join(chosen, ["at", "key"]).groupBy(F.col("doc_id").alias("b"), F.col("n").alias("n_b")).agg(F.array_distinct(F.flatten(F.collect_list("leaders"))).alias("leaders"))
+    pairs = met.select("b", "n_b", F.explode("leaders").alias("leader")).select("b", "n_b", "leader.*")
+    return pairs.where((F.col("a") != F.col("b")) & _alike(threshold)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _crossed(named: DataFrame, spread: int) -> DataFrame:
