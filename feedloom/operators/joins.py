@@ -101,15 +101,17 @@ def match_by_suffix(
     events: DataFrame, title: str, day: Column, probe: DataFrame, probe_title: str, probe_day: Column,
     separator: str = " X ", require_suffix: bool = False,
 ) -> DataFrame:
-    """Events of the probe's day whose title contains what follows the separator in the
-    probe's title.  The probe is a single row, read as scalars: no join takes place.
+    """Events of the probe's day whose title is LIKE what follows the separator in the probe's
+    title, with anything before and after.  ``%`` and ``_`` in the suffix are wildcards, as in
+    the SQL predicate.  The probe is a single row, read as scalars: no join takes place.
 
     A title without the separator gives an empty suffix, which every event of the day
-    contains; ``require_suffix`` turns that into no match.
+    matches; ``require_suffix`` turns that into no match.
     """
     suffix = probe.select(F.upper(after_sep(probe_title, separator))).scalar()
     when = probe.select(probe_day).scalar()
-    matched = events.where((day == when) & F.contains(F.upper(F.col(title)), suffix))
+    pattern = F.concat(F.lit("%"), suffix, F.lit("%"))
+    matched = events.where((day == when) & F.like(F.upper(F.col(title)), pattern, F.lit("\x01")))  # no escapes
     return matched.where(suffix != "") if require_suffix else matched
 
 

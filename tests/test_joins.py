@@ -98,3 +98,14 @@ def test_salted_join_is_a_left_join_and_spreads_the_hot_key(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_suffix_wildcards_match_as_in_sql(spark):
+    from pyspark.sql import functions as F
+
+    from feedloom.operators.joins import match_by_suffix
+
+    events = spark.createDataFrame([("A x Boa Vista", 1), ("B x Bo- Vista", 1), ("C x Boa\\ Vista", 1), ("D x Bo Vista", 1), ("E x Boa Vista", 2)], "title string, day int")
+    probe = spark.createDataFrame([("Home X Bo_ vista", 1)], "title string, day int")
+    found = match_by_suffix(events, "title", F.col("day"), probe, "title", F.col("day"))
+    assert sorted(r.title for r in found.collect()) == ["A x Boa Vista", "B x Bo- Vista"]
