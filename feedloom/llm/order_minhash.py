@@ -13,9 +13,9 @@ at least ``threshold`` join documents into classes.
 Texts of the same words are one text from the start.  Of the texts that share a sketch, each is first paired
 with a few leaders (the least id, the shortest, one by hash), which joins groups of copies without pairing
 them all, and texts that are little more than a passage they share, since nothing is nearer to all of those
-than the shortest.  Then pairs across the classes so far are taken.  Where a sketch has more of those than
-``spread`` per text (a passage inside many texts), pairs have to agree in one more sketch as well, where again
-all pairs across classes are taken, or leaders where they are still too many.
+than the shortest.  Then all pairs across the classes so far are taken.  Where a sketch has more of those than
+``spread`` per text (a passage inside many texts), its texts are joined by their rarest shingles instead, which
+finds every pair of them that has enough in common.  Nothing is capped.
 
 Defined results: upper case A-Z, punctuation and spacing don't count; texts of fewer words than a shingle
 are alike only if all words are; a text without words, null or empty, is its own class, as is a row without
@@ -42,6 +42,7 @@ PICKED = 2
 THRESHOLD = 0.8
 NOT_WORDS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"  # what is left out of words, before lower-casing
 SPREAD = 8
+BLOCK = 1024  # texts of one shingle that meet as a block
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -261,23 +262,61 @@ def _between(narrow: DataFrame, threshold: float) -> DataFrame:
     return met.where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & _alike(threshold)).select("a", "b")
 
 
-def _across(members: DataFrame, classes: DataFrame, spread: int, threshold: float) -> DataFrame:
-    """Pairs of different classes that share a sketch, or two of them where one is shared too widely.
+def _shared_shingles(texts: DataFrame) -> DataFrame:
+    """``doc_id, shingle, n`` of the shingles that several texts hold, with how many, and ``size``, those of the text."""
+    schema = pa.schema([("doc_id", pa.int64()), ("size", pa.int64()), ("shingle", pa.int64())])
 
-    A pair that shares a sketch which is not shared widely is found by that one, so only the
-    widely shared sketches of a text are taken two at a time.
+    def run(batches):
+        for batch in batches:
+            for doc_id, blob in zip(batch.column(0), batch.column(1)):
+                own = np.unique(np.frombuffer(blob.as_buffer(), np.uint32)).astype(np.int64)
+                ids = pa.array(np.full(len(own), doc_id.as_py(), np.int64))
+                yield pa.record_batch([ids, pa.array(np.full(len(own), len(own), np.int64)), pa.array(own)], schema=schema)
+
+    held = texts.select("doc_id", "sequence").mapInArrow(run, "doc_id long, size long, shingle long")
+    return held.join(held.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1"), "shingle")
+
+
+def _rare(named: DataFrame, texts: DataFrame, threshold: float, block: int) -> DataFrame:
+    """All pairs of different classes that may be alike by the number of their shingles in common.
+
+    Shingles are ordered from rare to frequent.  The first one that two texts have in common leaves room for the
+    others only behind it, so in texts of sizes m and n it stands before the last t (m + n) / (1 + t) - 1 of both.
+    A text is therefore looked up by its rarest shingles alone, and a passage inside many texts brings two together
+    only if it is nearly all of both.  Texts of one shingle meet in blocks, each pair of blocks in a group of its own.
     """
+    held = _shared_shingles(texts.join(named.select("doc_id").distinct(), "doc_id", "left_semi"))
+    ordered = held.groupBy("doc_id", "size").agg(F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("s"))
+    # what no other text holds comes first of all; the least size of a partner gives the longest beginning
+    alone = F.col("size") - F.size("s")
+    first = F.floor(F.col("size") - F.lit(threshold) * F.col("size") + F.lit(1e-6)).cast("int") + 1 - alone
+    begun = ordered.select("doc_id", F.col("size").alias("n"), alone.alias("alone"), F.slice("s", 1, F.greatest(first, F.lit(0)).cast("int")).alias("s"))
+    keyed = begun.select("doc_id", "n", (F.col("n") - F.col("alone")).alias("left"), F.posexplode("s").alias("place", "one"))
+    keyed = keyed.select("doc_id", "n", (F.col("left") - F.col("place")).alias("left"), F.col("one.shingle").alias("shingle"))
+    keyed = keyed.join(named.select("doc_id", "c").distinct(), "doc_id")
+    sizes = keyed.groupBy("shingle", "c").agg(F.count("*").alias("k")).groupBy("shingle").agg(F.sum("k").alias("m"), F.count("*").alias("classes"))
+    several = sizes.where("classes > 1").select("shingle", F.ceil(F.col("m") / block).cast("int").alias("blocks"))
+    dealt = _written(keyed.join(several, "shingle"), "shingles")
+    own = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.col("blocks")).cast("int")
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+
+    def side(x, row, column):
+        return dealt.select("shingle", row.alias("row"), column.alias("column"), F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("left").alias(f"left_{x}"), F.col("c").alias(f"c_{x}"))
+
+    met = side("a", own, others).join(side("b", others, own), ["shingle", "row", "column"])
+    enough = F.least("left_a", "left_b") >= F.lit(threshold / (1 + threshold)) * (F.col("n_a") + F.col("n_b")) - F.lit(1e-6)
+    return met.where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & enough).select("a", "b").distinct()
+
+
+def _across(members: DataFrame, classes: DataFrame, texts: DataFrame, spread: int, threshold: float, block: int) -> DataFrame:
+    """Pairs of different classes that share a sketch, or enough rare shingles where sketches are shared too widely."""
     named = members.join(classes, F.col("doc_id") == F.col("node"), "left").select("at", "key", "doc_id", "n", F.coalesce("component", "doc_id").alias("c"))
     here = _crossed(named, spread)
-    own = here.where("wide").groupBy("doc_id", "n", "c").agg(F.array_sort(F.collect_list(F.struct("at", "key"))).alias("s"))  # a sketch each at most
-    both = F.flatten(F.transform("s", lambda x, i: F.transform(F.slice(F.col("s"), i + 2, F.size("s")), lambda y: F.struct(
-        F.concat(x["at"], F.lit(","), y["at"]).alias("at"), F.xxhash64(x["key"], y["key"]).alias("key")))))
-    twice = _crossed(own.select("doc_id", "n", "c", F.explode(both).alias("two")).select("two.at", "two.key", "doc_id", "n", "c"), spread)
-    pairs = _between(here.where("not wide"), threshold).union(_between(twice.where("not wide"), threshold))
-    return pairs.union(_led(twice.where("wide"), threshold)).distinct()
+    pairs = _between(here.where("not wide"), threshold)
+    return pairs.union(_rare(here.where("wide").select("doc_id", "c").distinct(), texts, threshold, block)).distinct()
 
 
-def links(docs: DataFrame, rows: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD, spread: int = SPREAD) -> DataFrame:
+def links(docs: DataFrame, rows: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD, spread: int = SPREAD, block: int = BLOCK) -> DataFrame:
     """``a, b, similarity`` between texts of different words, ``a < b``; enough of them to join every class.
 
     ``rows`` is what ``sketched`` gives for ``docs``.
@@ -293,18 +332,18 @@ def links(docs: DataFrame, rows: DataFrame, size: int = SHINGLE, threshold: floa
     read = docs.select(F.col("doc_id").cast("long"), "text").join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
     texts = _written(sequences(read, size).join(wanted, ["doc_id", "s1", "s2"], "left_semi").dropDuplicates(["doc_id"]), "sequences")
     first = _written(_verified(_led(members, threshold), texts, threshold), "links")
-    rest = _across(members, components(first), spread, threshold)
+    rest = _across(members, components(first), texts, spread, threshold, block)
     return _written(first.union(_verified(rest, texts, threshold)), "links").dropDuplicates(["a", "b"])
 
 
 def classes(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD, sketches: int = SKETCHES, picked: int = PICKED,
-            spread: int = SPREAD) -> DataFrame:
+            spread: int = SPREAD, block: int = BLOCK) -> DataFrame:
     """``doc_id, class_id, n_links`` for each row; a class is named by its least id.
 
     ``n_links`` counts the links found between the document's words and others in the class.
     """
     rows = _written(sketched(docs, size, sketches, picked), "sketches")
-    found = links(docs, rows, size, threshold, spread)
+    found = links(docs, rows, size, threshold, spread, block)
     joined = components(found)
     counts = found.select(F.explode(F.array("a", "b")).alias("text_id")).groupBy("text_id").agg(F.count("*").alias("n_links"))
     one = rows.groupBy("s1", "s2").agg(F.min("doc_id").alias("text_id"))

@@ -291,6 +291,27 @@ def test_near_duplicate_classes(spark, odd, none):
     assert order_minhash.classes(none).count() == 0 and order_minhash.deduplicate(none).count() == 0
 
 
+def template_rows():
+    """Texts that share a long passage; those of one family are alike only to the one before and after it."""
+    rows, template = [], prose(555, 70)
+    for g in range(30):
+        tail = prose(600 + g, 40).split()
+        for c in range(3):
+            rows.append((100 * (c + 1) + g, template + " " + " ".join(tail[c * 6:c * 6 + 28])))
+    return rows
+
+
+@pytest.mark.parametrize("block", [7, 1024])
+def test_texts_with_one_template_are_linked_to_any_partner(spark, block):
+    rows = template_rows()
+    sets = {i: frozenset(tuple(w[k:k + 5]) for k in range(len(w) - 4)) for i, t in rows for w in [words(t)]}
+    wanted = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8}
+    assert len(wanted) == 60
+    # 90 texts in a bucket, most of them in classes of their own, and none near a leader of all
+    joined = {r.doc_id: r.class_id for r in order_minhash.classes(table(spark, rows), spread=1, block=block).collect()}
+    assert joined == {i: 100 + i % 100 for i, _ in rows}
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(1, 40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 300), (200, 201), (201, 200)]
     found = dict(tuple(r) for r in components.components(spark.createDataFrame(links, "a long, b long")).collect())
