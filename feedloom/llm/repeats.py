@@ -7,7 +7,9 @@ Equal strings can only be found where they meet, and to send every string somewh
 fifty times over.  So each string is named by the least hash among the ``gram``-byte grams inside it: equal
 strings have equal names, and consecutive strings mostly share one.  A run of strings of one name is sent to
 the shard of the name only if the name occurs in two texts.  There all its strings are sorted
-(``suffix_sort``), and equal ones are told apart by document.  Names route, bytes decide.
+(``suffix_sort``), and equal ones are told apart by document.  Names route, bytes decide.  A name of more than
+``hot`` strings (a phrase in many documents, with other bytes around it in each) would fill a shard: its strings
+travel one by one to the shards of their own hashes, where equal ones still meet.
 
 Texts equal as a whole are one text with the least of their ids; of equal runs in one chunk of documents only
 that of the least document travels.  The chunks, of about ``chunk_bytes``, are shuffled once and the other
@@ -35,6 +37,7 @@ GRAM = 16
 CHUNK_BYTES = 1 << 20
 NAME_SHARD = 24 << 20  # bytes of text per shard of names
 SORT_SHARD = 3 << 20  # bytes of text per shard of runs
+HOT = 1 << 16  # strings of one name that travel as runs
 LAST = (1 << 63) - 1  # stands for no id
 _BASE = 0x9E3779B97F4A7C15
 
@@ -131,13 +134,27 @@ def _spans_of(record: np.ndarray, place: np.ndarray, text: np.ndarray, first: np
     return record[a], text[record[a]], first[record[a]] + place[a], first[record[a]] + place[b] + length
 
 
-def _routes(texts: _Texts, shared: np.ndarray, length: int, gram: int, shards: int, chunk: int):
-    """What a chunk sends: its shared runs to their shards, and to itself the spans that it can tell alone."""
+def _cut(data: np.ndarray, names: np.ndarray, text: np.ndarray, first: np.ndarray, many: np.ndarray, cut: np.ndarray, length: int):
+    """Runs, of which those marked are cut into single strings that are named by all their bytes."""
+    one = many[cut]
+    place = np.repeat(first[cut] - np.r_[0, np.cumsum(one)[:-1]], one) + np.arange(one.sum())
+    single = (_grams(data, length)[place], np.repeat(text[cut], one), place, np.ones(len(place), np.int64))
+    return [np.r_[x[~cut], y] for x, y in zip((names, text, first, many), single)]
+
+
+def _routes(texts: _Texts, shared: np.ndarray, hot: np.ndarray, length: int, gram: int, shards: int, chunk: int):
+    """What a chunk sends: its shared runs to their shards, and to itself the spans that it can tell alone.
+
+    ``hot`` marks the ``shared`` names whose runs are cut into single strings.
+    """
     names, text, first, many = runs(texts.data, texts.offsets, length, gram)
     if len(shared) and len(names):
         at = np.minimum(np.searchsorted(shared, names), len(shared) - 1)
         kept = np.flatnonzero(shared[at] == names)
+        cut = hot[at[kept]] > 0
         names, text, first, many = names[kept], text[kept], first[kept], many[kept]
+        if cut.any():
+            names, text, first, many = _cut(texts.data, names, text, first, many, cut, length)
     else:
         names, text, first, many = names[:0], text[:0], first[:0], many[:0]
     ids, raw, own = texts.ids[text], texts.data.tobytes(), first - texts.offsets[text]
@@ -197,7 +214,7 @@ def _whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
     return np.repeat(np.minimum.reduceat(gone, heads), np.diff(np.r_[heads, len(data)]))
 
 
-def by_text(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, chunk_bytes: int = CHUNK_BYTES, keep_text: bool = False) -> DataFrame:
+def by_text(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, chunk_bytes: int = CHUNK_BYTES, keep_text: bool = False, hot: int = HOT) -> DataFrame:
     """For each distinct text, by ``digest`` (SHA-256): ``first_id, n_bytes, n_removed, n_spans, kept_sha256``.
 
     The results are those of the document ``first_id``; ``kept`` on demand has what is left of it as text,
@@ -219,13 +236,15 @@ def by_text(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, chunk_bytes
 
     def find_names(group: pa.Table) -> pa.Table:
         chunk, texts = group["chunk"][0].as_py(), _Texts(group)
-        found, text, _, _ = runs(texts.data, texts.offsets, length, gram)
+        found, text, _, many = runs(texts.data, texts.offsets, length, gram)
         order = np.argsort(found, kind="stable")
-        found, text = found[order], text[order]
+        found, text, many = found[order], text[order], many[order]
         heads = np.flatnonzero(np.r_[True, found[1:] != found[:-1]]) if len(found) else np.zeros(0, np.int64)
         several = np.zeros(0, np.uint8)
         if len(heads):
+            # one byte: whether there are several texts, and the power of two that the strings don't exceed
             several = (np.minimum.reduceat(text, heads) != np.maximum.reduceat(text, heads)).astype(np.uint8)
+            several += 2 * np.ceil(np.log2(np.add.reduceat(many, heads))).astype(np.uint8)
         found = found[heads]
         cuts = np.searchsorted(_shard(found, names), np.arange(names + 1))
         return _table([(s, chunk, _pack(found[a:b], several[a:b])) for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a], block_schema)
@@ -238,18 +257,20 @@ def by_text(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, chunk_bytes
         name, several, chunk = name[order], several[order], chunk[order]
         heads = np.flatnonzero(np.r_[True, name[1:] != name[:-1]])
         sizes = np.diff(np.r_[heads, len(name)])
-        shared = np.repeat((sizes > 1) | (np.maximum.reduceat(several, heads) > 0), sizes)
-        name, chunk = name[shared], chunk[shared]
+        shared = np.repeat((sizes > 1) | (np.maximum.reduceat(several & 1, heads) > 0), sizes)
+        large = np.repeat(np.add.reduceat(np.int64(1) << (several >> 1).astype(np.int64), heads) > hot, sizes).astype(np.uint8)
+        name, chunk, large = name[shared], chunk[shared], large[shared]
         by = np.argsort(chunk, kind="stable")
-        name, chunk = name[by], chunk[by]
+        name, chunk, large = name[by], chunk[by], large[by]
         edges = np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1], True]) if len(name) else np.zeros(1, np.int64)
-        return _table([(0, int(chunk[a]), _pack(name[a:b])) for a, b in zip(edges[:-1], edges[1:])], block_schema)
+        return _table([(0, int(chunk[a]), _pack(name[a:b], large[a:b])) for a, b in zip(edges[:-1], edges[1:])], block_schema)
 
     def route(group: pa.Table, found: pa.Table) -> pa.Table:
         if not group.num_rows or not found.num_rows:
             return _table([], block_schema)
-        shared = np.sort(_joined(found["block"].to_pylist(), np.uint64)[0])
-        return _table(_routes(_Texts(group), shared, length, gram, sorts, group["chunk"][0].as_py()), block_schema)
+        shared, large = _joined(found["block"].to_pylist(), np.uint64, np.uint8)
+        order = np.argsort(shared, kind="stable")
+        return _table(_routes(_Texts(group), shared[order], large[order], length, gram, sorts, group["chunk"][0].as_py()), block_schema)
 
     def sort_runs(group: pa.Table) -> pa.Table:
         chunks_, blocks = group["chunk"].to_pylist(), group["block"].to_pylist()
@@ -295,9 +316,9 @@ def _digested(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*columns, F.unhex(F.sha2(text, 256)).alias("digest"), F.col("doc_id").cast("long"), text.alias("text"))
 
 
-def removals(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def removals(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of each row."""
-    found = by_text(docs, length, gram)
+    found = by_text(docs, length, gram, hot=hot)
     return _each(_digested(docs).drop("text").join(found, "digest"), length).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 

@@ -205,6 +205,23 @@ def test_repeated_passages(spark, odd, none, monkeypatch):
     assert repeats.removals(none).count() == 0 and repeats.trim(none).count() == 0
 
 
+def test_a_frequent_phrase_fills_no_shard(spark):
+    """Its strings, with other bytes around the phrase in each text, part by their own hashes; results stay."""
+    phrase, shards = "a phrase that all of them hold. ", 16
+    rows = [(i, hashlib.sha256(b"%d" % i).hexdigest() + phrase + hashlib.sha256(b"-%d" % (i % 150)).hexdigest()) for i in range(300)]
+    held = pa.table({"digest": [hashlib.sha256(t.encode()).digest() for _, t in rows], "doc_id": [i for i, _ in rows], "text": [t for _, t in rows]})
+    found = repeats._Texts(held)
+    names, _, _, many = repeats.runs(found.data, found.offsets, 50, 16)
+    shared, of = np.unique(names, return_inverse=True)
+    strings = np.bincount(of, many)
+    assert strings.max() > 1000
+    filled = {s: repeats._unpack(b, *repeats._RUN)[3].sum() for s, _, b in repeats._routes(found, shared, strings > 200, 50, 16, shards, 0) if s >= 0}
+    assert max(filled.values()) < 2 * sum(filled.values()) / shards
+    docs = table(spark, rows)
+    cut, whole = ({tuple(r) for r in repeats.removals(docs, hot=hot).collect()} for hot in (8, 1 << 40))
+    assert cut == whole and sum(r[2] > 0 for r in cut) == 150
+
+
 # near duplicates
 
 
