@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import decontamination, licenses, neighbours, ngrams, order_minhash, quality, repeats, toxicity, warc
+from feedloom.llm import decontamination, licenses, neighbours, ngrams, order_minhash, pieces, quality, repeats, toxicity, warc
 from feedloom.llm.packing import pack
 
 QUERIES = {}
@@ -94,3 +94,11 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     return pack(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op12_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    encoded = pieces.encode(read(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), "doc_id")
+    return pieces.digests(encoded)

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_runs_over_its_table(spark, name):
-    table = {"op8_neighbours": None, "op9_warc_derivatives": "pages", "op1_benchmark_leaks": None, "op10_packing": None}.get(name, "documents")
+    table = {"op8_neighbours": None, "op9_warc_derivatives": "pages", "op1_benchmark_leaks": None, "op10_packing": None, "op11_ranked": None, "op13_whitening": None}.get(name, "documents")
     found = entry.queries()[name](spark, SF)
     rows = found.count()
     assert rows > 0
@@ -21,8 +21,8 @@ def test_query_runs_over_its_table(spark, name):
         assert rows == spark.read.parquet(f"{SF}/{table}.parquet").count() * (2 if table == "pages" else 1)
 
 
-def test_ten_operators_are_registered():
-    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 11))
+def test_all_operators_are_registered():
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14))
     assert set(ORACLE) <= set(QUERIES) and "pipeline" in entry.queries()
 
 
