@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import decontamination, licenses, neighbours, ngrams, order_minhash, pieces, quality, repeats, toxicity, warc
+from feedloom.llm import decontamination, licenses, neighbours, ngrams, order_minhash, pieces, quality, repeats, toxicity, warc, whitening
 from feedloom.llm.packing import pack
 
 QUERIES = {}
@@ -102,3 +102,8 @@ def op12_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
     encoded = pieces.encode(read(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), "doc_id")
     return pieces.digests(encoded)
+
+
+@query
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(read(spark, folder, "embeddings"))
