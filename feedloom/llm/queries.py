@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import decontamination, licenses, neighbours, ngrams, order_minhash, pieces, quality, repeats, toxicity, warc, whitening
+from feedloom.llm import decontamination, licenses, neighbours, ngrams, order_minhash, pieces, quality, ranked, repeats, toxicity, warc, whitening
 from feedloom.llm.packing import pack
 
 QUERIES = {}
@@ -96,6 +96,34 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op11_ranked(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.search(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+ORACLE["op11_ranked"] = """
+    WITH held AS (
+        SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+        FROM documents),
+    docs AS (SELECT r, doc_id, terms, len(terms) AS n FROM held WHERE len(terms) > 0),
+    totals AS (SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS nt FROM docs),
+    tfs AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(terms) AS term FROM docs) GROUP BY ALL),
+    dfs AS (SELECT term, count(*) AS df FROM tfs GROUP BY term),
+    asked AS (SELECT item_id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+        FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE item_id IS NOT NULL)),
+    weighed AS (
+        SELECT item_id, term, count(*) AS q, CAST(floor(1000.0 * ln(CAST(2 * any_value(nd) + 2 AS DOUBLE) / CAST(2 * any_value(df) + 1 AS DOUBLE))) AS BIGINT) AS w
+        FROM asked JOIN dfs USING (term), totals GROUP BY item_id, term),
+    scored AS (
+        SELECT item_id, r, doc_id, CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nd) // nt)))) AS BIGINT) AS score
+        FROM weighed JOIN tfs USING (term), totals GROUP BY item_id, r, doc_id),
+    placed AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place
+        FROM scored WHERE score > 0 AND doc_id IS NOT NULL)
+    SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM placed WHERE place <= 20"""
+
+
 @query
 def op12_pieces(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
