@@ -173,7 +173,7 @@ class Shard:
 
 def impacts(tf: np.ndarray, n: np.ndarray, w: np.ndarray, documents: int, total: int) -> np.ndarray:
     """The impact of each posting, in whole numbers."""
-    if n.max(initial=0) * 25 * documents >= 1 << 63:
+    if int(n.max(initial=0)) * 25 * documents >= 1 << 63:
         m = np.array([75 + 25 * int(x) * documents // total for x in n], np.int64)
     else:
         m = 75 + 25 * n * documents // total
