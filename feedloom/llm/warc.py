@@ -10,6 +10,7 @@ gives the bytes of a record.
 Defined results: a null page is an empty payload, whose text is empty; a null address leaves the target field
 out; repeated rows give repeated records with the same identifiers; broken mark-up is taken as text, and an
 open script, style or comment ends with the page; a null ``page_id`` stays null.  Other columns are not read.
+Pages are scanned from left to right once per rule, so time follows their length, whatever is left unclosed.
 """
 
 from __future__ import annotations
@@ -29,28 +30,94 @@ CAPTURED = "2024-01-01T00:00:00Z"
 # Fields that belong to one record alone and are not copied to what is made of it.
 OWN = {"WARC-Type", "WARC-Record-ID", "WARC-Block-Digest", "WARC-Payload-Digest", "WARC-Identified-Payload-Type", "Content-Length", "Content-Type"}
 
-_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.I | re.S)
+_OPEN = re.compile(r"<!--|<(script|style|noscript|template)\b", re.I)
+_CLOSE = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "noscript", "template", "title")}
 _BLOCK = re.compile(r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>", re.I)
 _TAG = re.compile(r"<[a-z/!?][^>]*>", re.I)
 _SPACE = re.compile(r"[^\S\n]+")
 _LINES = re.compile(r" ?\n[ \n]*")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.I | re.S)
-_CHARSET = re.compile(r"<meta\b[^>]*charset\s*=\s*[\"']?([\w-]+)", re.I)
-_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_TITLE = re.compile(r"<title\b", re.I)
+_META = re.compile(r"<meta\b([^>]*)", re.I)
+_CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w-]+)", re.I)
+_ANCHOR = re.compile(r"<a\b", re.I)
+_HREF = re.compile(r"\bhref\s*=\s*", re.I)
+_VALUE = re.compile(r"\"([^\"]*)\"|'([^']*)'|([^\s>]+)")
 
 
 def digest(block: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(block).digest()).decode()
 
 
+def _visible(page: str) -> str:
+    """The page without comments, scripts and the like; one that stays open ends with the page."""
+    kept, start, at, last = [], 0, 0, page.rfind(">")
+    while found := _OPEN.search(page, at):
+        at = found.end()
+        if found[1] is None:
+            end = page.find("-->", at)
+            end = end + 3 if end >= 0 else len(page)
+        elif at > last:
+            continue  # a tag that nothing closes is text
+        else:
+            closed = _CLOSE[found[1].lower()].search(page, page.find(">", at) + 1)
+            end = closed.end() if closed else len(page)
+        kept.append(page[start:found.start()])
+        start = at = end
+    return "".join(kept) + page[start:]
+
+
+def _without_tags(text: str, blocks: str = "") -> str:
+    """Tags go, those of blocks become ``blocks``; behind the last ``>`` there is no tag."""
+    cut = text.rfind(">") + 1
+    return _TAG.sub("", _BLOCK.sub(blocks, text[:cut])) + text[cut:]
+
+
+def _title(page: str) -> str | None:
+    """What the first title holds; if that one stays open, so do all others."""
+    found = _TITLE.search(page)
+    begin = page.find(">", found.end()) + 1 if found else 0
+    closed = _CLOSE["title"].search(page, begin) if begin else None
+    return page[begin:closed.start()] if closed else None
+
+
+def _charset(page: str) -> str | None:
+    for found in _META.finditer(page):
+        if named := _CHARSET.findall(found[1]):
+            return named[-1]
+    return None
+
+
+def _links(page: str) -> list[str]:
+    """The address of each anchor.  The next end of a tag and the next address are kept while they lie ahead."""
+    links, at, end, href = [], 0, -1, None
+    while found := _ANCHOR.search(page, at):
+        at = found.end()
+        if end < at:
+            end = page.find(">", at)
+            end = len(page) if end < 0 else end
+        if href is None or href.start() < at:
+            href = _HREF.search(page, at)
+            if href is None:
+                break
+        if href.start() >= end:
+            continue
+        value = _VALUE.match(page, href.end())
+        if value:
+            links.append(value[1] or value[2] or value[3] or "")
+            at = value.end()
+        else:
+            at = href.end()
+    return links
+
+
 def plain_text(page: str) -> str:
     """The text a reader sees: a line per block, spaces squeezed, references resolved once."""
-    text = _TAG.sub("", _BLOCK.sub("\n", _HIDDEN.sub("", page)))
+    text = _without_tags(_visible(page), "\n")
     return _LINES.sub("\n", _SPACE.sub(" ", html.unescape(text))).strip()
 
 
 def _one_line(text: str) -> str:
-    return " ".join(html.unescape(_TAG.sub("", text)).split())
+    return " ".join(html.unescape(_without_tags(text)).split())
 
 
 def responses(pages: DataFrame, captured: str = CAPTURED) -> DataFrame:
@@ -83,12 +150,12 @@ _KINDS = (
 
 def _metadata(http: str, page: str) -> str:
     status, *headers = http.strip().split("\r\n")
-    title, charset = _TITLE.search(page), _CHARSET.search(page)
+    title, charset = _title(page), _charset(page)
     lines = [("http-status", " ".join(status.split()[1:2]))]
     lines += [(f"http-header-{name.strip().lower()}", value.strip()) for name, _, value in (h.partition(":") for h in headers if h)]
-    lines += [("title", _one_line(title[1]))] if title else []
-    lines += [("charset", charset[1].lower())] if charset else []
-    lines += [("outlink", f"{_one_line(a or b or c)} L a/@href") for a, b, c in _LINK.findall(_HIDDEN.sub("", page))]
+    lines += [("title", _one_line(title))] if title is not None else []
+    lines += [("charset", charset.lower())] if charset else []
+    lines += [("outlink", f"{_one_line(link)} L a/@href") for link in _links(_visible(page))]
     return "".join(f"{name}: {value}\r\n" for name, value in lines)
 
 
