@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.texts import WORD, chunks, words
+from feedloom.llm.texts import WORD, chunks, small_batches, words
 from feedloom.session import work_path
 
 STRIDE = 32
@@ -108,7 +108,7 @@ def _hits(docs: DataFrame, terms: np.ndarray) -> DataFrame:
                 keep = pa.array(rows + chunk.rows.start)
                 yield pa.record_batch([batch.column(0).take(keep), batch.column(1).take(keep), pa.array(np.diff(found.first)[rows]), cut(place), cut(term)], schema=schema)
 
-    read = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
+    read = small_batches(docs).select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
     return read.mapInArrow(run, "doc_id long, text_hash long, n long, places binary, terms binary")
 
 
@@ -315,5 +315,6 @@ def matches(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, cosine: flo
 def clean(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` that match no item."""
     found = matches(docs, benchmark, **settings).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    # by frame, as a column of documents may have any name
+    same = docs["doc_id"].cast("long").eqNullSafe(found["_id"]) & (F.xxhash64(docs["text"]) == found["_hash"])
     return docs.join(found, same, "left_anti")

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.llm.components import components
-from feedloom.llm.texts import BASE, WORD, Words, binary, chunks, mixed, powers, words
+from feedloom.llm.texts import BASE, WORD, Words, binary, chunks, mixed, powers, small_batches, words
 from feedloom.session import work_path
 
 SHINGLE = 5
@@ -342,7 +342,7 @@ def classes(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD,
 
     ``n_links`` counts the links found between the document's words and others in the class.
     """
-    rows = _written(sketched(docs, size, sketches, picked), "sketches")
+    rows = _written(sketched(small_batches(docs), size, sketches, picked), "sketches")
     found = links(docs, rows, size, threshold, spread, block)
     joined = components(found)
     counts = found.select(F.explode(F.array("a", "b")).alias("text_id")).groupBy("text_id").agg(F.count("*").alias("n_links"))
@@ -362,9 +362,13 @@ def deduplicate(docs: DataFrame, **settings) -> DataFrame:
 
     Rows without words and rows without an id all stay.
     """
-    kept = classes(docs, **settings).where("doc_id = class_id").select(F.col("doc_id").alias("_kept")).distinct()
-    known = docs.where(F.col("doc_id").isNotNull()).join(kept, F.col("doc_id").cast("long") == F.col("_kept"), "left_semi")
+    kept = classes(docs, **settings).where("doc_id = class_id").select(F.col("doc_id").alias("id")).distinct()
     has_words = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), NOT_WORDS, "")) > 0
-    hashed = known.withColumns({"_words": has_words, "_hash": F.xxhash64("text")})
-    once = hashed.where("_words").dropDuplicates(["doc_id", "_hash"])
-    return once.unionByName(hashed.where("not _words")).drop("_words", "_hash").unionByName(docs.where(F.col("doc_id").isNull()))
+    key = [F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash")]
+    # which ids hold a text twice is found on narrow rows; only those ids' texts are gathered by text
+    twice = docs.where(F.col("doc_id").isNotNull() & has_words).select(*key).groupBy("id", "hash").agg(F.count("*").alias("n")).where("n > 1")
+    known = _written(kept.join(twice.select("id", F.lit(True).alias("again")).distinct(), "id", "left"), "kept")
+    held = docs.select(*key, has_words.alias("some"), F.struct(*docs.columns).alias("row")).join(known, "id")
+    several = F.coalesce("again", F.lit(False)) & F.col("some")
+    once = held.where(several).groupBy("id", "hash").agg(F.any_value("row").alias("row"))
+    return held.where(~several).select("row").unionByName(once.select("row")).select("row.*").unionByName(docs.where(F.col("doc_id").isNull()))

@@ -13,6 +13,7 @@ table gives no rows.  Other columns of the input are not read.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from array import array
 from functools import lru_cache
@@ -22,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.llm.texts import small_batches
 from feedloom.session import work_path
 
 CAPACITY = 2048
@@ -30,6 +32,8 @@ END_ID = 1
 # Fixed values of the byte-level vocabulary: how it cuts text into words, and its one special token.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPECIAL = "<|endoftext|>"
+LONG_RUN = 65_536
+LONG_SPACE = re.compile(rf"\s{{{LONG_RUN}}}")
 
 
 def _byte_symbols() -> dict[str, int]:
@@ -44,7 +48,8 @@ def encoder(path: str):
     """Text to ids, the same as ``tokenizers`` gives for the file without special tokens added.
 
     The vocabulary of the file is run by tiktoken, which is some six times faster; texts that hold the
-    special token's own string, which only ``tokenizers`` knows, go there.
+    special token's own string, which only ``tokenizers`` knows, go there, and so do texts with very long runs
+    of white space, on which tiktoken runs out of stack.
     """
     import tiktoken
     from tokenizers import Tokenizer
@@ -56,7 +61,7 @@ def encoder(path: str):
     fast = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def ids(text: str) -> list[int]:
-        if SPECIAL in text:
+        if SPECIAL in text or len(text) > LONG_RUN and LONG_SPACE.search(text):
             return exact.encode(text, add_special_tokens=False).ids
         return fast.encode_ordinary(text)
 
@@ -85,7 +90,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: i
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*found[i:i + 10_000]), schema)], schema=schema)
 
     kinds = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, nth long" + ", ids binary" * keep_ids
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, kinds)
+    return small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, kinds)
 
 
 def place(lengths: np.ndarray, costs: np.ndarray, capacity: int) -> np.ndarray:
@@ -125,7 +130,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int
     def assign(group: pa.Table) -> pa.Table:
         length = group["length"].to_numpy().astype(np.int64)
         cost = linear * length + quadratic * length.astype(float) ** 2
-        known = group["doc_id"].to_numpy(zero_copy_only=False).astype(float)
+        known = group["doc_id"].fill_null(-1).to_numpy()
         order = np.lexsort((group["ids_crc32"].to_numpy(), group["start"].to_numpy(), known, -cost))
         chosen = place(length[order], cost[order], capacity)
         by_sequence = np.argsort(chosen, kind="stable")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.llm.suffix_sort import deep_shallow
-from feedloom.llm.texts import binary, mixed
+from feedloom.llm.texts import binary, mixed, small_batches
 
 LENGTH = 50
 GRAM = 16
@@ -302,7 +302,7 @@ def by_text(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, chunk_bytes
     result_schema = pa.schema([("digest", pa.binary()), ("first_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())] + [("kept", pa.string())] * keep_text)
     blocks = "shard int, chunk int, block binary"
     texts = _digested(docs).select(F.pmod(F.xxhash64("digest"), F.lit(chunks)).cast("int").alias("chunk"), "digest", "doc_id", "text")
-    texts = texts.mapInArrow(distinct, "chunk int, digest binary, doc_id long, text string")
+    texts = small_batches(texts).mapInArrow(distinct, "chunk int, digest binary, doc_id long, text string")
     named = texts.groupBy("chunk").applyInArrow(find_names, blocks)
     shared = named.groupBy("shard").applyInArrow(share_names, blocks)
     routed = texts.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(route, blocks)

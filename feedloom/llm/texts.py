@@ -15,8 +15,10 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 CHUNK_BYTES = 1 << 20
+BATCH = "8m"  # of an Arrow batch: whole texts pass through several buffers on both sides, in every running task
 BASE = np.uint64(0x9E3779B97F4A7C15)
 _LAST = np.uint64(0xD6E8FEB86659FD93)
 _BASE_INVERSE = pow(int(BASE), -1, 1 << 64)
@@ -37,6 +39,12 @@ NOT_SPACE = table((0x20, 0x20), (0x09, 0x0D), inverse=True)
 WORD = table((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF))  # after lower-casing: digits, letters, all above ASCII
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after telling its session to send rows to Python a few megabytes at a time."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
+    return df
+
+
 class Chunk(NamedTuple):
     rows: slice
     data: np.ndarray

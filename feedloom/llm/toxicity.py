@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.texts import WORD, chunks, words
+from feedloom.llm.texts import WORD, chunks, small_batches, words
 
 SAMPLE = 32_768  # labelled rows read for fitting
 TERMS = 65_536  # scored tokens a model may hold, most significant first
@@ -142,6 +142,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, z: float = Z, odds: float = ODDS, prior: float = PRIOR, drift: float = DRIFT) -> Model:
     """Learn from documents with ``labels (doc_id, toxic)``; rows to be held out are not to be among the labels."""
+    small_batches(docs)
     known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
     chosen = known.agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).toArrow()
     if not chosen.num_rows:
@@ -251,7 +252,14 @@ def passages(docs: DataFrame, model: Model) -> DataFrame:
 
 def score(docs: DataFrame, model: Model, *columns: str | Column) -> DataFrame:
     """The columns asked for with ``score`` (probability of the label), ``n_passages`` and ``evidence``."""
-    kept = docs.select(*columns)
+    return _scored(docs, model, columns, keep_text=False)
+
+
+def _scored(docs: DataFrame, model: Model, columns, keep_text: bool) -> DataFrame:
+    """``score``; with ``keep_text`` the text comes back as ``_scored_text``, having been sent once."""
+    small_batches(docs)
+    text = F.col("text").alias("_scored_text")
+    kept = docs.select(*columns, *[text] * keep_text)
     names = kept.columns
 
     def run(batches):
@@ -264,13 +272,14 @@ def score(docs: DataFrame, model: Model, *columns: str | Column) -> DataFrame:
                     evidence[c.rows.start + document] += own
                     number[c.rows.start + document] += own > 0
             chance = 1 / (1 + np.exp(-np.clip(model.intercept + model.slope * np.log1p(evidence), -30, 30)))
-            yield pa.record_batch([*batch.columns[:-1], pa.array(chance), pa.array(number), pa.array(evidence)], names=[*names, "score", "n_passages", "evidence"])
+            yield pa.record_batch([*batch.columns[:len(names)], pa.array(chance), pa.array(number), pa.array(evidence)], names=[*names, "score", "n_passages", "evidence"])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), "score double, n_passages long, evidence double"])
-    return docs.select(*columns, F.col("text").alias("_scored_text")).mapInArrow(run, schema)
+    return docs.select(*columns, text).mapInArrow(run, schema)
 
 
 def reject(docs: DataFrame, model: Model, at: float) -> DataFrame:
     """The rows of ``docs`` that score below ``at``, as they are."""
-    rows = score(docs, model, F.struct(*docs.columns).alias("_row"))
-    return rows.where(F.col("score") < at).select("_row.*")
+    others = [c for c in docs.columns if c != "text"]
+    rows = _scored(docs, model, [F.struct(*others).alias("_row")], keep_text=True).where(F.col("score") < at)
+    return rows.select(*(F.col("_scored_text").alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns))
