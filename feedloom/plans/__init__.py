@@ -15,6 +15,7 @@ from feedloom.plans.facts import (
 from feedloom.plans.loads import (
     events_of_dates,
     load_all,
+    load_client_table,
     load_dim,
     load_dim_entries,
     load_ecommerce,
@@ -30,7 +31,7 @@ from feedloom.plans.web_events import event_base
 __all__ = [
     "CrmColumns", "build_fact", "build_integration", "catalogue_rows", "clean_clients", "clean_events",
     "clean_tickets", "crm_daily", "crm_daily_fused", "crm_parts", "crm_shape", "ecommerce_customers",
-    "ecommerce_orders", "entry_tickets", "event_base", "events_of_dates", "extend_dim", "extend_dim_entries", "load_all", "load_clients",
+    "ecommerce_orders", "entry_tickets", "event_base", "events_of_dates", "extend_dim", "extend_dim_entries", "load_all", "load_client_table", "load_clients",
     "load_dim", "load_dim_entries", "load_ecommerce", "load_entries", "load_fact", "load_integration", "load_web_day", "load_window", "read_exports", "refresh_tickets", "replicate", "shop_orders", "shop_users",
     "ticket_counters",
 ]

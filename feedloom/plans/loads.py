@@ -1,7 +1,9 @@
 """The load steps of the pipelines: build a batch, put it into its table.
 
-Every load can be repeated: a second run with the same input leaves the table as it is.
-A batch is computed once, written beside the table, and merged from there.
+Every load can be repeated: a second run with the same input leaves the table as it is, and
+so does a run that finishes one which was stopped (``feedloom.sinks.versions``).  A batch is
+computed once, and of the table only the files that hold its keys or days are written again.
+Tables are read with ``read_table``.
 """
 
 from __future__ import annotations
@@ -17,44 +19,44 @@ from feedloom.operators.filters import keep_ids
 from feedloom.plans.ecommerce import read_exports
 from feedloom.plans.facts import build_fact, build_integration, extend_dim, extend_dim_entries
 from feedloom.plans.web_events import event_base
-from feedloom.sinks import full_refresh, insert_new, read_if_there, replace_by_key, replace_by_window, rewrite, swap_partitions
+from feedloom.sinks import full_refresh, swap_partitions, verify_unique
+from feedloom.sinks.versions import load_by_key, load_days, load_new, load_upsert, vacuum
+from feedloom.specs import tickets as spec
 
 Events = Sequence[str] | DataFrame | None
 
 
-def _replace(batch: DataFrame, path: str, key: str) -> DataFrame:
-    """The batch's keys are deleted from the table, then the batch is appended."""
-    return rewrite(replace_by_key(read_if_there(batch.sparkSession, path, batch), batch, key), path)
-
-
 def load_fact(path: str, stage: DataFrame, people: DataFrame, contracts: DataFrame, events: Events = None) -> DataFrame:
     """The tickets of the batch's matches give way to the ones staged now."""
-    return _replace(build_fact(stage, people, contracts, events), path, "sk_partida")
+    return load_by_key(build_fact(stage, people, contracts, events), path, "sk_partida")
 
 
 def load_integration(path: str, stage: DataFrame, catalogue: DataFrame, people: DataFrame, clients: DataFrame, events: Events = None) -> DataFrame:
     """The marketing feed's rows of the batch's matches give way to the ones staged now."""
-    return _replace(build_integration(stage, catalogue, people, clients, events), path, "event")
+    return load_by_key(build_integration(stage, catalogue, people, clients, events), path, "event")
 
 
 def load_dim(path: str, catalogue: DataFrame) -> DataFrame:
     """The match dimension, longer by the catalogue's matches that it lacks."""
     spark = catalogue.sparkSession
     empty = spark.createDataFrame([], "sk_partida string, partida string, campeonato string, dthr_partida string")
-    dim = read_if_there(spark, path, empty)
-    return rewrite(insert_new(dim, extend_dim(catalogue, dim), "sk_partida"), path)
+    return load_new(extend_dim(catalogue, empty), path, "sk_partida")
 
 
 def load_dim_entries(path: str, fact: DataFrame) -> DataFrame:
     """The second feed's match dimension, longer by its new matches."""
     columns = ["idapresentacao", "campeonato", "partida", "dthr_apresentacao"]
-    dim = read_if_there(fact.sparkSession, path, fact.select(*columns))
-    return rewrite(insert_new(dim, extend_dim_entries(fact, dim), "idapresentacao"), path)
+    return load_new(extend_dim_entries(fact, fact.select(*columns).where(F.lit(False))), path, "idapresentacao")
+
+
+def load_client_table(path: str, clients: DataFrame) -> DataFrame:
+    """The client table after an upsert; telephone and insertion date are never updated."""
+    return load_upsert(verify_unique(clients, "cpf"), path, "cpf", spec.CLIENT_COMPARED)
 
 
 def load_window(path: str, batch: DataFrame, moment: str, start: str, end: str) -> DataFrame:
     """A shop feed: the rows of the window give way to the ones extracted for it."""
-    return rewrite(replace_by_window(read_if_there(batch.sparkSession, path, batch), batch, moment, start, end, drop_null=True), path)
+    return load_days(batch, path, moment, start, end, drop_null=True)
 
 
 def load_ecommerce(spark: SparkSession, path: str, exports: Sequence[str], typed) -> DataFrame:
@@ -77,10 +79,12 @@ def load_all(
     ``events`` reprocesses the chosen matches and leaves all others alone.
     """
     chosen = stage if events is None else keep_ids(stage, "cod_evento", events)
-    staged = _replace(chosen, f"{folder}/stage", "cod_evento")
+    staged = load_by_key(chosen, f"{folder}/stage", "cod_evento")
     dim = load_dim(f"{folder}/dim_partida", catalogue)
     fact = load_fact(f"{folder}/fact", staged, people, contracts, events)
     feed = load_integration(f"{folder}/integration", staged, catalogue, people, clients, events)
+    for name in ("stage", "dim_partida", "fact", "integration"):
+        vacuum(staged.sparkSession, f"{folder}/{name}")
     return {"stage": staged, "dim_partida": dim, "fact": fact, "integration": feed}
 
 

@@ -130,6 +130,12 @@ def replace_tail(t):
            CASE WHEN changed THEN s ELSE c_mktsegment END AS c_mktsegment FROM j
     UNION ALL SELECT * FROM b WHERE c_custkey NOT IN (SELECT c_custkey FROM a)""")
 def merge_upsert(t):
+    target, batch = customer_versions(t)
+    return sinks.merge_upsert(target, batch, "c_custkey", ["c_name", "c_mktsegment"])
+
+
+def customer_versions(t):
+    """The customers as loaded, and a batch of changed and new ones."""
     nation = F.col("c_nationkey")
     target = t.customer.where(F.col("c_mktsegment") != "BUILDING").withColumn(
         "c_mktsegment", F.when(nation != 4, F.col("c_mktsegment"))
@@ -139,7 +145,7 @@ def merge_upsert(t):
         (nation + 100).alias("c_nationkey"), "c_acctbal",
         F.when(nation != 13, F.lower("c_mktsegment")).alias("c_mktsegment"),
     )
-    return sinks.merge_upsert(target, batch, "c_custkey", ["c_name", "c_mktsegment"])
+    return target, batch
 
 
 @query("insert_new", """

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from feedloom import plans
 from feedloom.registry import pipelines as feeds
 from feedloom.registry.base import ORACLE, query
+from feedloom.registry.loading import EVENT_IN, EVENT_OUT, ORDER_COLUMNS, WINDOW, _dated, _order_batch, _shown, customer_versions
 from feedloom.session import work_path
+from feedloom.sinks import versions
 
 FACT_SQL = ORACLE["ticket_fact"]
 
@@ -107,3 +109,69 @@ def load_all(t):
     plans.load_all(folder, *inputs)
     days = plans.events_of_dates(catalogue, ["1995-03-01", "1996-07-14"])
     return plans.load_all(folder, *inputs, days)["fact"]
+
+
+ROWS = 2_000  # of a file, so that the given tables have several
+
+
+@query("load_by_key", ORACLE["replace_by_key"])
+def load_by_key(t):
+    """The orders, then the closed ones changed and under new keys, twice."""
+    path = work_path(t.spark, "orders")
+    versions.load_full(t.orders, path, versions.ByKey("o_orderkey"), ROWS)
+    for _ in range(2):
+        loaded = versions.load_by_key(_order_batch(t), path, "o_orderkey", ROWS)
+    return loaded.select(*ORDER_COLUMNS)
+
+
+@query("load_where", ORACLE["replace_where"])
+def load_where(t):
+    path = work_path(t.spark, "orders")
+    versions.load_full(t.orders, path, versions.ByKey("o_orderkey"), ROWS)
+    for _ in range(2):
+        loaded = versions.load_where(_order_batch(t), path, "o_orderkey", F.col("o_orderpriority") == "1-URGENT", ROWS)
+    return loaded.select(*ORDER_COLUMNS)
+
+
+@query("load_days", ORACLE["replace_by_window"])
+def load_days(t):
+    """The events, then the days of the window again, without errors."""
+    path, target = work_path(t.spark, "events"), _dated(t)
+    versions.load_full(target, path, versions.ByDay("ts"), ROWS)
+    window = (F.col("ts") >= WINDOW[0]) & (F.col("ts") < "2024-01-15")
+    batch = target.where(window & (F.col("event_type") != "error")).withColumn("event_type", F.lit("again"))
+    for _ in range(2):
+        loaded = versions.load_days(batch, path, "ts", *WINDOW, max_rows=ROWS)
+    return _shown(loaded)
+
+
+@query("load_tail", ORACLE["replace_tail"])
+def load_tail(t):
+    path, target = work_path(t.spark, "events"), _dated(t)
+    versions.load_full(target, path, versions.ByDay("ts"), ROWS)
+    batch = target.where(F.col("ts") >= "2024-01-25").withColumn("event_type", F.lit("tail"))
+    for _ in range(2):
+        loaded = versions.load_days(batch, path, "ts", "2024-01-25", None, max_rows=ROWS)
+    return _shown(loaded)
+
+
+@query("load_upsert", ORACLE["merge_upsert"])
+def load_upsert(t):
+    path = work_path(t.spark, "customer")
+    target, batch = customer_versions(t)
+    versions.load_full(target, path, versions.ByKey("c_custkey"), ROWS)
+    for _ in range(2):
+        loaded = versions.load_upsert(batch, path, "c_custkey", ["c_name", "c_mktsegment"], max_rows=ROWS)
+    return loaded
+
+
+@query("load_new", ORACLE["insert_new"])
+def load_new(t):
+    """New parts are appended; afterwards small files are written together."""
+    path = work_path(t.spark, "part")
+    target = t.part.where(F.col("p_type") != "PROMO").select("p_partkey", "p_name", "p_size")
+    batch = t.part.select("p_partkey", "p_name", "p_size").where("p_size > 30").withColumn("p_name", F.upper("p_name"))
+    versions.load_full(target, path, versions.ByKey("p_partkey"), ROWS)
+    for _ in range(2):
+        versions.load_new(batch, path, "p_partkey", ROWS)
+    return versions.compact(t.spark, path, versions.ByKey("p_partkey"), ROWS)

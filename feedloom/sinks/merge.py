@@ -1,8 +1,8 @@
 """What a table holds after a batch is loaded, as a DataFrame.
 
 Plain Parquet has no row-level delete, so each strategy is "rows that stay" plus
-"rows that come".  ``feedloom.sinks.tables`` writes the outcome; for a partitioned
-table it rewrites only the partitions a batch touches.
+"rows that come".  ``feedloom.sinks.versions`` applies them to the files that a batch
+concerns; ``feedloom.sinks.tables`` writes whole tables and partitions.
 """
 
 from __future__ import annotations
@@ -41,7 +41,8 @@ def replace_where(target: DataFrame, batch: DataFrame, key: str, keep: Column) -
     return _without(target, batch, key).unionByName(batch.where(keep))
 
 
-def _outside(moment: Column, start: str, end: str | None, drop_null: bool) -> Column:
+def outside_window(moment: Column, start: str, end: str | None, drop_null: bool) -> Column:
+    """Whether a moment lies outside the days of a window; an unreadable one does, unless it is to be dropped."""
     outside = moment < F.to_timestamp(F.lit(start))
     if end is not None:
         after = F.to_timestamp(F.date_add(F.to_date(F.lit(end)), 1))
@@ -59,7 +60,7 @@ def replace_by_window(
     again doubles them; ``drop_null`` removes them with the window.
     """
     moment = F.col(moment).try_cast("timestamp") if isinstance(moment, str) else moment
-    return target.where(_outside(moment, start, end, drop_null)).unionByName(batch)
+    return target.where(outside_window(moment, start, end, drop_null)).unionByName(batch)
 
 
 def replace_tail(

@@ -2,7 +2,8 @@
 
 A lost executor or a repeated task leaves no trace: Spark moves files into place
 when the job commits.  A job repeated after a failure gives the same table, except
-for ``append``, which adds its rows again.
+for ``append``, which adds its rows again.  Tables that loads change by key or day are in
+``feedloom.sinks.versions``.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from feedloom.operators.headers import canonical_headers
 
 # Where Spark files the rows whose partition value is null.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+# What a table's new rows are called until they take its place.
+NEXT = "__next"
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -38,28 +41,47 @@ def _by_partition(df: DataFrame, column: str | None):
     return df.hint("rebalance", column).write.partitionBy(column)
 
 
-def full_refresh(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
-    """Replace the table; returns it as written.  The path must not be one ``df`` reads."""
-    writer = _by_partition(df, partition_by).mode("overwrite")
-    writer.option("partitionOverwriteMode", "static").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def _swapped(spark: SparkSession, path: str) -> None:
+    """Finish or undo a replacement that was interrupted.
 
+    New rows lie complete beside the table before anything of it goes: if they are whole they become
+    the table, if not they go.
+    """
+    aside = f"{path}{NEXT}"
+    files, location = _file_system(spark, aside)
+    if not files.exists(location):
+        return
+    if path_exists(spark, f"{aside}/_SUCCESS"):
+        remove(spark, path)
+        move(spark, aside, path)
+    else:
+        remove(spark, aside)
 
-def rewrite(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
-    """``full_refresh`` by rows that may read the table itself.
 
-    They are written beside it first, so the table is never read while it is replaced and the
-    rows are computed once; the copy goes when the table stands.
+def full_refresh(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
+    """Replace the table; returns it as written.
+
+    The rows are written beside the table, so they may come from it, and take its place when they are
+    whole.  Stopped at any point, the table is the old one or the new one as soon as it is next loaded or
+    read by ``read_if_there``.
     """
-    spark, aside = df.sparkSession, f"{path}__next"
-    df.write.mode("overwrite").parquet(aside)
-    written = full_refresh(spark.read.schema(df.schema).parquet(aside), path, partition_by)
-    remove(spark, aside)
-    return written
+    spark = df.sparkSession
+    aside = f"{path}{NEXT}"
+    # One that is whole is the table; the rows may be about to be read from it.
+    _swapped(spark, path)
+    _by_partition(df, partition_by).mode("overwrite").parquet(aside)
+    _swapped(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def rewrite(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
+    """``full_refresh`` by rows that may read the table itself."""
+    return full_refresh(df, path, partition_by)
 
 
 def read_if_there(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """The table, or no rows of the same columns before its first load."""
+    _swapped(spark, path)
     if path_exists(spark, path):
         return spark.read.schema(like.schema).parquet(path)
     return like.where(F.lit(False))
@@ -67,6 +89,7 @@ def read_if_there(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
 
 def append(df: DataFrame, path: str, max_rows: int = 0, partition_by: str | None = None) -> DataFrame:
     """Add the rows; ``max_rows`` bounds the rows per file, not the rows written."""
+    _swapped(df.sparkSession, path)
     writer = _by_partition(df, partition_by).mode("append")
     if max_rows:
         writer = writer.option("maxRecordsPerFile", max_rows)
@@ -89,6 +112,12 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(location, True)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    files, location = _file_system(spark, path)
+    if not files.rename(location, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"{path} can't be moved to {to}")
+
+
 def swap_partitions(df: DataFrame, path: str, column: str) -> None:
     """Replace the partitions that these rows have values of; all others stay."""
     writer = df.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
