@@ -1,10 +1,10 @@
 """Positions inside groups, and the first and last rows of an order.
 
-A window over a group puts the whole group into one task.  Here every row first falls
-into a bucket of its leading order value; the buckets cut the whole table's values into
-equal shares, so neither a large group nor a table without groups meets in one task.  A
-row's position is its number inside (group, bucket) plus the rows of the group in earlier
-buckets.  There is one path for all sizes, and no job runs while the query is built.
+A window over a group puts the whole group into one task.  Here the table is cut into ranges of
+(group, order), compared as whole tuples, so rows that agree in the leading columns are cut as well.
+Most groups lie in one range, and there a window numbers them.  A group that is cut has one of the cuts
+inside, so there are fewer of them than cuts: only their rows are counted by range, and what stands in
+earlier ranges is added.  There is one path for all sizes, and no job runs while the query is built.
 """
 
 from __future__ import annotations
@@ -16,28 +16,74 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BUCKETS = 256
-ACCURACY = 100_000
+SAMPLED = 32  # rows a range is expected to have in the sample
 
 
-def _number(column: Column, kind: T.DataType) -> Column:
-    """A number that rises with the column; of a text its first six bytes, which may tie."""
+def _falling(column: Column, kind: T.DataType) -> Column | None:
+    """Something that rises, or stays, where the column falls."""
+    if isinstance(kind, T.IntegralType):
+        return F.bitwise_not(column.cast("long"))
+    if isinstance(kind, T.DecimalType):
+        return -column
+    if isinstance(kind, T.FractionalType):
+        return F.when(F.isnan(column), F.lit(float("-inf"))).otherwise(-column.cast("double"))
     if isinstance(kind, T.StringType):
-        return F.conv(F.rpad(F.hex(F.substring(F.encode(column, "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("double")
+        # hexadecimal digits turned around, and an end that comes after all of them
+        digits = F.hex(F.encode(column, "UTF-8"))
+        return F.concat(F.translate(digits, "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))
     if isinstance(kind, T.TimestampType):
-        return F.unix_micros(column).cast("double")
+        return F.bitwise_not(F.unix_micros(column))
     if isinstance(kind, T.TimestampNTZType):
-        return F.unix_micros(column.cast("timestamp")).cast("double")
+        return F.bitwise_not(F.unix_micros(column.cast("timestamp")))
     if isinstance(kind, T.DateType):
-        return F.unix_date(column).cast("double")
+        return F.bitwise_not(F.unix_date(column))
     if isinstance(kind, T.BooleanType):
-        return column.cast("int").cast("double")
-    return column.cast("double")
+        return ~column
+    return None
+
+
+def _tuple(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> Column:
+    """Group and order as one value that rises with them; nulls first going up and last going down, as Spark sorts."""
+    parts = [F.col(c) for c in by]
+    for name in order:
+        if not name.startswith("-"):
+            parts.append(F.col(name))
+            continue
+        column = F.col(name[1:])
+        turned = _falling(column, df.schema[name[1:]].dataType)
+        if turned is None:
+            break  # ranges are then cut by the columns before
+        parts += [column.isNull(), turned]
+    return F.struct(*[part.alias(f"f{i}") for i, part in enumerate(parts)])
 
 
 def _sorted_by(order: Sequence[str]) -> list[Column]:
     return [F.col(c[1:]).desc() if c.startswith("-") else F.col(c).asc() for c in order]
 
 
+def _cuts(df: DataFrame, place: Column, ranges: int) -> Column:
+    """``ranges - 1`` tuples that cut the table into about equal shares, from a sample by hash."""
+    total = df.agg(F.greatest(F.count(F.lit(1)), F.lit(1))).scalar()
+    hashed = df.select(place.alias("place")).withColumn("hash", F.shiftrightunsigned(F.xxhash64("place"), 11))
+    share = F.lit(float(SAMPLED * ranges)) / total * F.lit(2.0**53)
+    # equal tuples have equal hashes: one of them stands for all, so the sample stays small
+    sample = hashed.where(F.col("hash") < share).select("place").distinct()
+    held = F.array_sort(F.collect_list("place"))
+    return sample.agg(F.transform(
+        F.sequence(F.lit(1), F.lit(max(ranges - 1, 1))), lambda i: F.get(held, F.floor(i * F.size(held) / ranges).cast("int"))
+    ).alias("cuts")).scalar()
+
+
+def _not_above(cuts: str, value: str, n: int) -> Column:
+    """How many of ``n`` rising cuts are not above a value, by halves."""
+    steps = [1 << k for k in reversed(range(n.bit_length()))]
+
+    def forth(at: Column, step: Column) -> Column:
+        return F.when((at + step <= n) & (F.get(cuts, at + step - 1) <= F.col(value)), at + step).otherwise(at)
+
+    return F.aggregate(F.array(*map(F.lit, steps or [1])), F.lit(0), forth)
+
+
 def with_position(
     df: DataFrame,
     by: Sequence[str],
@@ -49,33 +95,41 @@ def with_position(
     """1, 2, 3, … in each group, in a given order.  An empty ``by`` ranks the whole table.
 
     ``order`` names columns, a leading ``-`` turns one around.  It has to tell the rows of a
-    group apart: rows alike in all of it are numbered in any order.  Rows of one leading
-    value stay together, so that value should not be the same for most of a large table.
-    ``sums`` adds group totals of columns under new names, from the same pass as the counts.
+    group apart: rows alike in all of it are numbered in any order, and by one task.
+    ``sums`` adds group totals of columns under new names.
     """
     by, order, sums = list(by), list(order), dict(sums or {})
-    lead, down = order[0].removeprefix("-"), order[0].startswith("-")
-    number = _number(F.col(lead), df.schema[lead].dataType)
-    number = -number if down else number
-    shares = [i / buckets for i in range(1, buckets)]
-    edges = df.agg(F.percentile_approx(number, shares, ACCURACY).alias("edges")).scalar()
-    # Nulls come first going up and last going down, as Spark sorts them.
-    bucket = F.when(number.isNull(), F.lit(buckets if down else -1)).otherwise(F.size(F.filter("_edges", lambda e: e < number)))
-    keyed = df.withColumn("_edges", F.coalesce(edges, F.array().cast("array<double>"))).withColumn("_bucket", bucket).drop("_edges")
+    place = _tuple(df, by, order)
+    placed = df.withColumn("_place", place).withColumn("_cuts", _cuts(df, place, buckets))
+    placed = placed.withColumn("_bucket", _not_above("_cuts", "_place", buckets - 1))
+    # cuts inside a group are next to its rows: the last one not above them, or the first one above
+    here = [F.get("_cuts", F.col("_bucket") - 1), F.get("_cuts", F.col("_bucket"))]
+    cut = F.lit(not by)
+    for near in here if by else []:
+        same = F.lit(True)
+        for i, c in enumerate(by):
+            same = same & near[f"f{i}"].eqNullSafe(F.col(c))
+        cut = cut | same
     totals = [F.sum(c).alias(f"_sum_{n}") for n, c in sums.items()]
-    counted = keyed.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"), *totals)
-    group = Window.partitionBy(*by)  # at most ``buckets`` + 1 rows each
+    counted = placed.where(cut).groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"), *totals)
+    group = Window.partitionBy(*by)
     earlier = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = counted.select(
         *[F.col(c).alias(f"_by_{i}") for i, c in enumerate(by)], F.col("_bucket").alias("_at"),
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"), *[F.sum(f"_sum_{n}").over(group).alias(n) for n in sums],
+        F.sum("_n").over(earlier).alias("_before"), *[F.sum(f"_sum_{n}").over(group).alias(f"_total_{n}") for n in sums],
     )
     same = F.col("_bucket") == F.col("_at")
     for i, c in enumerate(by):
         same = same & F.col(c).eqNullSafe(F.col(f"_by_{i}"))
-    inside = F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy(*_sorted_by(order)))
-    placed = keyed.withColumn("_inside", inside).join(before, same)
-    return placed.select(*df.columns, (F.col("_inside") + F.col("_before")).cast("bigint").alias(name), *sums)
+    whole = Window.partitionBy(*by, "_bucket")
+    numbered = placed.drop("_place", "_cuts").withColumn("_inside", F.row_number().over(whole.orderBy(*_sorted_by(order))))
+    numbered = numbered.withColumns({f"_own_{n}": F.sum(c).over(whole) for n, c in sums.items()})
+    # two rows a cut at most, whatever the table: a cut group has one more range than cuts inside
+    joined = numbered.join(F.broadcast(before), same, "left")
+    return joined.select(
+        *df.columns, (F.col("_inside") + F.coalesce("_before", F.lit(0))).cast("bigint").alias(name),
+        *[F.when(F.col("_at").isNull(), F.col(f"_own_{n}")).otherwise(F.col(f"_total_{n}")).alias(n) for n in sums],
+    )
 
 
 def top_bottom(
