@@ -82,10 +82,13 @@ def normalize_text(c: ColumnLike) -> Column:
 def null_tokens(c: ColumnLike, tokens: Sequence[str]) -> Column:
     """Null where the text is one of the tokens.
 
-    Filtering a one-entry array works the argument out once.  ``when(test, value)`` and
-    ``nullif`` repeat it, and in nested expressions the repetitions multiply.
+    Removing them from a one-entry array works the argument out once, in generated code.  ``when(test, value)``
+    and ``nullif`` repeat it, and in nested expressions the repetitions multiply.
     """
-    return F.get(F.filter(F.array(as_column(c)), lambda text: ~text.isin(*tokens)), F.lit(0))
+    held = F.array(as_column(c))
+    for token in tokens:
+        held = F.array_remove(held, token)
+    return F.get(held, F.lit(0))
 
 
 def clean_text(c: ColumnLike, upper: bool = True, missing: Sequence[str] = MISSING_WORDS) -> Column:
@@ -124,7 +127,7 @@ def clean_document(c: ColumnLike, length: int = 11, default: str = "-1") -> Colu
 
 
 def letters_only(c: ColumnLike) -> Column:
-    return F.regexp_replace(as_column(c), f"{UNICODE}[^{LATIN_LETTERS}{SPACES}]+", "")
+    return F.regexp_replace(as_column(c), f"[^{LATIN_LETTERS}{WHITESPACE}]+", "")
 
 
 def truncate(c: ColumnLike, length: int) -> Column:

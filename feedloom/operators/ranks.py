@@ -4,7 +4,8 @@ A window over a group puts the whole group into one task.  Here the table is cut
 (group, order), compared as whole tuples, so rows that agree in the leading columns are cut as well.
 Most groups lie in one range, and there a window numbers them.  A group that is cut has one of the cuts
 inside, so there are fewer of them than cuts: only their rows are counted by range, and what stands in
-earlier ranges is added.  There is one path for all sizes, and no job runs while the query is built.
+earlier ranges is added.  There is one path for all sizes.  Counting and sampling the table run while the
+query is built; the cuts, some dozens of rows, are part of its expressions.
 """
 
 from __future__ import annotations
@@ -15,73 +16,102 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BUCKETS = 256
+BUCKETS = 64
 SAMPLED = 32  # rows a range is expected to have in the sample
 
 
+def _rising(column: Column, kind: T.DataType) -> Column | None:
+    """A number or text that rises with the column, nulls first as Spark sorts them."""
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column)
+    if isinstance(kind, T.TimestampNTZType):
+        return F.unix_micros(column.cast("timestamp"))
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column)
+    if isinstance(kind, T.BooleanType):
+        return column.cast("int")
+    return column if isinstance(kind, T.NumericType | T.StringType) else None
+
+
 def _falling(column: Column, kind: T.DataType) -> Column | None:
     """Something that rises, or stays, where the column falls."""
-    if isinstance(kind, T.IntegralType):
-        return F.bitwise_not(column.cast("long"))
-    if isinstance(kind, T.DecimalType):
-        return -column
-    if isinstance(kind, T.FractionalType):
-        return F.when(F.isnan(column), F.lit(float("-inf"))).otherwise(-column.cast("double"))
     if isinstance(kind, T.StringType):
         # hexadecimal digits turned around, and an end that comes after all of them
         digits = F.hex(F.encode(column, "UTF-8"))
         return F.concat(F.translate(digits, "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))
-    if isinstance(kind, T.TimestampType):
-        return F.bitwise_not(F.unix_micros(column))
-    if isinstance(kind, T.TimestampNTZType):
-        return F.bitwise_not(F.unix_micros(column.cast("timestamp")))
-    if isinstance(kind, T.DateType):
-        return F.bitwise_not(F.unix_date(column))
-    if isinstance(kind, T.BooleanType):
-        return ~column
-    return None
+    if isinstance(kind, T.DecimalType):
+        return -column
+    if isinstance(kind, T.FractionalType):
+        return F.when(F.isnan(column), F.lit(float("-inf"))).otherwise(-column.cast("double"))
+    rising = _rising(column, kind)
+    return None if rising is None else F.bitwise_not(rising.cast("long"))
 
 
-def _tuple(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> Column:
-    """Group and order as one value that rises with them; nulls first going up and last going down, as Spark sorts."""
-    parts = [F.col(c) for c in by]
+def _fields(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> list[Column]:
+    """Group and order as a tuple of columns that all rise.  Groups go by a hash: any order of them will do."""
+    fields = [F.xxhash64(*by)] if by else []
     for name in order:
-        if not name.startswith("-"):
-            parts.append(F.col(name))
-            continue
-        column = F.col(name[1:])
-        turned = _falling(column, df.schema[name[1:]].dataType)
+        down, name = name.startswith("-"), name.removeprefix("-")
+        turned = (_falling if down else _rising)(F.col(name), df.schema[name].dataType)
         if turned is None:
             break  # ranges are then cut by the columns before
-        parts += [column.isNull(), turned]
-    return F.struct(*[part.alias(f"f{i}") for i, part in enumerate(parts)])
+        fields += [F.col(name).isNull().cast("int"), turned] if down else [turned]
+    return fields or [F.lit(0)]
 
 
 def _sorted_by(order: Sequence[str]) -> list[Column]:
     return [F.col(c[1:]).desc() if c.startswith("-") else F.col(c).asc() for c in order]
 
 
-def _cuts(df: DataFrame, place: Column, ranges: int) -> Column:
-    """``ranges - 1`` tuples that cut the table into about equal shares, from a sample by hash."""
-    total = df.agg(F.greatest(F.count(F.lit(1)), F.lit(1))).scalar()
-    hashed = df.select(place.alias("place")).withColumn("hash", F.shiftrightunsigned(F.xxhash64("place"), 11))
-    share = F.lit(float(SAMPLED * ranges)) / total * F.lit(2.0**53)
-    # equal tuples have equal hashes: one of them stands for all, so the sample stays small
-    sample = hashed.where(F.col("hash") < share).select("place").distinct()
-    held = F.array_sort(F.collect_list("place"))
-    return sample.agg(F.transform(
-        F.sequence(F.lit(1), F.lit(max(ranges - 1, 1))), lambda i: F.get(held, F.floor(i * F.size(held) / ranges).cast("int"))
-    ).alias("cuts")).scalar()
+def _cuts(df: DataFrame, fields: Sequence[Column], ranges: int) -> list[tuple]:
+    """``ranges - 1`` tuples at most that cut the table into about equal shares, from a sample by hash."""
+    names = [f"f{i}" for i in range(len(fields))]
+    rows = df.select(*[f.alias(n) for f, n in zip(fields, names)])
+    share = SAMPLED * ranges / max(df.count(), 1)
+    # equal tuples have equal hashes, and one of them stands for all, so the sample stays small
+    hashed = F.shiftrightunsigned(F.xxhash64(*names), 11)
+    sample = sorted((tuple(row) for row in rows.where(hashed < share * 2.0**53).distinct().collect()), key=_as_sorted)
+    n = len(sample)  # of each share but the last one, the last row
+    return [row for i, row in enumerate(sample[:-1]) if (i + 1) * ranges // n > i * ranges // n]
+
+
+def _as_sorted(row: tuple) -> tuple:
+    """Nulls first, then numbers or texts, NaN last."""
+    return tuple((v is not None, v != v, 0 if v is None or v != v else v) for v in row)
+
+
+def _below(fields: Sequence[Column], cut: Sequence[object]) -> Column:
+    """Whether a row's tuple comes before a cut; nulls come first."""
+    *first, last = zip(fields, cut)
+    below = _less(*last)
+    for field, value in reversed(first):
+        below = _less(field, value) | (field.eqNullSafe(F.lit(value)) & below)
+    return below
+
+
+def _less(field: Column, value: object) -> Column:
+    return F.lit(False) if value is None else field.isNull() | (field < F.lit(value))
+
+
+def _range_of(fields: Sequence[Column], cuts: Sequence[tuple]) -> Column:
+    """How many cuts are not above a row's tuple, found by halves.
+
+    A cut is compared as far as it differs from the ones beside it, mostly by its first field.
+    """
 
+    def differs(a: tuple, b: tuple) -> int:
+        return next((i + 1 for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
 
-def _not_above(cuts: str, value: str, n: int) -> Column:
-    """How many of ``n`` rising cuts are not above a value, by halves."""
-    steps = [1 << k for k in reversed(range(n.bit_length()))]
+    depth = [max([differs(cut, other) for other in cuts[max(i - 1, 0):i + 2] if other is not cut], default=len(cut)) for i, cut in enumerate(cuts)]
 
-    def forth(at: Column, step: Column) -> Column:
-        return F.when((at + step <= n) & (F.get(cuts, at + step - 1) <= F.col(value)), at + step).otherwise(at)
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        below = _below(fields[:depth[middle]], cuts[middle])
+        return F.when(below, search(low, middle)).otherwise(search(middle + 1, high))
 
-    return F.aggregate(F.array(*map(F.lit, steps or [1])), F.lit(0), forth)
+    return search(0, len(cuts))
 
 
 def with_position(
@@ -99,17 +129,12 @@ def with_position(
     ``sums`` adds group totals of columns under new names.
     """
     by, order, sums = list(by), list(order), dict(sums or {})
-    place = _tuple(df, by, order)
-    placed = df.withColumn("_place", place).withColumn("_cuts", _cuts(df, place, buckets))
-    placed = placed.withColumn("_bucket", _not_above("_cuts", "_place", buckets - 1))
-    # cuts inside a group are next to its rows: the last one not above them, or the first one above
-    here = [F.get("_cuts", F.col("_bucket") - 1), F.get("_cuts", F.col("_bucket"))]
-    cut = F.lit(not by)
-    for near in here if by else []:
-        same = F.lit(True)
-        for i, c in enumerate(by):
-            same = same & near[f"f{i}"].eqNullSafe(F.col(c))
-        cut = cut | same
+    fields = _fields(df, by, order)
+    cuts = _cuts(df, fields, buckets)
+    held = [f"_field_{i}" for i in range(len(fields))]
+    placed = df.select("*", *[f.alias(n) for f, n in zip(fields, held)])
+    placed = placed.withColumn("_bucket", _range_of([F.col(n) for n in held], cuts)).drop(*held)
+    cut = fields[0].isin(sorted({c[0] for c in cuts})) if by else F.lit(True)
     totals = [F.sum(c).alias(f"_sum_{n}") for n, c in sums.items()]
     counted = placed.where(cut).groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"), *totals)
     group = Window.partitionBy(*by)
@@ -122,8 +147,8 @@ def with_position(
     for i, c in enumerate(by):
         same = same & F.col(c).eqNullSafe(F.col(f"_by_{i}"))
     whole = Window.partitionBy(*by, "_bucket")
-    numbered = placed.drop("_place", "_cuts").withColumn("_inside", F.row_number().over(whole.orderBy(*_sorted_by(order))))
-    numbered = numbered.withColumns({f"_own_{n}": F.sum(c).over(whole) for n, c in sums.items()})
+    numbered = placed.withColumn("_inside", F.row_number().over(whole.orderBy(*_sorted_by(order))))
+    numbered = numbered.withColumns({f"_own_{n}": F.sum(c).over(whole) for n, c in sums.items()}) if sums else numbered
     # two rows a cut at most, whatever the table: a cut group has one more range than cuts inside
     joined = numbered.join(F.broadcast(before), same, "left")
     return joined.select(

