@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from uuid import uuid4
 
 from py4j.protocol import Py4JJavaError
@@ -68,6 +68,7 @@ class Version:
     number: int
     manifest: str
     schema: T.StructType
+    note: dict = field(default_factory=dict)  # what a load says about itself
 
 
 def _files(spark: SparkSession, path: str):
@@ -93,7 +94,7 @@ def version(spark: SparkSession, path: str, number: int | None = None) -> Versio
         return None
     number = numbers[-1] if number is None else number
     said = json.loads(spark.read.text(f"{path}/{VERSIONS}/{number:020d}.json", wholetext=True).first()[0])
-    return Version(number, said["manifest"], T.StructType.fromJson(said["schema"]))
+    return Version(number, said["manifest"], T.StructType.fromJson(said["schema"]), said.get("note", {}))
 
 
 def manifest(spark: SparkSession, path: str, at: Version) -> DataFrame:
@@ -159,7 +160,7 @@ def write_marker(spark: SparkSession, path: str, at: Version) -> str:
     name = f"{path}/{VERSIONS}/_{uuid4().hex}"
     files, location = _files(spark, name)
     out = files.create(location, False)
-    out.write(bytearray(json.dumps({"manifest": at.manifest, "schema": at.schema.jsonValue()}).encode()))
+    out.write(bytearray(json.dumps({"manifest": at.manifest, "schema": at.schema.jsonValue(), "note": at.note}).encode()))
     out.close()
     return name
 
@@ -184,9 +185,9 @@ def remove_path(spark: SparkSession, path: str) -> None:
     files.delete(location, True)
 
 
-def _publish(spark: SparkSession, path: str, base: Version | None, kept: DataFrame | None, folders: Sequence[str], schema: T.StructType, by: Index) -> DataFrame:
+def _publish(spark: SparkSession, path: str, base: Version | None, kept: DataFrame | None, folders: Sequence[str], schema: T.StructType, by: Index, note: dict | None = None) -> DataFrame:
     number = base.number + 1 if base else 1
-    made = Version(number, write_manifest(spark, path, kept, folders, schema, by), schema)
+    made = Version(number, write_manifest(spark, path, kept, folders, schema, by), schema, note or {})
     publish_marker(spark, path, write_marker(spark, path, made), number)
     return read_table(spark, path)
 
@@ -206,11 +207,16 @@ def load_full(batch: DataFrame, path: str, by: Index, max_rows: int = 0) -> Data
     return _publish(spark, path, base, None, [write_rows(batch, path, by, max_rows)], _plain(batch.schema), by)
 
 
+def sharing(spark: SparkSession, path: str, at: Version, rows: DataFrame, by: Index) -> list[str]:
+    """The files that have a bucket in common with the rows: for days, those that hold one of their days."""
+    wanted = rows.select(by.bucket().alias("bucket")).distinct()
+    by_bucket = manifest(spark, path, at).select("file", F.explode("buckets").alias("bucket"))
+    return _named(by_bucket.join(wanted, "bucket", "left_semi").select("file").distinct())
+
+
 def holding(spark: SparkSession, path: str, at: Version, keys: DataFrame, key: str) -> list[str]:
     """The files that hold one of the keys."""
-    wanted = keys.select(ByKey(key).bucket().alias("bucket")).distinct()
-    by_bucket = manifest(spark, path, at).select("file", F.explode("buckets").alias("bucket"))
-    near = _named(by_bucket.join(wanted, "bucket", "left_semi").select("file").distinct())
+    near = sharing(spark, path, at, keys, ByKey(key))
     if not near:
         return []
     file = F.regexp_extract("_metadata.file_path", f"({DATA}/[^/]+/[^/]+)$", 1)
@@ -306,6 +312,27 @@ def load_days(batch: DataFrame, path: str, moment: str, start: str, end: str | N
     return _publish(spark, path, base, _without(spark, path, base, files), folders, base.schema, by)
 
 
+def rows_of(spark: SparkSession, path: str, at: Version, files: Sequence[str]) -> DataFrame:
+    """What some files of the table hold."""
+    return _rows(spark, path, at.schema, files)
+
+
+def load_more(batch: DataFrame, path: str, by: Index) -> DataFrame:
+    """Append the batch."""
+    spark = batch.sparkSession
+    base = version(spark, path)
+    fresh = write_rows(_aligned(batch, base), path, by)
+    return _publish(spark, path, base, manifest(spark, path, base) if base else None, [fresh], base.schema if base else _plain(batch.schema), by)
+
+
+def exchange(rows: DataFrame, path: str, files: Sequence[str], by: Index, note: dict | None = None) -> DataFrame:
+    """The rows take the place of some of the table's files; ``note`` is published with them."""
+    spark = rows.sparkSession
+    base = version(spark, path)
+    kept = _without(spark, path, base, files) if base else None
+    return _publish(spark, path, base, kept, [write_rows(rows, path, by)], base.schema if base else _plain(rows.schema), by, note)
+
+
 def compact(spark: SparkSession, path: str, by: Index, small: int) -> DataFrame:
     """Files of fewer than ``small`` rows are written together; the table's rows stay as they are."""
     base = version(spark, path)
@@ -313,7 +340,7 @@ def compact(spark: SparkSession, path: str, by: Index, small: int) -> DataFrame:
     if len(files) < 2:
         return read_table(spark, path)
     folder = write_rows(_rows(spark, path, base.schema, files), path, by)
-    return _publish(spark, path, base, _without(spark, path, base, files), [folder], base.schema, by)
+    return _publish(spark, path, base, _without(spark, path, base, files), [folder], base.schema, by, base.note)
 
 
 def vacuum(spark: SparkSession, path: str, keep: int = 2) -> None:

@@ -34,6 +34,7 @@ CLOSING_TIME = time(23, 55)
 ZONE = ZoneInfo("America/Sao_Paulo")
 
 LANDED, ORDER, LIVE = "_landed", "_order", "_live"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -73,7 +74,7 @@ class Days:
     order: Column | None = None
 
 
-def _newest(rows: DataFrame, unit: list[str], single: bool) -> DataFrame:
+def newest(rows: DataFrame, unit: list[str], single: bool) -> DataFrame:
     """Of each unit the rows of the newest order; of a key, one of them."""
     if single:
         whole = F.struct(*rows.columns)
@@ -87,12 +88,12 @@ def _newest(rows: DataFrame, unit: list[str], single: bool) -> DataFrame:
     return rows.join(last, same, "left_semi")
 
 
-def _cycle_rows(batch: DataFrame, path: str, transform: Transform, by: Days) -> DataFrame:
-    """What the days that the batch touches hold after it."""
+def changes(batch: DataFrame, transform: Transform, by: Days) -> tuple[DataFrame, DataFrame]:
+    """What a batch brings, marks included, and the days and keys it touches."""
     order = F.col(LANDED) if by.order is None else by.order
     landed = batch.withColumns({by.column: by.day, ORDER: order})
     unit = [by.column] if by.key is None else [by.column, by.key]
-    fresh = _newest(landed, unit, by.key is not None)
+    fresh = newest(landed, unit, by.key is not None)
     loaded_key = by.loaded_key or by.key
     loaded_day = by.day if by.loaded_day is None else by.loaded_day
     given = fresh.drop(ORDER) if by.column in batch.columns else fresh.drop(ORDER, by.column)
@@ -105,12 +106,18 @@ def _cycle_rows(batch: DataFrame, path: str, transform: Transform, by: Days) ->
     blank = {f.name: F.lit(None).cast(f.dataType) for f in made.schema}
     blank |= {by.column: F.col("_day").cast(made.schema[by.column].dataType)} | ({loaded_key: F.col("_key").cast(made.schema[loaded_key].dataType)} if by.key else {})
     marks = gone.select(*(c.alias(name) for name, c in blank.items()), ORDER).withColumn(LIVE, F.lit(False))
-    rows = live.unionByName(marks)
+    return live.unionByName(marks), units
+
+
+def _cycle_rows(batch: DataFrame, path: str, transform: Transform, by: Days) -> DataFrame:
+    """What the days that the batch touches hold after it."""
+    rows, units = changes(batch, transform, by)
+    loaded_key = by.loaded_key or by.key
     if path_exists(batch.sparkSession, path):
         touched = units.select("_day").distinct()
         table = batch.sparkSession.read.schema(rows.schema).parquet(path)
         rows = table.join(touched, F.col(by.column).eqNullSafe(F.col("_day")), "left_semi").unionByName(rows)
-    return _newest(rows, [by.column] if by.key is None else [by.column, loaded_key], by.key is not None)
+    return newest(rows, [by.column] if by.key is None else [by.column, loaded_key], by.key is not None)
 
 
 def _load_cycle(batch: DataFrame, path: str, transform: Transform, by: Days, number: int) -> None:
@@ -191,6 +198,28 @@ def stream_dedupe(source: DataFrame, path: str, checkpoint: str, key: str, order
     return source.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def stream_dedupe_within(
+    source: DataFrame, path: str, checkpoint: str, key: str, moment: str, delay: str = "1 day", order_column: str = LANDED
+) -> StreamingQuery:
+    """Add one record of each key, remembering keys for ``delay`` behind the newest moment only.
+
+    Keys are held in a RocksDB state store and leave it as the watermark passes them, so a cycle reads neither the
+    table nor the history.  Copies have to come within ``delay`` of each other.  A record whose moment lies behind
+    the watermark of its cycle, ``delay`` before the newest moment of the cycles before, is left out and counted
+    (``left_out``); ``daily_backfill`` brings such days in.  ``stream_dedupe`` takes records however late.
+    """
+    source.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    timed = source.withColumn(moment, F.col(moment).cast("timestamp")).withWatermark(moment, delay)
+    rows = timed.dropDuplicatesWithinWatermark([key]).drop(order_column)
+    return rows.writeStream.format("parquet").outputMode("append").option("path", path).option(
+        "checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def left_out(query: StreamingQuery) -> int:
+    """How many records the latest cycles of a query have found behind their watermark."""
+    return sum(state.numRowsDroppedByWatermark for progress in query.recentProgress for state in progress.stateOperators)
+
+
 def daily_backfill(
     df: DataFrame, path: str, moment: str, start: str, end: str, transform: Transform = _same,
     day_column: str = "day",
