@@ -2,7 +2,8 @@
 
 None carries a broadcast hint: the planner broadcasts a side when its size is under
 ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise, and adaptive
-execution splits the partitions a hot key makes too large.
+execution splits the partitions a hot key makes too large.  Keys can also be found hot
+and spread beforehand (``hot_keys``), which needs no threshold in bytes.
 """
 
 from __future__ import annotations
@@ -16,17 +17,36 @@ from feedloom.functions import after_sep
 
 
 SALTS = 256
+HOT_SHARE = 0.01
+TRACKED = 4096  # keys that a task's sketch holds at a time
 
 
-def left_join_salted(fact: DataFrame, dim: DataFrame, on: str, hot: Sequence[str], salts: int = SALTS) -> DataFrame:
-    """Left join in which the facts of known hot keys (sentinels) are spread over ``salts`` tasks.
+def hot_keys(df: DataFrame, on: str, share: float = HOT_SHARE) -> Column:
+    """The keys that hold at least ``share`` of the rows, as an array, found by a mergeable top-k sketch.
 
-    Each hot key's rows of the dimension, few by nature, are repeated once per salt; all other
-    keys have salt 0.  Which salt a fact gets depends on its content alone.
+    There are at most ``1 / share`` of them.  The sketch counts a key too high by its error at most, never too low,
+    so none is missed; it is read in one pass over the key and evaluated with the query that uses it.
     """
-    if not hot:
+    ceiling = int(1 / share) + 1
+    counted = df.where(F.col(on).isNotNull()).agg(
+        F.expr(f"approx_top_k(`{on}`, {ceiling}, {max(TRACKED, ceiling)})").alias("top"), F.count(F.lit(1)).alias("n"),
+    )
+    often = F.filter("top", lambda entry: entry["count"] >= F.lit(share) * F.col("n"))
+    return counted.select(F.transform(often, lambda entry: entry["item"])).scalar()
+
+
+def left_join_salted(fact: DataFrame, dim: DataFrame, on: str, hot: Sequence[str] | Column, salts: int = SALTS) -> DataFrame:
+    """Left join in which the facts of hot keys are spread over ``salts`` tasks.
+
+    ``hot`` names keys (sentinels) or is what ``hot_keys`` found.  Each hot key's rows of the dimension, few by
+    nature, are repeated once per salt; all other keys have salt 0.  Which salt a fact gets depends on its content alone.
+    """
+    if isinstance(hot, Column):
+        is_hot = F.coalesce(F.array_contains(hot, F.col(on)), F.lit(False))
+    elif hot:
+        is_hot = F.coalesce(F.col(on).isin(*hot), F.lit(False))
+    else:
         return fact.join(dim, on, "left")
-    is_hot = F.coalesce(F.col(on).isin(*hot), F.lit(False))
     spread = F.when(is_hot, F.pmod(F.xxhash64(*fact.columns), F.lit(salts))).otherwise(F.lit(0))
     copies = F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
     left = fact.withColumn("_salt", spread.cast("int"))
@@ -34,9 +54,9 @@ def left_join_salted(fact: DataFrame, dim: DataFrame, on: str, hot: Sequence[str
 
 
 def join_current(
-    fact: DataFrame, dim: DataFrame, on: str, end_column: str, columns: Sequence[str], hot: Sequence[str] = ()
+    fact: DataFrame, dim: DataFrame, on: str, end_column: str, columns: Sequence[str], hot: Sequence[str] | Column = ()
 ) -> DataFrame:
-    """Left join to the open version of a dimension; a fact without one stays."""
+    """Left join to the open version of a dimension; a fact without one stays.  For ``hot`` see ``left_join_salted``."""
     current = dim.where(F.col(end_column).isNull()).select(on, *columns)
     return left_join_salted(fact, current, on, hot)
 
@@ -47,9 +67,9 @@ def latest_per_key(df: DataFrame, key: str, order: Sequence[str], columns: Seque
 
 
 def join_latest(
-    fact: DataFrame, dim: DataFrame, on: str, order: Sequence[str], columns: Sequence[str]
+    fact: DataFrame, dim: DataFrame, on: str, order: Sequence[str], columns: Sequence[str], hot: Sequence[str] | Column = ()
 ) -> DataFrame:
-    return fact.join(latest_per_key(dim, on, order, columns), on, "left")
+    return left_join_salted(fact, latest_per_key(dim, on, order, columns), on, hot)
 
 
 def enrich_priority(
@@ -58,7 +78,7 @@ def enrich_priority(
     on: str,
     lefts: Sequence[tuple[DataFrame, str]],
     choices: Mapping[str, Sequence[str]],
-    hot: Sequence[str] = (),
+    hot: Sequence[str] | Column = (),
 ) -> DataFrame:
     """Inner join, left joins, then for each new column the first filled choice.
 
@@ -115,6 +135,46 @@ def match_by_suffix(
     return matched.where(suffix != "") if require_suffix else matched
 
 
+def _grams(text: Column, size: int) -> Column:
+    """The different runs of ``size`` characters of a text."""
+    starts = F.sequence(F.lit(1), F.length(text) - size + 1)
+    found = F.array_distinct(F.transform(starts, lambda at: F.substring(text, at, F.lit(size))))
+    return F.when(F.length(text) >= size, found).otherwise(F.array().cast("array<string>"))
+
+
+def match_suffixes(
+    events: DataFrame, key: str, title: str, day: Column, probes: DataFrame, probe_title: str, probe_day: Column,
+    separator: str = " X ", require_suffix: bool = False, size: int = 3,
+) -> DataFrame:
+    """``match_by_suffix`` for a table of probes: each probe's columns with the ``key`` of each event it matches.
+
+    An inverted index has the ``size``-grams of the titles of each day.  A probe is looked up by the gram of its
+    suffix that the fewest titles of its day hold, wildcards cutting the suffix into pieces; what that finds is
+    tested with LIKE, in full.  A suffix that has no gram, being short or all wildcards, meets the titles of its
+    day.  ``key`` tells events apart; probes with the same columns count as one.
+    """
+    titled = events.select(F.col(key).alias("_key"), day.alias("_day"), F.upper(F.col(title)).alias("_title")).where("_day is not null and _title is not null")
+    suffix = F.upper(after_sep(probe_title, separator))
+    asked = probes.select(*probes.columns, suffix.alias("_suffix"), probe_day.alias("_on")).distinct().where("_on is not null and _suffix is not null")
+    asked = asked.where("_suffix <> ''") if require_suffix else asked
+    pieces = F.split("_suffix", "[%_]+")
+    asked = asked.withColumn("_grams", F.array_distinct(F.flatten(F.transform(pieces, lambda piece: _grams(piece, size)))))
+    index = titled.select("_day", "_key", F.explode(_grams(F.col("_title"), size)).alias("_gram"))
+    held = index.groupBy("_day", "_gram").agg(F.count(F.lit(1)).alias("_n"))
+    wanted = asked.select("_on", "_suffix", F.size("_grams").alias("_all"), F.explode("_grams").alias("_gram")).distinct()
+    met = wanted.join(held.withColumnRenamed("_day", "_on"), ["_on", "_gram"]).groupBy("_on", "_suffix", "_all")
+    rarest = met.agg(F.count(F.lit(1)).alias("_found"), F.min_by("_gram", F.struct("_n", "_gram")).alias("_gram"))
+    # a gram that no title of the day holds rules the suffix out
+    chosen = rarest.where("_found = _all").select(F.col("_on").alias("_day"), "_gram", "_suffix")
+    pattern = F.concat(F.lit("%"), F.col("_suffix"), F.lit("%"))
+    like = F.like(F.col("_title"), pattern, F.lit("\x01"))  # no escapes
+    near = chosen.join(index, ["_day", "_gram"]).select("_day", "_suffix", "_key").join(titled, ["_day", "_key"]).where(like)
+    plain = asked.where(F.size("_grams") == 0).select(F.col("_on").alias("_day"), "_suffix").distinct().join(titled, "_day").where(like)
+    pairs = near.select("_day", "_suffix", "_key").unionByName(plain.select("_day", "_suffix", "_key"))
+    found = asked.join(pairs.withColumnRenamed("_day", "_on"), ["_on", "_suffix"])
+    return found.select(*probes.columns, F.col("_key").alias(key))
+
+
 def outer_chain(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """``FULL OUTER JOIN … USING`` over all frames.  Null keys match nothing."""
     first, *others = frames

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.functions import parse_dt
 from feedloom.functions.dates import SHARD_FORMAT
 from feedloom.operators.groups import distinct_if, distinct_sessions, sum_or_zero, two_level
 from feedloom.operators.nested import param
+from feedloom.operators.presence import count_presence, number_members, presence
+from feedloom.sinks import versions
 from feedloom.specs import web
 
 MEASURES = ["views", "sessions", "active_users", "add_to_cart", "total_purchasers", "revenue"]
@@ -107,6 +110,52 @@ def _part(*filled: str) -> Column:
     ])
 
 
+def load_crm_day(folder: str, events: DataFrame, c: CrmColumns = CrmColumns()) -> None:
+    """Add days to a report that is kept: sums per group, and bitmaps of its sessions, active users and buyers.
+
+    Only the given days' events are read.  Days that are there already are replaced, so a day can be loaded again.
+    """
+    spark = events.sparkSession
+    known = F.col(c.user).isNotNull()
+    session = F.concat(F.col(c.user).cast("string"), F.lit("-"), F.col(c.session).cast("string"))
+    whom = {
+        "sessions": session,
+        "active_users": F.when(F.col(c.active), F.concat(F.lit("u"), F.col(c.user).cast("string"))),
+        "total_purchasers": F.when(_is(c.event, web.PURCHASE), F.concat(F.lit("u"), F.col(c.user).cast("string"))),
+    }
+    day = F.coalesce(F.col(c.day).cast("string"), F.lit(""))  # as a key: events without a day are replaced too
+    rows = events.select(
+        *c.keys, day.alias("_day"), F.posexplode_outer(F.when(known, F.array(*whom.values()))).alias("_measure", "_member")
+    )
+    members = rows.select("_member").where("_member is not null").distinct()
+    numbers = f"{folder}/members"
+    at = versions.version(spark, numbers)
+    fresh = number_members(members, "_member", None if at is None else versions.read_table(spark, numbers))
+    named = versions.load_new(fresh, numbers, "_member")
+    found = presence(rows.join(named, "_member"), [*c.keys, "_day", "_measure"], "number")
+    sums = events.groupBy(*c.keys, day.alias("_day")).agg(
+        F.count_if(_is(c.event, web.PAGE_VIEW)).alias("views"), F.count_if(_is(c.event, web.ADD_TO_CART)).alias("add_to_cart"),
+        sum_or_zero(F.col(c.revenue)).alias("revenue"),
+    )
+    versions.load_by_key(found, f"{folder}/presence", "_day")
+    versions.load_by_key(sums, f"{folder}/sums", "_day")
+
+
+def read_crm(spark: SparkSession, folder: str, by: Sequence[str] | None = None, c: CrmColumns = CrmColumns()) -> DataFrame:
+    """The kept report, by the columns of ``crm_daily_fused`` or by fewer: each person counts once in a group, over all its days."""
+    by = list(c.keys if by is None else by)
+    report = versions.read_table(spark, f"{folder}/sums").groupBy(*by).agg(*[F.sum(m).alias(m) for m in ("views", "add_to_cart", "revenue")])
+    counts = count_presence(versions.read_table(spark, f"{folder}/presence"), [*by, "_measure"], "n")
+    wide = counts.groupBy(*by).pivot("_measure", [0, 1, 2]).agg(F.sum("n"))
+    same = F.lit(True)
+    for i, name in enumerate(by):
+        wide = wide.withColumnRenamed(name, f"_by_{i}")
+        same = same & F.col(name).eqNullSafe(F.col(f"_by_{i}"))
+    joined = report.join(wide, same, "left")
+    held = {"sessions": "0", "active_users": "1", "total_purchasers": "2"}
+    return joined.select(*by, *[F.coalesce(held[m], F.lit(0)).cast("bigint").alias(m) if m in held else F.col(m) for m in MEASURES])
+
+
 def crm_daily(events: DataFrame, c: CrmColumns = CrmColumns()) -> DataFrame:
     """The report as its consumers know it.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions import label_year, null_tokens
@@ -16,6 +16,7 @@ from feedloom.specs import tickets as spec
 # Fixed value: what a ticket without a buyer's document carries, courtesy sales among them.
 NO_DOCUMENT = ["-1"]
 
+# The fact's columns in the feed's order, and what staged columns are called there.
 FACT_COLUMNS = [
     "sk_partida", "sk_pessoa", "ingresso", "cpf", "valor", "data_pagamento", "forma_pagamento", "usado",
     "setor", "portao_acesso", "fileira", "assento", "desconto", "taxa_conveniencia", "sk_contrato",
@@ -25,17 +26,19 @@ FACT_RENAMES = {"cod_evento": "sk_partida", "used_time": "data_acesso", "ticket_
 
 
 def build_fact(
-    stage: DataFrame, people: DataFrame, contracts: DataFrame, events: Sequence[str] | DataFrame | None = None
+    stage: DataFrame, people: DataFrame, contracts: DataFrame, events: Sequence[str] | DataFrame | None = None,
+    hot: Sequence[str] | Column = NO_DOCUMENT,
 ) -> DataFrame:
     """Staged tickets with the current person and the latest contract of their document.
 
     ``contracts`` has one row per document (see ``latest_per_key``); ``events`` limits
-    the build to the events of a batch.
+    the build to the events of a batch; ``hot`` documents are spread over tasks, those of tickets without
+    one or those that ``hot_keys`` finds.
     """
     if events is not None:
         stage = keep_ids(stage, "cod_evento", events)
-    named = join_current(stage, people, "cpf", "load_end_date", ["sk_pessoa"], NO_DOCUMENT)
-    joined = left_join_salted(named, contracts.select("cpf", "sk_contrato"), "cpf", NO_DOCUMENT)
+    named = join_current(stage, people, "cpf", "load_end_date", ["sk_pessoa"], hot)
+    joined = left_join_salted(named, contracts.select("cpf", "sk_contrato"), "cpf", hot)
     return joined.withColumnsRenamed(FACT_RENAMES).select(*FACT_COLUMNS)
 
 
@@ -45,6 +48,7 @@ def build_integration(
     people: DataFrame,
     clients: DataFrame,
     events: Sequence[str] | DataFrame | None = None,
+    hot: Sequence[str] | Column = NO_DOCUMENT,
 ) -> DataFrame:
     """Tickets for the marketing consumer, with the best name and e-mail known."""
     if events is not None:
@@ -60,7 +64,7 @@ def build_integration(
             (known.select("cpf", F.col("nome").alias("client_nome"), F.col("email").alias("client_email")), "cpf"),
         ],
         {"nome": ["person_nome", "client_nome", "ticket_nome"], "email": ["person_email", "client_email"]},
-        NO_DOCUMENT,
+        hot,
     )
     return joined.select(
         F.col("PARTIDA").alias("partida"),

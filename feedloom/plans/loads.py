@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from feedloom.functions import parse_dt
 from feedloom.functions.dates import SHARD_FORMAT
 from feedloom.operators.filters import keep_ids
+from feedloom.operators.joins import hot_keys
 from feedloom.plans.ecommerce import read_exports
 from feedloom.plans.facts import build_fact, build_integration, extend_dim, extend_dim_entries
 from feedloom.plans.web_events import event_base
@@ -28,12 +29,12 @@ Events = Sequence[str] | DataFrame | None
 
 def load_fact(path: str, stage: DataFrame, people: DataFrame, contracts: DataFrame, events: Events = None) -> DataFrame:
     """The tickets of the batch's matches give way to the ones staged now."""
-    return load_by_key(build_fact(stage, people, contracts, events), path, "sk_partida")
+    return load_by_key(build_fact(stage, people, contracts, events, hot_keys(stage, "cpf")), path, "sk_partida")
 
 
 def load_integration(path: str, stage: DataFrame, catalogue: DataFrame, people: DataFrame, clients: DataFrame, events: Events = None) -> DataFrame:
     """The marketing feed's rows of the batch's matches give way to the ones staged now."""
-    return load_by_key(build_integration(stage, catalogue, people, clients, events), path, "event")
+    return load_by_key(build_integration(stage, catalogue, people, clients, events, hot_keys(stage, "cpf")), path, "event")
 
 
 def load_dim(path: str, catalogue: DataFrame) -> DataFrame:

@@ -149,3 +149,25 @@ def attach_parent(t):
 def expand_by_ids(t):
     window = (F.col("ts") >= "2024-01-05") & (F.col("ts") < "2024-01-05 06:00:00")
     return joins.expand_by_ids(t.events.select("event_id", "user_id", "event_type", "ts"), window, "user_id").drop("ts")
+
+
+@query("join_hot_keys", """
+    SELECT o_orderkey, f.c_custkey, c_name, c_nationkey
+    FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 7 ELSE o_custkey END AS c_custkey FROM orders) f
+    LEFT JOIN (SELECT * FROM customer WHERE c_acctbal >= 0) c ON f.c_custkey = c.c_custkey""")
+def join_hot_keys(t):
+    """A customer who holds a third of the orders, found and spread without being named."""
+    key = F.when(F.col("o_orderkey") % 3 == 0, F.lit(7)).otherwise(F.col("o_custkey")).cast("long")
+    fact = t.orders.select("o_orderkey", key.alias("c_custkey"))
+    dim = t.customer.where("c_acctbal >= 0").select("c_custkey", "c_name", "c_nationkey")
+    return joins.left_join_salted(fact, dim, "c_custkey", joins.hot_keys(fact, "c_custkey")).select("o_orderkey", "c_custkey", "c_name", "c_nationkey")
+
+
+@query("match_suffixes", """
+    SELECT b.probe_name, b.probe_size, e.p_partkey FROM part e
+    JOIN (SELECT DISTINCT p_name AS probe_name, p_size AS probe_size FROM part) b
+      ON e.p_size = b.probe_size AND upper(e.p_name) LIKE '%' || upper(split_part(b.probe_name, ' ', 2)) || '%'""")
+def match_suffixes(t):
+    """Every name as a probe among the names of its size."""
+    probes = t.part.select(F.col("p_name").alias("probe_name"), F.col("p_size").alias("probe_size"))
+    return joins.match_suffixes(t.part, "p_partkey", "p_name", F.col("p_size"), probes, "probe_name", F.col("probe_size"), separator=" ")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from feedloom import plans
 from feedloom.registry import pipelines as feeds
-from feedloom.registry.base import ORACLE, query
+from feedloom.registry.base import ORACLE, query, rounded
 from feedloom.registry.loading import EVENT_IN, EVENT_OUT, ORDER_COLUMNS, WINDOW, _dated, _order_batch, _shown, customer_versions
 from feedloom.session import work_path
 from feedloom.sinks import versions
@@ -175,3 +175,29 @@ def load_new(t):
     for _ in range(2):
         versions.load_new(batch, path, "p_partkey", ROWS)
     return versions.compact(t.spark, path, versions.ByKey("p_partkey"), ROWS)
+
+
+@query("load_crm_day", ORACLE["crm_daily_fused"])
+def load_crm_day(t):
+    """The report kept day by day: the first days, the others, and one of them again."""
+    folder, events = work_path(t.spark, "crm"), feeds.crm_events(t)
+    for days in (F.col("event_date") < "20240112", F.col("event_date") >= "20240112", F.col("event_date") == "20240105"):
+        plans.load_crm_day(folder, events.where(days))
+    return plans.read_crm(t.spark, folder).withColumn("revenue", rounded("revenue"))
+
+
+@query("load_crm_campaigns", f"""
+    WITH {feeds.CRM_EVENTS}
+    SELECT campaign_name_cross, count(*) FILTER (event_name = 'page_view') AS views,
+           count(DISTINCT user_pseudo_id || '-' || CAST(ga_session_id AS VARCHAR)) AS sessions,
+           count(DISTINCT CASE WHEN is_active_user THEN user_pseudo_id END) AS active_users,
+           count(*) FILTER (event_name = 'add_to_cart') AS add_to_cart,
+           count(DISTINCT CASE WHEN event_name = 'purchase' THEN user_pseudo_id END) AS total_purchasers,
+           round(coalesce(sum(purchase_revenue), 0), 2) AS revenue
+    FROM crm GROUP BY campaign_name_cross""")
+def load_crm_campaigns(t):
+    """Each person once in a campaign over all days, from what the days have kept."""
+    folder, events = work_path(t.spark, "crm"), feeds.crm_events(t)
+    plans.load_crm_day(folder, events.where("event_date < '20240112'"))
+    plans.load_crm_day(folder, events.where("event_date >= '20240112'"))
+    return plans.read_crm(t.spark, folder, ["campaign_name_cross"]).withColumn("revenue", rounded("revenue"))

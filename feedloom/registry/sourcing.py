@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom.functions import day_range, to_float, to_int
+from feedloom.operators.shape import stack_frames
 from feedloom.registry.base import query, stamp
 from feedloom.session import work_path
 from feedloom.sinks import export_delimited
-from feedloom.sources import PagesMissing, check_pages, missing_pages, read_day, read_delimited, read_table, unwrap_pages
+from feedloom.sources import PagesMissing, check_pages, missing_pages, plan_parts, read_day, read_delimited, read_table, unwrap_pages
 
 
 @query("read_delimited", """
@@ -103,3 +104,10 @@ def check_pages_gaps_query(t):
     except PagesMissing:
         return missing_pages(pages, "conv_id", "page")
     raise AssertionError("a feed with gaps passed the check")
+
+
+@query("plan_parts", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
+def plan_parts_query(t):
+    """The parts that a remote reader would ask for, put together again."""
+    parts = [t.orders.where(part) for part in plan_parts(t.orders, ["o_orderdate", "o_custkey", "o_orderkey"], 8)]
+    return stack_frames(*parts).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")

@@ -46,12 +46,15 @@ def read_delimited(
     return df.select([F.when(~cell.isin(*missing), cell).alias(name) for name, cell in cells.items()])
 
 
-def read_table(spark: SparkSession, ref: str, jdbc: dict[str, str] | None = None) -> DataFrame:
+def read_table(spark: SparkSession, ref: str, jdbc: dict[str, str] | None = None, parts: Sequence[str] = ()) -> DataFrame:
     """A whole table: a Parquet path, a catalog name, or a remote table by JDBC.
 
-    For a large remote table pass ``partitionColumn``, ``lowerBound``, ``upperBound``
-    and ``numPartitions`` among the JDBC options, or one task reads all of it.
+    For a large remote table pass ``parts``, predicates that cut it (``plan_parts``), each of which
+    one task reads; without them, or ``partitionColumn`` and its bounds among the options, one task reads all.
     """
+    if jdbc is not None and parts:
+        options = {k: v for k, v in jdbc.items() if k != "url"}
+        return spark.read.jdbc(jdbc["url"], ref, predicates=list(parts), properties=options)
     if jdbc is not None:
         return spark.read.format("jdbc").options(dbtable=ref, **jdbc).load()
     return spark.read.parquet(ref) if "/" in ref else spark.read.table(ref)
