@@ -109,3 +109,47 @@ def test_suffix_wildcards_match_as_in_sql(spark):
     probe = spark.createDataFrame([("Home X Bo_ vista", 1)], "title string, day int")
     found = match_by_suffix(events, "title", F.col("day"), probe, "title", F.col("day"))
     assert sorted(r.title for r in found.collect()) == ["A x Boa Vista", "B x Bo- Vista"]
+
+
+def test_hot_keys_are_found_and_spread(spark):
+    """A third of the rows under a key that nobody names, and it stands in no single task."""
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {name: spark.conf.get(name, None) for name in changed}
+    try:
+        for name, value in changed.items():
+            spark.conf.set(name, value)
+        key = F.when(F.col("id") % 3 == 0, F.lit(4711)).when(F.col("id") % 50 == 1, F.lit(None)).otherwise(F.col("id"))
+        fact = spark.range(0, 60_000, 1, 4).select(key.alias("k"), F.col("id").alias("x"))
+        dim = spark.range(0, 60_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("d")).union(spark.createDataFrame([(4711, -1)], "k long, d long"))
+        hot = joins.hot_keys(fact, "k")
+        assert fact.select(hot.alias("hot")).first()["hot"] == [4711]
+        joined = joins.left_join_salted(fact, dim, "k", hot)
+        plain = fact.join(dim, "k", "left")
+        assert joined.exceptAll(plain.select(*joined.columns)).isEmpty() and joined.count() == plain.count() == 80_001
+        largest = lambda df: max(r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect())
+        assert largest(plain) > 40_000 > 3 * largest(joined)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_no_hot_keys(spark):
+    fact = spark.range(1000).select(F.col("id").alias("k"))
+    assert fact.limit(1).select(joins.hot_keys(fact, "k").alias("hot")).first()["hot"] == []
+    none = fact.where("false")
+    assert joins.left_join_salted(none, fact.withColumn("d", F.lit(1)), "k", joins.hot_keys(none, "k")).count() == 0
+
+
+@pytest.mark.parametrize("require", [False, True])
+def test_suffixes_of_many_probes(spark, require):
+    titles = ["Fla X Vasco", "FLA X VASCO DA GAMA", "Flu X Santos", "other", "a X b", "100% X é", None, "Vasco", "ab_cd", "axcd", "santos santos"]
+    events = spark.createDataFrame([(i, t, i % 2) for i, t in enumerate(titles * 2)] + [(99, "Vasco", None)], "id int, title string, day int")
+    asked = [("x X vasco", 0), ("x X vasco", 0), ("x X vasco", 1), ("no separator", 0), ("y X B", 0), ("z X 0% X", 1), ("w X b_c", 0), ("w X b_c", 1), ("v X unheard", 0), ("u X va%co", 1), (None, 1), ("q X vasco", None), ("t X %%%", 1)]
+    probes = spark.createDataFrame(asked, "name string, on int")
+    found = joins.match_suffixes(events, "id", "title", F.col("day"), probes, "name", F.col("on"), require_suffix=require)
+    expected = []
+    for probe in probes.distinct().collect():
+        one = spark.createDataFrame([tuple(probe)], probes.schema)
+        hits = joins.match_by_suffix(events, "title", F.col("day"), one, "name", F.col("on"), require_suffix=require).collect()
+        expected += [(probe["name"], probe["on"], r["id"]) for r in hits]
+    assert sorted(map(tuple, found.collect())) == sorted(expected) and len(expected) > 10
