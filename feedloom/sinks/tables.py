@@ -186,12 +186,19 @@ RUN_SCHEMA = (
 )
 
 
+LOG_FILES = 64
+
+
 def log_run(
-    spark: SparkSession, path: str, program: str, table: str, seconds: float, logs: str, error: str
+    spark: SparkSession, path: str, program: str, table: str, seconds: float, logs: str, error: str, most_files: int = LOG_FILES
 ) -> DataFrame:
-    """Append one run record; the duration is in seconds."""
+    """Append one run record; the duration is in seconds.  A log of more than ``most_files`` files becomes one."""
     record = (program, table, float(seconds), logs, error, datetime.now())
-    return append(spark.createDataFrame([record], RUN_SCHEMA).coalesce(1), path)
+    written = append(spark.createDataFrame([record], RUN_SCHEMA).coalesce(1), path)
+    files, location = _file_system(spark, path)
+    if sum(f.getPath().getName().endswith(".parquet") for f in files.listStatus(location)) > most_files:
+        return full_refresh(written.coalesce(1), path)
+    return written
 
 
 def run_logged(

@@ -139,6 +139,13 @@ def test_failed_runs_are_logged_too(spark, tmp_path):
     assert found == [("e", "rows=0", "N"), ("f", "no room", "S"), ("t", "rows=4", "N")]
 
 
+def test_a_log_of_many_files_becomes_one(spark, tmp_path):
+    path = tmp_path / "log"
+    for n in range(4):
+        logged = sinks.log_run(spark, str(path), "JOB", f"t{n}", 1.0, "", "N", most_files=3)
+    assert rows(logged, "tabela") == [("t0",), ("t1",), ("t2",), ("t3",)] and len(list(path.glob("*.parquet"))) == 1
+
+
 def test_daily_backfill_is_repeatable(spark, tmp_path):
     path = str(tmp_path / "days")
     events = spark.createDataFrame([(i, datetime(2024, 1, 1 + i % 4, 12)) for i in range(20)], "id int, ts timestamp")
