@@ -133,6 +133,7 @@ class Model:
     tokens: int = 0  # of the training documents
     types: int = 0  # distinct, the end mark included
     pairs: int = 0  # distinct bigrams
+    words: int = 0  # rows of the word files
     discounts: np.ndarray = field(default_factory=lambda: np.zeros(4))
     lower: np.ndarray = field(default_factory=lambda: np.zeros(4))  # discounts of the continuation counts
     left: float = 1.0  # what the lower order gives to the even distribution
@@ -196,7 +197,7 @@ def fit(train: DataFrame) -> Model:
     def add_words(group: pa.Table) -> pa.Table:
         shard, blocks = group["shard"][0].as_py(), group["block"].to_pylist()
         if shard == STATS:
-            return _stats(sum(np.frombuffer(b, np.int64) for b in blocks), np.zeros(5, np.int64))
+            return _stats(sum(np.frombuffer(b, np.int64) for b in blocks), np.zeros(6, np.int64))
         parts = [np.frombuffer(b, np.uint64).reshape(1 + len(_SUMMED), -1) for b in blocks]
         told = np.concatenate(parts, axis=1)
         order = np.argsort(told[0])
@@ -205,12 +206,12 @@ def fit(train: DataFrame) -> Model:
         sums = np.add.reduceat(told[1:, order], first, axis=1) if len(word) else told[1:]
         _write(folder, f"words-{shard}", key=word[first], **dict(zip(_SUMMED, sums)))
         seen = sums[4]
-        return _stats(np.zeros(6, np.int64), np.r_[_counts_of_counts(seen), np.count_nonzero(seen)])
+        return _stats(np.zeros(6, np.int64), np.r_[_counts_of_counts(seen), np.count_nonzero(seen), len(first)])
 
     def _stats(pairs: np.ndarray, types: np.ndarray) -> pa.Table:
         return pa.table([pa.array([v], pa.int64()) for v in (*pairs, *types)], names=names)
 
-    names = ["p1", "p2", "p3", "p4", "tokens", "pairs", "w1", "w2", "w3", "w4", "types"]
+    names = ["p1", "p2", "p3", "p4", "tokens", "pairs", "w1", "w2", "w3", "w4", "types", "words"]
     counted = train.select("text").mapInArrow(count, "shard int, block binary").groupBy("shard").applyInArrow(add_pairs, "shard int, block binary")
     told = counted.groupBy("shard").applyInArrow(add_words, ", ".join(f"{n} long" for n in names))
     total = told.agg(*(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names)).first()
@@ -219,15 +220,23 @@ def fit(train: DataFrame) -> Model:
     more = types - total["w1"] - total["w2"]
     left = (lower[1:] @ [total["w1"], total["w2"], more]) / pairs if pairs else 1.0
     discounts = _discounts(np.array([total[f"p{c}"] for c in (1, 2, 3, 4)]))
-    return Model(folder, shards, total["tokens"], types, pairs, discounts, lower, float(left))
+    return Model(folder, shards, total["tokens"], types, pairs, total["words"], discounts, lower, float(left))
+
+
+class MissingFiles(RuntimeError):
+    """A worker does not see all files of a model."""
 
 
 class Maps:
-    """The files of a model, mapped."""
+    """The files of a model, mapped.  All rows that the fit has written have to be there."""
 
-    def __init__(self, folder: str, shards: int) -> None:
+    def __init__(self, folder: str, shards: int, pairs: int, words: int) -> None:
         self.pairs = [self._open(folder, f"pairs-{s}", key=np.uint64, count=np.uint32) for s in range(shards)]
         self.words = [self._open(folder, f"words-{s}", key=np.uint64, **dict.fromkeys(_SUMMED, np.uint64)) for s in range(shards)]
+        for kind, shards_, wanted in (("bigrams", self.pairs, pairs), ("words", self.words, words)):
+            found = sum(len(s["key"]) for s in shards_ if s)
+            if found != wanted or any(len(c) != len(s["key"]) for s in shards_ if s for c in s.values()):
+                raise MissingFiles(f"{folder} holds {found} of {wanted} {kind} here; spark.checkpoint.dir has to be a folder that all executors share")
 
     @staticmethod
     def _open(folder: str, name: str, **kinds) -> dict[str, np.ndarray] | None:
@@ -251,8 +260,8 @@ class Maps:
 
 
 @lru_cache(maxsize=1)
-def _maps(folder: str, shards: int) -> Maps:
-    return Maps(folder, shards)
+def _maps(folder: str, shards: int, pairs: int, words: int) -> Maps:
+    return Maps(folder, shards, pairs, words)
 
 
 def _scored(model: Model, maps: Maps, tokens: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
@@ -282,7 +291,7 @@ def score(docs: DataFrame, model: Model, *columns: str | Column) -> DataFrame:
     names = kept.columns
 
     def run(batches):
-        maps = _maps(model.folder, model.shards)
+        maps = _maps(model.folder, model.shards, model.pairs, model.words)
         for batch in batches:
             held, first = [], 0
             count = 0

@@ -552,3 +552,18 @@ def test_text_of_the_given_pages(spark):
         reader.close()
         assert r.block.split() == "".join(reader.text).split()
     assert warc.derivatives(warc.responses(pages.where("false"))).count() == 0
+
+
+def test_a_model_without_some_of_its_files_is_refused(spark):
+    import os
+
+    docs = table(spark, [(i, prose(i, 60)) for i in range(6)])
+    model = ngrams.fit(docs)
+    assert model.pairs and model.words
+    found = ngrams.Maps(model.folder, model.shards, model.pairs, model.words)
+    assert sum(len(s["key"]) for s in found.words if s) == model.words
+    os.rename(f"{model.folder}/words-0.key", f"{model.folder}/words-0.away")
+    with pytest.raises(ngrams.MissingFiles):
+        ngrams.Maps(model.folder, model.shards, model.pairs, model.words)
+    with pytest.raises(Exception, match="spark.checkpoint.dir has to be a folder"):
+        ngrams.score(docs, model, "doc_id").collect()
