@@ -1,16 +1,21 @@
 """Licence scan by a positional index of rare words, in DataFrame expressions only.
 
 A template is a short licence text with a label and mandatory key phrases inside it.  The index holds, for
-every template, its rarest mandatory word (highest inverse document frequency over all texts) with the
-place of that word in the template.  A text's occurrences of indexed words propose alignments: the template
-and the word at which it would begin.  An alignment stands if every word of the key phrases is found at its
-relative place.  Since those words are all mandatory, looking up one of them loses no place.  The alignment
-scores the share of the template's words, weighted by frequency, that stand at their relative places.
-
-Everything happens inside the row, so neither a frequent word nor a long text moves data.
+every template, postings (word and place in the template) of its key phrases' highest-IDF words: ``RARE`` of
+the first phrase and one of each other phrase, by document frequencies over all texts.  A file's licence words are looked up
+by falling IDF: a template stays open while the file holds its words, and as all words of key phrases are
+mandatory, those are the highest-IDF words of that template in every file that can match it.  Each occurrence of
+a posted word proposes the place at which the template would begin; the proposals of a template's words are
+intersected.  An alignment stands if every key phrase is found there: the first at its place, the others within
+``SLACK`` words of theirs, so that a word put in or left out between two phrases does not hide a licence.
+The alignment scores the share of the template's words, weighted by IDF, that stand at their places, for
+templates of several phrases within the same tolerance.
+
+Everything happens inside the row, so neither a frequent word nor a long text moves data; work and memory grow
+with a text's length.
 
 Defined results: a null text is empty, has no words, no labels (empty strings) and score 0; repeated rows are
-scanned once each; other columns than those asked for are not read.
+scanned once each; words of equal IDF are taken in falling alphabetical order, which changes no result; other columns than those asked for are not read.
 """
 
 from __future__ import annotations
@@ -23,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NOT_A_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+RARE = 2  # posted words of a template's first key phrase
+SLACK = 3  # words by which a later key phrase may be off its place
 
 
 @dataclass(frozen=True)
@@ -37,16 +44,34 @@ class Template:
         return self.text.split()
 
     @property
-    def mandatory(self) -> list[int]:
-        """Places of the key phrases' words."""
-        places = set()
+    def phrases(self) -> list[list[tuple[int, str]]]:
+        """The key phrases, each as places and words."""
+        words, found = self.words, []
         for key in self.keys:
-            parts, words = key.split(), self.words
+            parts = key.split()
             starts = [i for i in range(len(words)) if words[i:i + len(parts)] == parts]
             if not starts:
                 raise ValueError(f"{key!r} is not in the template {self.text!r}")
-            places.update(range(starts[0], starts[0] + len(parts)))
-        return sorted(places)
+            found.append([(starts[0] + i, word) for i, word in enumerate(parts)])
+        return found
+
+    @property
+    def mandatory(self) -> list[int]:
+        """Places of the key phrases' words."""
+        return sorted({place for phrase in self.phrases for place, _ in phrase})
+
+    @property
+    def slack(self) -> int:
+        return SLACK if len(self.keys) > 1 else 0
+
+    def postings(self, idf: dict[str, float]) -> list[tuple[str, int, int]]:
+        """Word, place and tolerance of the highest-IDF words, a phrase's words once each."""
+        found = []
+        for n, phrase in enumerate(self.phrases):
+            places = {word: place for place, word in reversed(phrase)}
+            ranked = sorted(places, key=lambda word: (idf[word], word), reverse=True)
+            found += [(word, places[word], self.slack if n else 0) for word in ranked[:1 if n else RARE]]
+        return found
 
 
 def phrase(label: str, text: str, base: bool = False) -> Template:
@@ -96,34 +121,65 @@ def frequencies(docs: DataFrame, templates: list[Template] = TEMPLATES) -> dict[
     return {w: math.log((number + 1) / (seen.get(w, 0) + 1)) + 1 for w in vocabulary}
 
 
+def _shifts(slack: int) -> Column:
+    return F.array(*map(F.lit, range(-slack, slack + 1)))
+
+
+def _entry(number: int, template: Template, idf: dict[str, float]) -> Column:
+    """A template as a row of the index."""
+    total = sum(idf[w] for w in template.words)
+    needed = sorted({template.words[p] for p in template.mandatory}, key=lambda w: (idf[w], w), reverse=True)
+    word = lambda place, w: F.struct(F.lit(w).alias("word"), F.lit(place).alias("at"))
+    return F.struct(
+        F.lit(number).alias("template"), F.lit(template.label).alias("label"), F.lit(template.base).alias("base"),
+        F.array(*map(F.lit, needed)).alias("needed"),
+        F.array(*(F.struct(F.lit(w).alias("word"), F.lit(at).alias("at"), _shifts(slack).alias("shifts")) for w, at, slack in template.postings(idf))).alias("postings"),
+        F.array(*(F.struct(F.array(*(word(at, w) for at, w in p)).alias("words"), _shifts(template.slack if n else 0).alias("shifts")) for n, p in enumerate(template.phrases))).alias("phrases"),
+        F.array(*(F.struct(F.lit(w).alias("word"), F.lit(at).alias("at"), F.lit(idf[w] / total).alias("weight")) for at, w in enumerate(template.words))).alias("words"),
+        _shifts(template.slack).alias("shifts"),
+    )
+
+
 def scan(docs: DataFrame, idf: dict[str, float], *columns: str | Column, templates: list[Template] = TEMPLATES) -> DataFrame:
     """The columns asked for with ``n_words`` and ``found``: each standing alignment as template number,
     label, ``base``, first word and score."""
-    indexed = [max(((idf[t.words[p]], t.words[p], -p) for p in t.mandatory)) for t in templates]
-    rare = sorted({word for _, word, _ in indexed})
-    index = F.array(*(
-        F.struct(
-            F.lit(n).alias("template"), F.lit(word).alias("word"), F.lit(-place).alias("place"), F.lit(t.label).alias("label"), F.lit(t.base).alias("base"),
-            F.array(*(F.struct(F.lit(w).alias("word"), F.lit(idf[w] / sum(idf[x] for x in t.words)).alias("weight"), F.lit(i).alias("at")) for i, w in enumerate(t.words))).alias("words"),
-            F.array(*(F.lit(i) for i in t.mandatory)).alias("mandatory"),
-        )
-        for n, (t, (_, word, place)) in enumerate(zip(templates, indexed))
-    ))
-    w = F.col("_words")
-    places = F.filter(F.transform(w, lambda x, i: F.when(x.isin(rare), F.struct(x.alias("word"), i.alias("at")))), lambda h: h.isNotNull())
-    # an alignment per occurrence of an indexed word and template that has it
-    proposed = F.flatten(F.transform(places, lambda h: F.transform(
-        F.filter(index, lambda e: e["word"] == h["word"]),
-        lambda e: F.struct(e.alias("entry"), (h["at"] - e["place"]).alias("first")),
-    )))
-    stands = lambda c: F.forall(c["entry"]["mandatory"], lambda m: F.coalesce(F.get(w, c["first"] + m) == F.get(c["entry"]["words"], m)["word"], F.lit(False)))
-    share = lambda c: F.aggregate(c["entry"]["words"], F.lit(0.0), lambda total, x: total + F.when(F.get(w, c["first"] + x["at"]) == x["word"], x["weight"]).otherwise(0.0))
-    shown = lambda c: F.struct(c["entry"]["template"].alias("template"), c["entry"]["label"].alias("label"), c["entry"]["base"].alias("base"), c["first"].cast("long").alias("first"), F.least(share(c), F.lit(1.0)).alias("score"))
-    found = F.transform(F.filter(proposed, stands), shown)
-    nothing = F.array().cast("array<struct<template:int,label:string,base:boolean,first:bigint,score:double>>")
+    index = F.array(*(_entry(n, t, idf) for n, t in enumerate(templates)))
+    posted = sorted({word for t in templates for word, _, _ in t.postings(idf)})
+    needed = sorted({t.words[p] for t in templates for p in t.mandatory})
+    w, places = F.col("_words"), F.col("_places")
+
+    def stands_at(first: Column, words: Column) -> Column:
+        return F.forall(words, lambda x: F.coalesce(F.get(w, first + x["at"]) == x["word"], F.lit(False)))
+
+    def proposed(posting: Column) -> Column:
+        """The places at which the template would begin, by one of its words."""
+        own = F.filter(places, lambda h: h["word"] == posting["word"])
+        return F.flatten(F.transform(own, lambda h: F.transform(posting["shifts"], lambda d: h["at"] - posting["at"] + d)))
+
+    def aligned(entry: Column) -> Column:
+        """Proposals that all posted words agree on, the key phrases verified."""
+        rest = F.slice(entry["postings"], F.lit(2), F.size(entry["postings"]))
+        agreed = F.aggregate(rest, F.array_distinct(proposed(F.get(entry["postings"], F.lit(0)))), lambda some, posting: F.array_intersect(some, proposed(posting)))
+        phrase_stands = lambda first: F.forall(entry["phrases"], lambda p: F.exists(p["shifts"], lambda d: stands_at(first + d, p["words"])))
+        return F.transform(F.filter(agreed, phrase_stands), lambda first: F.struct(
+            entry["template"].alias("template"), entry["label"].alias("label"), entry["base"].alias("base"),
+            first.cast("long").alias("first"), share(entry, first).alias("score"),
+        ))
+
+    def share(entry: Column, first: Column) -> Column:
+        there = lambda x: F.exists(entry["shifts"], lambda d: F.coalesce(F.get(w, first + x["at"] + d) == x["word"], F.lit(False)))
+        return F.least(F.aggregate(entry["words"], F.lit(0.0), lambda total, x: total + F.when(there(x), x["weight"]).otherwise(0.0)), F.lit(1.0))
+
     read = docs.select(*columns, words("text").alias("_words"))
-    any_rare = F.arrays_overlap(w, F.array(*map(F.lit, rare)))
-    return read.withColumns({"n_words": F.size(w).cast("long"), "found": F.when(any_rare, found).otherwise(nothing)}).drop("_words")
+    held = read.withColumn("_held", F.array_intersect(w, F.array(*map(F.lit, needed))))
+    # a template is open while the file holds its words, asked for by falling IDF
+    opened = held.withColumn("_open", F.filter(index, lambda e: F.forall(e["needed"], lambda x: F.array_contains("_held", x))))
+    any_open = F.size("_open") > 0
+    looked = F.filter(F.transform(w, lambda x, i: F.when(x.isin(posted), F.struct(x.alias("word"), i.alias("at")))), lambda h: h.isNotNull())
+    placed = opened.withColumn("_places", F.when(any_open, looked))
+    nothing = F.array().cast("array<struct<template:int,label:string,base:boolean,first:bigint,score:double>>")
+    found = F.when(any_open, F.flatten(F.transform("_open", aligned))).otherwise(nothing)
+    return placed.withColumns({"n_words": F.size(w).cast("long"), "found": found}).drop("_words", "_held", "_open", "_places")
 
 
 def summarise(found: DataFrame) -> DataFrame:

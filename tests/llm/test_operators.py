@@ -401,6 +401,52 @@ def test_licence_places_and_labels(spark, odd, none):
     assert licenses.summarise(licenses.scan(none, licenses.frequencies(none), "doc_id")).count() == 0
 
 
+@pytest.mark.parametrize("gap,found", [(0, True), (3, True), (4, False)])
+def test_licence_words_may_be_put_in_between_key_phrases(spark, gap, found):
+    """A later key phrase may be three words off its place, whichever words are rare."""
+    isc = "Permission to use, copy, modify, and/or distribute this software for any purpose {}with or without fee is hereby granted"
+    cut = isc.replace("and/or ", "").replace("any ", "")  # two words fewer
+    docs = table(spark, [(1, prose(1, 30) + " " + isc.format("whatsoever " * gap)), (2, cut.format("")), (3, isc.format("")[:60]), (4, "with or without fee is hereby granted " + isc.format("")[:60])])
+    for idf in (licenses.frequencies(docs), dict.fromkeys(licenses.frequencies(docs), 1.0)):
+        got = {r.doc_id: (r.labels, r.score) for r in licenses.summarise(licenses.scan(docs, idf, "doc_id")).collect()}
+        assert (got[1][0] == "isc") == found and got[2][0] == "isc" and got[3] == got[4] == ("", 0.0)
+        assert not found or gap or got[1][1] == pytest.approx(1.0)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_licence_alignments_equal_brute_force(spark, seed):
+    """Random mixtures of template words: every alignment that the rule allows, and no other."""
+    r, rows = random.Random(seed), []
+    for i in range(40):
+        text = []
+        for _ in range(r.randrange(1, 6)):
+            own = list(r.choice(licenses.TEMPLATES).words)
+            for _ in range(r.randrange(4)):
+                own.insert(r.randrange(len(own) + 1), r.choice(["x", "the", own[0]])) if r.random() < 0.6 else own.pop(r.randrange(len(own))) if len(own) > 1 else None
+            text += own
+        rows.append((i, " ".join(text)))
+    docs = table(spark, rows)
+    idf = licenses.frequencies(docs)
+    got = {x.doc_id: sorted((f.template, f.first) for f in x.found) for x in licenses.scan(docs, idf, "doc_id").collect()}
+    for i, text in rows:
+        w = words(text)
+        at = lambda k: w[k] if 0 <= k < len(w) else None  # noqa: E731, B023
+        wanted = []
+        for n, t in enumerate(licenses.TEMPLATES):
+            for first in range(-len(t.words), len(w)):
+                near = [[0] if k == 0 else range(-t.slack, t.slack + 1) for k in range(len(t.phrases))]
+                if all(any(all(at(first + d + p) == x for p, x in phrase) for d in near[k]) for k, phrase in enumerate(t.phrases)):
+                    wanted.append((n, first))
+        assert got[i] == wanted
+
+
+def test_long_licence_text(spark):
+    """A text that repeats a licence thousands of times is one row's work, in line with its length."""
+    once = "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files mit license "
+    (row,) = licenses.summarise(licenses.scan(table(spark, [(1, once * 4000)]), dict.fromkeys(licenses.frequencies(table(spark, [(1, once)])), 1.0), "doc_id")).collect()
+    assert (row.n_base, row.labels, row.last_word - row.first_word) == (4000, "mit", len(once.split()) * 3999)
+
+
 # toxicity and quality
 
 
