@@ -55,19 +55,19 @@ def _licence_sql(templates: list[licenses.Template]) -> str:
         words += [f"({number}, {at}, {t.slack}, '{w}')" for at, w in enumerate(t.words)]
     return f"""
     WITH phrases(t, k, off, slack, n, label, base, ws) AS (VALUES {", ".join(phrases)}),
-    shown(t, at, slack, word) AS (VALUES {", ".join(words)}),
+    shown(t, place, slack, word) AS (VALUES {", ".join(words)}),
     docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
-    tokens AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS at FROM docs),
+    tokens AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS place FROM docs),
     dfs AS (SELECT v.word, count(DISTINCT r) AS df FROM (SELECT DISTINCT word FROM shown) v LEFT JOIN tokens USING (word) GROUP BY v.word),
     idfs AS (SELECT word, ln(CAST((SELECT count(*) FROM docs) + 1 AS DOUBLE) / (df + 1)) + 1 AS idf FROM dfs),
-    weights AS (SELECT t, at, slack, word, idf / sum(idf) OVER (PARTITION BY t) AS weight FROM shown JOIN idfs USING (word)),
-    occurrences AS (SELECT p.t, p.k, p.slack, p.n, p.label, p.base, r, x.at - p.off AS start
-        FROM tokens x JOIN phrases p ON x.word = p.ws[1] JOIN docs USING (r) WHERE list_slice(w, x.at + 1, x.at + len(p.ws)) = p.ws),
+    weights AS (SELECT t, place, slack, word, idf / sum(idf) OVER (PARTITION BY t) AS weight FROM shown JOIN idfs USING (word)),
+    occurrences AS (SELECT p.t, p.k, p.slack, p.n, p.label, p.base, r, x.place - p.off AS start
+        FROM tokens x JOIN phrases p ON x.word = p.ws[1] JOIN docs USING (r) WHERE list_slice(w, x.place + 1, x.place + len(p.ws)) = p.ws),
     standing AS (SELECT a.r, a.t, a.label, a.base, a.start FROM occurrences a JOIN occurrences o ON o.r = a.r AND o.t = a.t AND abs(o.start - a.start) <= a.slack
         WHERE a.k = 0 GROUP BY ALL HAVING count(DISTINCT o.k) = any_value(a.n)),
-    scored AS (SELECT r, t, label, base, start, sum(CASE WHEN start + at + slack >= 0
-            AND list_contains(list_slice(w, greatest(start + at + 1 - slack, 1), start + at + 1 + slack), word) THEN weight ELSE 0 END) AS score
+    scored AS (SELECT r, t, label, base, start, sum(CASE WHEN start + place + slack >= 0
+            AND list_contains(list_slice(w, greatest(start + place + 1 - slack, 1), start + place + 1 + slack), word) THEN weight ELSE 0 END) AS score
         FROM standing JOIN weights USING (t) JOIN docs USING (r) GROUP BY r, t, label, base, start),
     summed AS (SELECT r, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
             string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(least(score, 1.0)) AS score
