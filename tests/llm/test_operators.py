@@ -498,6 +498,29 @@ def test_toxicity(spark, odd, none):
     assert toxicity.score(none, toxicity.fit(none, labels), "doc_id").count() == 0
 
 
+def test_surest_rows_come_from_all_documents_without_a_label(spark):
+    """What the views teach equals a sort of all unlabelled rows, copies counted once."""
+    docs, labels = labelled_rows(spark, 300)
+    docs = docs.union(docs.where("doc_id % 3 = 0").withColumn("doc_id", F.col("doc_id") + 1000)).repartition(7)
+    pool = quality.Pool(docs, labels.where("doc_id < 100").select("doc_id"))
+    rows = pool.table.orderBy("key").dropDuplicates(["key"]).toArrow().sort_by("key")
+    assert rows.num_rows == docs.where("doc_id >= 100").select("text").distinct().count()
+    both, keys = quality._unpacked(rows), rows["key"].to_numpy()
+    y = np.arange(len(keys)) % 2
+    views = [quality.View.fit(x, y) for x in both]
+    taught = [keys[::5], keys[::7]]
+    found = pool.surest(views, (9, 4), taught)
+    got = {(v, label): set() for v in (0, 1) for label in (0, 1)}
+    for v, label, key in zip(*(found[c].to_pylist() for c in ("view", "label", "key"))):
+        got[v, label].add(key)
+    for v in (0, 1):
+        logits = dict(zip(keys.tolist(), views[v].logits(both[v])))
+        fresh = [k for k in logits if k not in set(taught[1 - v].tolist())]
+        for label, count, sign in ((0, 9, -1), (1, 4, 1)):
+            ranked = sorted((k for k in fresh if sign * logits[k] > 0), key=lambda k: -sign * logits[k])
+            assert got[v, label] == set(ranked[:count])
+
+
 def test_quality(spark, odd, none):
     docs, labels = labelled_rows(spark, 600)
     taught = labels.where("(doc_id % 4 != 0 and doc_id < 400) or doc_id is null")
