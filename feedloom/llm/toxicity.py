@@ -1,11 +1,12 @@
 """Toxic passages by maximum-scoring segments over token log-odds, calibrated by extreme values.
 
-Fitting reads a bounded sample of labelled rows (``sample``, by hash of the id), and nothing but their texts
+Fitting reads a bounded sample of labelled rows (``sample``, by hash of the id; one text of each), and nothing but their texts
 and labels.  A token is a word; its stems, its first 4, 5 and 6 bytes, are scored alike, for languages that
 inflect, and the word takes the largest score among them.  A score is the log-odds between toxic and clean texts under a Dirichlet prior
 proportional to its frequency (``prior`` times as many pseudo-tokens as the sample has).  What is toxic
-has log-odds of ``odds`` or more that lie ``z`` standard errors above zero; other words cost ``drift``, also those that are merely
-a little more frequent in toxic texts, as all words of a language can be.  A linear scan finds every maximal segment of a text.  For clean texts the
+has log-odds that lie ``z`` standard errors above zero and reach a least value, the one of ``odds`` that gives the lowest log loss
+when each half of the sample is scored by tokens learnt on the other half: weak log-odds help where little is known, and
+mislead where toxic texts are more frequent in a language, whose words all have them.  Other words cost ``drift``.  A linear scan finds every maximal segment of a text.  For clean texts the
 number of segments scoring s or more in n tokens is about K n exp(-lambda s); a passage is significant where
 that is below one, and a text's evidence is the sum of -log of it over its significant passages.  A logistic
 curve, fitted to the logarithm of evidence from scores learnt on the other half of the sample, turns evidence into the
@@ -28,9 +29,8 @@ from pyspark.sql import functions as F
 from feedloom.llm.texts import WORD, chunks, small_batches, words
 
 SAMPLE = 32_768  # labelled rows read for fitting
-TERMS = 65_536  # scored tokens a model may hold, most significant first
 Z = 3.0
-ODDS = 3.0
+ODDS = (0.0, 1.0, 2.0, 3.0)  # least log-odds of a scored token, one of which the fit chooses
 PRIOR = 0.05
 DRIFT = 0.1
 HALVES = 2
@@ -140,7 +140,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(max(w[1], 0.0))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, z: float = Z, odds: float = ODDS, prior: float = PRIOR, drift: float = DRIFT) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, z: float = Z, odds: tuple[float, ...] = ODDS, prior: float = PRIOR, drift: float = DRIFT) -> Model:
     """Learn from documents with ``labels (doc_id, toxic)``; rows to be held out are not to be among the labels."""
     small_batches(docs)
     known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -150,6 +150,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, z: float = Z,
     taught = docs.sparkSession.createDataFrame(chosen).withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(HALVES)).cast("int"))
     # at most ``sample`` rows of three integers, so the side sent to all executors is bounded
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(taught), "doc_id").select("doc_id", "toxic", "half", "text")
+    # copies of a row teach as one; of several texts of an id, the first by hash does
+    texts = texts.groupBy("doc_id").agg(F.min_by(F.struct("toxic", "half", "text"), F.xxhash64("text")).alias("r")).select("doc_id", "r.*")
 
     def count(batches):
         for batch in batches:
@@ -177,23 +179,23 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, z: float = Z,
     clean = F.col("clean0") + F.col("clean1")
     rough = F.log((both + share) / (totals[1] + totals[3] + prior)) - F.log((clean + share) / (totals[0] + totals[2] + prior))
     error = F.sqrt(1 / (both + share) + 1 / (clean + share))
-    # a token that misses the bar over all, by far, reaches it in neither half
-    kept = counted.where((F.col("token") != int(ALL)) & (both > 0)).withColumn("z", rough / error).where((F.col("z") > z / 2) & (rough > odds / 2)).orderBy(F.desc("z"), "token").limit(TERMS).toArrow()
+    # a token that misses the bar over all, by far, reaches it in neither half; as the sample is bounded, so are its tokens
+    kept = counted.where((F.col("token") != int(ALL)) & (both > 0)).withColumn("z", rough / error).where((F.col("z") > z / 2) & (rough > min(odds) / 2)).toArrow()
     token = kept["token"].to_numpy().view(np.uint64)
     order = np.argsort(token)
     token = token[order]
     c0, t0, c1, t1 = (kept[n].to_numpy()[order].astype(float) for n in names)
 
-    def scored(toxic, clean, toxic_all, clean_all) -> Model:
+    def scored(toxic, clean, toxic_all, clean_all, least) -> Model:
         own, error = _log_odds(toxic, clean, toxic_all, clean_all, prior)
-        good = (own > z * error) & (own >= odds)
+        good = (own > z * error) & (own >= least)
         model = Model(token[good], own[good], drift)
         counts = clean[good]
         model.rate = _lambda(model.scores, counts, max(clean_all - counts.sum(), 1.0), drift)
         return model
 
-    by_other = [scored(t1, c1, totals[3], totals[2]), scored(t0, c0, totals[1], totals[0])]  # for each half, from the other one
-    final = scored(t0 + t1, c0 + c1, totals[1] + totals[3], totals[0] + totals[2])
+    # for each least value and half, from the other half
+    by_other = [[scored(t1, c1, totals[3], totals[2], least), scored(t0, c0, totals[1], totals[0], least)] for least in odds]
 
     def seen(batches):
         for batch in batches:
@@ -201,29 +203,34 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, z: float = Z,
             rows = []
             for c in chunks(batch.column(3)):
                 w = words(c, WORD)
-                lengths = np.diff(w.first)
-                per: dict[int, list[float]] = {}
-                features = _features(w)
-                for h, model in enumerate(by_other):
-                    for document, _, _, score in _found(features, w.first, model):
-                        if half[c.rows.start + document] == h:
-                            per.setdefault(document, []).append(score)
-                rows += [(int(min(toxic[c.rows.start + d], 1)), int(half[c.rows.start + d]), int(lengths[d]), per.get(d, [])) for d in range(len(c))]
+                lengths, features = np.diff(w.first), _features(w)
+                per: dict[tuple[int, int], list[float]] = {}
+                for choice, models in enumerate(by_other):
+                    for h, model in enumerate(models):
+                        for document, _, _, score in _found(features, w.first, model):
+                            if half[c.rows.start + document] == h:
+                                per.setdefault((document, choice), []).append(score)
+                rows += [(int(min(toxic[c.rows.start + d], 1)), int(half[c.rows.start + d]), int(lengths[d]), [per.get((d, choice), []) for choice in range(len(odds))]) for d in range(len(c))]
             yield pa.RecordBatch.from_pylist([dict(zip(("toxic", "half", "n", "scores"), r)) for r in rows], schema=seen_schema)
 
-    seen_schema = pa.schema([("toxic", pa.int32()), ("half", pa.int32()), ("n", pa.int64()), ("scores", pa.list_(pa.float64()))])
-    rows = texts.mapInArrow(seen, "toxic int, half int, n long, scores array<double>").toArrow().to_pylist()
+    seen_schema = pa.schema([("toxic", pa.int32()), ("half", pa.int32()), ("n", pa.int64()), ("scores", pa.list_(pa.list_(pa.float64())))])
+    rows = texts.mapInArrow(seen, "toxic int, half int, n long, scores array<array<double>>").toArrow().to_pylist()
     if not rows:
         return Model(intercept=-30.0)
-    tokens = sum(r["n"] for r in rows if not r["toxic"])
-    for half, model in [*enumerate(by_other), (None, final)]:
-        clean = [(s, r["n"]) for r in rows if not r["toxic"] and half in (None, r["half"]) for s in r["scores"]]
-        read = tokens if half is None else sum(r["n"] for r in rows if not r["toxic"] and r["half"] == half)
-        least = min((s for s, _ in clean), default=0.0)
-        model.size = max(len(clean), 1) / max(read * np.exp(-model.rate * least), 1e-300)
-    x = np.array([_evidence(r["scores"], r["n"], by_other[r["half"]]) for r in rows])
-    final.intercept, final.slope = _logistic(np.log1p(x), np.array([r["toxic"] for r in rows], float))
-    return final
+    y = np.array([r["toxic"] for r in rows], float)
+    best = None
+    for choice, least in enumerate(odds):
+        final = scored(t0 + t1, c0 + c1, totals[1] + totals[3], totals[0] + totals[2], least)
+        for half, model in [*enumerate(by_other[choice]), (None, final)]:
+            clean = [r for r in rows if not r["toxic"] and half in (None, r["half"])]
+            found = [s for r in clean for s in r["scores"][choice]]
+            model.size = max(len(found), 1) / max(sum(r["n"] for r in clean) * np.exp(-model.rate * min(found, default=0.0)), 1e-300)
+        x = np.log1p([_evidence(r["scores"][choice], r["n"], by_other[choice][r["half"]]) for r in rows])
+        final.intercept, final.slope = _logistic(x, y)
+        loss = np.logaddexp(0, (1 - 2 * y) * np.clip(final.intercept + final.slope * x, -30, 30)).mean()
+        if best is None or loss <= best[0]:  # of equal losses, the larger least value
+            best = loss, final
+    return best[1]
 
 
 def _evidence(scores: list[float], n: int, model: Model) -> float:
