@@ -2,11 +2,11 @@
 
 The content view is the mix of byte trigrams of the text (hashed to ``GRAMS``, square roots of their shares);
 the metadata view is language, source, length and layout (lines, letters, digits, punctuation).  Both start
-from the same labelled rows.  In every round each classifier scores all documents without a label and hands
+from the same labelled rows.  In every round each classifier scores all other documents and hands
 those it is surest of, in the proportion of the classes, to the other one; then both are fitted anew.  Each view is
 calibrated on labelled rows that neither was fitted on, and so is their combination, which scores all rows.
 
-The labelled rows are a bounded sample (``sample``, by hash of the id).  The documents without a label all take part:
+The labelled rows are a bounded sample (``sample``, by hash of the id).  All documents outside it take part without a label:
 their views are written once, as bytes, to the shared folder and read in every round.  A view teaches ``share`` times
 as many rows a round as there are labelled ones, so what the driver fits is bounded too.  Equal views, such as
 those of copies, are one row; a row is taught as the class that its teacher takes it for, and once to each view.
@@ -136,7 +136,7 @@ def _unpacked(rows) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Pool:
-    """The views of all documents without a label, as a table.
+    """The views of all documents but those in ``labelled``, as a table; null ids are left out.
 
     Trigrams are kept as bytes: square roots of their counts, of the largest one's.
     """
@@ -211,7 +211,7 @@ def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: Pool, ro
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int = ROUNDS, share: float = SHARE) -> Model:
-    """Learn from documents with ``labels (doc_id, quality)`` and from all others without a label."""
+    """Learn from a sample of the documents with ``labels (doc_id, quality)`` and, without a label, from all others."""
     small_batches(docs)
     known = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("int").alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
@@ -238,7 +238,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int =
     apart = mixed(rows["doc_id"].to_numpy().view(np.uint64)) % np.uint64(CALIBRATION) == 0
     if len(y) < 4 * CALIBRATION or y[apart].min(initial=1) == y[apart].max(initial=0) or y[~apart].min(initial=1) == y[~apart].max(initial=0):
         apart = np.zeros(len(y), bool)  # too few to keep any back
-    pool = Pool(docs, labels.select(F.col("doc_id").cast("long")))
+    pool = Pool(docs, F.broadcast(picked.select("doc_id")))
     fitted = co_train(tuple(x[~apart] for x in own), y[~apart], pool, rounds, share)
     held = apart if apart.any() else ~apart
     logits = [view.logits(x[held]) for view, x in zip(fitted, own)]
