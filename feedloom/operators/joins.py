@@ -9,6 +9,7 @@ and spread beforehand (``hot_keys``), which needs no threshold in bytes.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,16 +42,25 @@ def left_join_salted(fact: DataFrame, dim: DataFrame, on: str, hot: Sequence[str
     ``hot`` names keys (sentinels) or is what ``hot_keys`` found.  Each hot key's rows of the dimension, few by
     nature, are repeated once per salt; all other keys have salt 0.  Which salt a fact gets depends on its content alone.
     """
+    return left_joins_salted(fact, [dim], on, hot, salts)
+
+
+def left_joins_salted(fact: DataFrame, dims: Sequence[DataFrame], on: str, hot: Sequence[str] | Column, salts: int = SALTS) -> DataFrame:
+    """``left_join_salted`` to several dimensions by one key: the salt is the same for all, so facts are shuffled once."""
     if isinstance(hot, Column):
         is_hot = F.coalesce(F.array_contains(hot, F.col(on)), F.lit(False))
     elif hot:
         is_hot = F.coalesce(F.col(on).isin(*hot), F.lit(False))
     else:
-        return fact.join(dim, on, "left")
+        for dim in dims:
+            fact = fact.join(dim, on, "left")
+        return fact
     spread = F.when(is_hot, F.pmod(F.xxhash64(*fact.columns), F.lit(salts))).otherwise(F.lit(0))
     copies = F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
     left = fact.withColumn("_salt", spread.cast("int"))
-    return left.join(dim.withColumn("_salt", copies), [on, "_salt"], "left").drop("_salt")
+    for dim in dims:
+        left = left.join(dim.withColumn("_salt", copies), [on, "_salt"], "left")
+    return left.drop("_salt")
 
 
 def join_current(
@@ -86,8 +96,8 @@ def enrich_priority(
     expected to be filtered already (the filter belongs to the join, not the result).
     """
     joined = fact.join(inner, on, "inner")
-    for table, key in lefts:
-        joined = left_join_salted(joined, table, key, hot)
+    for key, tables in groupby(lefts, lambda left: left[1]):
+        joined = left_joins_salted(joined, [table for table, _ in tables], key, hot)
     return joined.withColumns({
         name: F.coalesce(*[F.col(c) for c in columns]) for name, columns in choices.items()
     })

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from feedloom.functions import label_year, null_tokens
 from feedloom.operators.dedupe import distinct_rows
 from feedloom.operators.filters import exclude_ilike, keep_ids
-from feedloom.operators.joins import enrich_priority, join_current, left_join_salted, new_rows
+from feedloom.operators.joins import enrich_priority, left_joins_salted, new_rows
 from feedloom.specs import tickets as spec
 
 # Fixed value: what a ticket without a buyer's document carries, courtesy sales among them.
@@ -37,8 +37,8 @@ def build_fact(
     """
     if events is not None:
         stage = keep_ids(stage, "cod_evento", events)
-    named = join_current(stage, people, "cpf", "load_end_date", ["sk_pessoa"], hot)
-    joined = left_join_salted(named, contracts.select("cpf", "sk_contrato"), "cpf", hot)
+    current = people.where(F.col("load_end_date").isNull()).select("cpf", "sk_pessoa")
+    joined = left_joins_salted(stage, [current, contracts.select("cpf", "sk_contrato")], "cpf", hot)
     return joined.withColumnsRenamed(FACT_RENAMES).select(*FACT_COLUMNS)
 
 

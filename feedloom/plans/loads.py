@@ -22,6 +22,7 @@ from feedloom.plans.facts import build_fact, build_integration, extend_dim, exte
 from feedloom.plans.web_events import event_base
 from feedloom.sinks import full_refresh, swap_partitions, verify_unique
 from feedloom.sinks.versions import load_by_key, load_days, load_new, load_upsert, vacuum
+from feedloom.sinks.versions import stage as stage_rows
 from feedloom.specs import tickets as spec
 
 Events = Sequence[str] | DataFrame | None
@@ -29,11 +30,26 @@ Events = Sequence[str] | DataFrame | None
 
 def load_fact(path: str, stage: DataFrame, people: DataFrame, contracts: DataFrame, events: Events = None) -> DataFrame:
     """The tickets of the batch's matches give way to the ones staged now."""
+    keys = stage_rows(stage.select("cpf").distinct(), path)
+    open_ones = people.where(F.col("load_end_date").isNull()).select("cpf", "sk_pessoa", "load_end_date")
+    people, contracts = _known(open_ones, keys, path), _known(contracts.select("cpf", "sk_contrato"), keys, path)
     return load_by_key(build_fact(stage, people, contracts, events, hot_keys(stage, "cpf")), path, "sk_partida")
 
 
+def _known(dim: DataFrame, keys: DataFrame, path: str) -> DataFrame:
+    """The dimension's rows of the tickets' documents, computed once.
+
+    What is left of a dimension is as a rule small enough for the planner to broadcast, so the wide tickets stay where they are.
+    """
+    return stage_rows(dim.join(keys, "cpf", "left_semi"), path)
+
+
 def load_integration(path: str, stage: DataFrame, catalogue: DataFrame, people: DataFrame, clients: DataFrame, events: Events = None) -> DataFrame:
     """The marketing feed's rows of the batch's matches give way to the ones staged now."""
+    keys = stage_rows(stage.select("cpf").distinct(), path)
+    mailed = F.col("load_end_date").isNull() & F.col("email").isNotNull()
+    people = _known(people.where(mailed).select("cpf", "nome", "email", "load_end_date"), keys, path)
+    clients = _known(clients.where(F.col("email").isNotNull()).select("cpf", "nome", "email"), keys, path)
     return load_by_key(build_integration(stage, catalogue, people, clients, events, hot_keys(stage, "cpf")), path, "event")
 
 

@@ -33,6 +33,8 @@ from feedloom.sinks.merge import merge_upsert, outside_window
 
 DATA, MANIFESTS, VERSIONS, STAGED = "data", "_manifests", "_versions", "_staged"
 BUCKETS = 1 << 15
+FEW_KEYS = 8 << 20  # bytes of a file of keys that are broadcast
+ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
 MANIFEST = "file string, rows bigint, buckets array<int>"
 
 
@@ -129,15 +131,46 @@ def write_rows(rows: DataFrame, path: str, by: Index, max_rows: int = 0) -> str:
     """New files of rows gathered by bucket; returns their folder in the table."""
     folder = f"{DATA}/{uuid4().hex}"
     placed = rows.withColumn("_bucket", by.bucket()).hint("rebalance", "_bucket").sortWithinPartitions("_bucket")
-    writer = placed.drop("_bucket").write
-    (writer.option("maxRecordsPerFile", max_rows) if max_rows else writer).parquet(f"{path}/{folder}")
+    _written(placed.drop("_bucket"), f"{path}/{folder}", max_rows)
     return folder
 
 
+def _written(rows: DataFrame, folder: str, max_rows: int = 0) -> None:
+    writer = rows.write.option("compression", "zstd")
+    (writer.option("maxRecordsPerFile", max_rows) if max_rows else writer).parquet(folder)
+
+
+def write_rest(spark: SparkSession, path: str, at: Version, files: Sequence[str], keys: DataFrame, by: ByKey, max_rows: int = 0) -> str:
+    """New files of what some files hold beside staged keys; returns their folder in the table.
+
+    The files are gathered by bucket already.  Few keys are broadcast, and what is left is written as it is read, with
+    no shuffle.  Otherwise rows and keys meet by bucket, one shuffle that serves both the join and the new files.
+    """
+    folder = f"{DATA}/{uuid4().hex}"
+    rows = _rows(spark, path, at.schema, files)
+    if _bytes(keys) <= FEW_KEYS:
+        _written(rows.join(F.broadcast(keys), by.key, "left_anti").select(*at.schema.names), f"{path}/{folder}", max_rows)
+        return folder
+    rows, keys = (frame.withColumn("_bucket", by.bucket()).repartition("_bucket") for frame in (rows, keys))
+    rest = rows.join(keys, ["_bucket", by.key], "left_anti").sortWithinPartitions("_bucket")
+    before = spark.conf.get(ALL_KEYS)
+    spark.conf.set(ALL_KEYS, "false")  # rows of one bucket are together, so those of one key are
+    try:
+        _written(rest.select(*at.schema.names), f"{path}/{folder}", max_rows)
+    finally:
+        spark.conf.set(ALL_KEYS, before)
+    return folder
+
+
+def _bytes(staged: DataFrame) -> int:
+    spark = staged.sparkSession
+    return sum(_files(spark, file)[0].getFileStatus(_files(spark, file)[1]).getLen() for file in staged.inputFiles())
+
+
 def stage(batch: DataFrame, path: str) -> DataFrame:
     """The batch, computed once and read from beside the table."""
     folder = f"{path}/{STAGED}/{uuid4().hex}"
-    batch.write.parquet(folder)
+    _written(batch, folder)
     return batch.sparkSession.read.schema(batch.schema).parquet(folder)
 
 
@@ -257,12 +290,11 @@ def load_by_key(batch: DataFrame, path: str, key: str, max_rows: int = 0) -> Dat
     fresh = write_rows(_aligned(batch, base), path, by, max_rows)
     if base is None:
         return _publish(spark, path, None, None, [fresh], _plain(batch.schema), by)
-    keys = spark.read.schema(base.schema).parquet(f"{path}/{fresh}").select(key).distinct()
+    keys = stage(spark.read.schema(base.schema).parquet(f"{path}/{fresh}").select(key).distinct(), path)
     files = holding(spark, path, base, keys, key)
     folders = [fresh]
     if files:
-        rest = _rows(spark, path, base.schema, files).join(keys, key, "left_anti").select(*base.schema.names)
-        folders.append(write_rows(rest, path, by, max_rows))
+        folders.append(write_rest(spark, path, base, files, keys, by, max_rows))
     return _publish(spark, path, base, _without(spark, path, base, files), folders, base.schema, by)
 
 
@@ -308,7 +340,9 @@ def load_days(batch: DataFrame, path: str, moment: str, start: str, end: str | N
     folders = [fresh]
     if files:
         outside = outside_window(F.col(moment).try_cast("timestamp"), start, end, drop_null)
-        folders.append(write_rows(_rows(spark, path, base.schema, files).where(outside), path, by, max_rows))
+        rest = f"{DATA}/{uuid4().hex}"  # gathered by day in their files, so written as they are read
+        _written(_rows(spark, path, base.schema, files).where(outside), f"{path}/{rest}", max_rows)
+        folders.append(rest)
     return _publish(spark, path, base, _without(spark, path, base, files), folders, base.schema, by)
 
 
