@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 # are what splits a hot join key: a shuffle partition far above the median is cut
 # by map output, whatever its rows hold.  Broadcasts are left to the planner and
 # its size threshold; the library gives no broadcast hint of unproven size.
+# A join that filters one side lets the other be filtered before it is shuffled, at any size.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -17,6 +18,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "64MB",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
 }
 
 
