@@ -158,31 +158,39 @@ def match_suffixes(
 ) -> DataFrame:
     """``match_by_suffix`` for a table of probes: each probe's columns with the ``key`` of each event it matches.
 
-    An inverted index has the ``size``-grams of the titles of each day.  A probe is looked up by the gram of its
+    An inverted index has the ``size``-grams of the different titles of each day.  A probe is looked up by the gram of its
     suffix that the fewest titles of its day hold, wildcards cutting the suffix into pieces; what that finds is
     tested with LIKE, in full.  A suffix that has no gram, being short or all wildcards, meets the titles of its
-    day.  ``key`` tells events apart; probes with the same columns count as one.
+    day.  Events, which may be many of one title, come in only when it is known which titles match.  Probes with
+    the same columns count as one.
     """
-    titled = events.select(F.col(key).alias("_key"), day.alias("_day"), F.upper(F.col(title)).alias("_title")).where("_day is not null and _title is not null")
+    titled = events.select(F.col(key).alias("_key"), day.alias("_on"), F.upper(F.col(title)).alias("_title")).where("_on is not null and _title is not null")
+    titles = titled.select("_on", "_title").distinct()
     suffix = F.upper(after_sep(probe_title, separator))
     asked = probes.select(*probes.columns, suffix.alias("_suffix"), probe_day.alias("_on")).distinct().where("_on is not null and _suffix is not null")
     asked = asked.where("_suffix <> ''") if require_suffix else asked
     pieces = F.split("_suffix", "[%_]+")
     asked = asked.withColumn("_grams", F.array_distinct(F.flatten(F.transform(pieces, lambda piece: _grams(piece, size)))))
-    index = titled.select("_day", "_key", F.explode(_grams(F.col("_title"), size)).alias("_gram"))
-    held = index.groupBy("_day", "_gram").agg(F.count(F.lit(1)).alias("_n"))
+    index = titles.select("_on", "_title", F.explode(_grams(F.col("_title"), size)).alias("_gram"))
+    held = index.groupBy("_on", "_gram").agg(F.count(F.lit(1)).alias("_n"))
     wanted = asked.select("_on", "_suffix", F.size("_grams").alias("_all"), F.explode("_grams").alias("_gram")).distinct()
-    met = wanted.join(held.withColumnRenamed("_day", "_on"), ["_on", "_gram"]).groupBy("_on", "_suffix", "_all")
+    met = wanted.join(held, ["_on", "_gram"]).groupBy("_on", "_suffix", "_all")
     rarest = met.agg(F.count(F.lit(1)).alias("_found"), F.min_by("_gram", F.struct("_n", "_gram")).alias("_gram"))
     # a gram that no title of the day holds rules the suffix out
-    chosen = rarest.where("_found = _all").select(F.col("_on").alias("_day"), "_gram", "_suffix")
+    chosen = rarest.where("_found = _all").select("_on", "_gram", "_suffix")
     pattern = F.concat(F.lit("%"), F.col("_suffix"), F.lit("%"))
     like = F.like(F.col("_title"), pattern, F.lit("\x01"))  # no escapes
-    near = chosen.join(index, ["_day", "_gram"]).select("_day", "_suffix", "_key").join(titled, ["_day", "_key"]).where(like)
-    plain = asked.where(F.size("_grams") == 0).select(F.col("_on").alias("_day"), "_suffix").distinct().join(titled, "_day").where(like)
-    pairs = near.select("_day", "_suffix", "_key").unionByName(plain.select("_day", "_suffix", "_key"))
-    found = asked.join(pairs.withColumnRenamed("_day", "_on"), ["_on", "_suffix"])
-    return found.select(*probes.columns, F.col("_key").alias(key))
+    near = chosen.join(index, ["_on", "_gram"]).where(like)
+    plain = asked.where(F.size("_grams") == 0).select("_on", "_suffix").distinct().join(titles, "_on").where(like)
+    pairs = near.select("_on", "_suffix", "_title", "_gram").unionByName(plain.select("_on", "_suffix", "_title", F.lit(None).cast("string").alias("_gram")))
+    found = asked.join(pairs, ["_on", "_suffix"]).select(*probes.columns, "_on", "_title", "_gram")
+    # events found by a gram: none without a key, and one that shares its key and day as often as those hold the gram
+    keyed = titled.where("_key is not null").groupBy("_on", "_key").agg(F.collect_list("_title").alias("_titles"))
+    placed = keyed.select("_on", "_key", "_titles", F.explode("_titles").alias("_title"))
+    placed = placed.unionByName(titled.where("_key is null").withColumn("_titles", F.array().cast("array<string>")))
+    times = F.when(F.col("_gram").isNull(), 1).otherwise(F.size(F.filter("_titles", lambda other: F.contains(other, F.col("_gram")))))
+    met = placed.join(found, ["_on", "_title"]).select(*probes.columns, "_key", F.explode(F.array_repeat(F.lit(1), times)))
+    return met.select(*probes.columns, F.col("_key").alias(key))
 
 
 def outer_chain(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,3 +48,16 @@ def test_facts_are_shuffled_once_for_all_dimensions_of_a_key(spark):
         assert joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning") == 3
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_events_of_one_title_are_looked_up_once(spark):
+    """The index holds titles, not events."""
+    ids = count()
+    events = spark.createDataFrame([(next(ids), title, day) for title in ("Fla X Flu", "Time X Vasco") for day in (1, 2) for _ in range(40)], "id int, title string, day int")
+    probes = spark.createDataFrame([("a x flu", 1), ("b X Vasco", 2), ("c X %", 1), ("d X none", 1)], "name string, on int")
+    found = joins.match_suffixes(events, "id", "title", F.col("day"), probes, "name", F.col("on"), separator=" X ")
+    seen = {(r.name, r.on) for r in found.collect()}
+    assert seen == {("a x flu", 1), ("b X Vasco", 2), ("c X %", 1)}
+    assert found.where("name = 'b X Vasco'").count() == 40 and found.where("name = 'c X %'").count() == 80
+    index = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [_on" in index.split("Generate")[-1]
