@@ -31,8 +31,10 @@ LETTER_GROUPS = {
 # Texts that stand for a missing value, compared before upper-casing.
 MISSING_WORDS = ("", "NA", "NaN", "None")
 
-# Fixed value: what the cleaned names and places keep.
+# What the cleaned names and places keep.  White space is written in ranges: a pattern tests each
+# member of a class one by one, and ``WHITESPACE`` has 29.
 LATIN_LETTERS = "a-zA-ZÀ-ÖØ-öø-ÿ"
+WHITE_RANGES = r"\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def _plain_letters() -> tuple[str, str]:
@@ -125,7 +127,7 @@ def clean_document(c: ColumnLike, length: int = 11, default: str = "-1") -> Colu
 
 
 def letters_only(c: ColumnLike) -> Column:
-    return F.regexp_replace(as_column(c), f"[^{LATIN_LETTERS}{WHITESPACE}]+", "")
+    return F.regexp_replace(as_column(c), f"[^{LATIN_LETTERS}{WHITE_RANGES}]+", "")
 
 
 def truncate(c: ColumnLike, length: int) -> Column:

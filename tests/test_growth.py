@@ -7,6 +7,8 @@ from itertools import count
 import pytest
 from pyspark.sql import functions as F
 
+from feedloom import functions as fn
+from feedloom.functions.text import WHITESPACE, WHITE_RANGES
 from feedloom.operators import joins
 from feedloom.sinks import versions
 from tests.conftest import rows
@@ -61,3 +63,10 @@ def test_events_of_one_title_are_looked_up_once(spark):
     assert found.where("name = 'b X Vasco'").count() == 40 and found.where("name = 'c X %'").count() == 80
     index = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate [_on" in index.split("Generate")[-1]
+
+
+def test_white_ranges_are_the_white_space(column):
+    texts = [chr(code) for code in range(0x3100)]
+    kept = "".join(x or "" for x in column(fn.letters_only, *texts))
+    assert [c for c in texts if c in WHITESPACE] == [c for c in kept if not c.isalpha()]
+    assert len(WHITE_RANGES) < 90
