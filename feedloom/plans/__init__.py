@@ -23,6 +23,7 @@ from feedloom.plans.loads import (
     load_integration,
     load_web_day,
     load_window,
+    stage_window,
 )
 from feedloom.plans.shop import shop_orders, shop_users
 from feedloom.plans.tickets import clean_tickets, refresh_tickets, ticket_counters
@@ -32,6 +33,6 @@ __all__ = [
     "CrmColumns", "build_fact", "build_integration", "catalogue_rows", "clean_clients", "clean_events",
     "clean_tickets", "crm_daily", "crm_daily_fused", "crm_parts", "crm_shape", "ecommerce_customers",
     "ecommerce_orders", "entry_tickets", "event_base", "events_of_dates", "extend_dim", "extend_dim_entries", "load_all", "load_client_table", "load_clients", "load_crm_day",
-    "load_dim", "load_dim_entries", "load_ecommerce", "load_entries", "load_fact", "load_integration", "load_web_day", "load_window", "read_crm", "read_exports", "refresh_tickets", "replicate", "shop_orders", "shop_users",
+    "load_dim", "load_dim_entries", "load_ecommerce", "load_entries", "load_fact", "load_integration", "load_web_day", "load_window", "stage_window", "read_crm", "read_exports", "refresh_tickets", "replicate", "shop_orders", "shop_users",
     "ticket_counters",
 ]

@@ -21,7 +21,7 @@ from feedloom.plans.ecommerce import read_exports
 from feedloom.plans.facts import build_fact, build_integration, extend_dim, extend_dim_entries
 from feedloom.plans.web_events import event_base
 from feedloom.sinks import full_refresh, swap_partitions, verify_unique
-from feedloom.sinks.versions import load_by_key, load_days, load_new, load_upsert, vacuum
+from feedloom.sinks.versions import ByDay, load_by_key, load_days, load_new, load_upsert, vacuum
 from feedloom.sinks.versions import stage as stage_rows
 from feedloom.specs import tickets as spec
 
@@ -71,9 +71,14 @@ def load_client_table(path: str, clients: DataFrame) -> DataFrame:
     return load_upsert(verify_unique(clients, "cpf"), path, "cpf", spec.CLIENT_COMPARED)
 
 
-def load_window(path: str, batch: DataFrame, moment: str, start: str, end: str) -> DataFrame:
+def stage_window(path: str, batch: DataFrame, moment: str) -> DataFrame:
+    """A shop feed's rows, computed and gathered by day once, for loads that take them with ``gathered``."""
+    return stage_rows(batch, path, ByDay(moment))
+
+
+def load_window(path: str, batch: DataFrame, moment: str, start: str, end: str, gathered: bool = False) -> DataFrame:
     """A shop feed: the rows of the window give way to the ones extracted for it."""
-    return load_days(batch, path, moment, start, end, drop_null=True)
+    return load_days(batch, path, moment, start, end, drop_null=True, gathered=gathered)
 
 
 def load_ecommerce(spark: SparkSession, path: str, exports: Sequence[str], typed) -> DataFrame:

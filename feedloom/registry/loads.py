@@ -66,10 +66,11 @@ def load_dim_entries(t):
 
 
 def _twice(t, name, build, moment):
-    """The years before 1995 once, then all years over the whole window twice."""
-    path, rows = work_path(t.spark, name), build(t)
-    plans.load_window(path, rows.where(F.col(moment) < "1995-01-01"), moment, "1990-01-01", "1994-12-31")
-    return [plans.load_window(path, rows, moment, "1990-01-01", "2030-12-31") for _ in range(2)][-1]
+    """The years before 1995 once, then all years over the whole window twice; the rows are computed once."""
+    path = work_path(t.spark, name)
+    rows = plans.stage_window(path, build(t), moment)
+    plans.load_window(path, rows.where(F.col(moment) < "1995-01-01"), moment, "1990-01-01", "1994-12-31", gathered=True)
+    return [plans.load_window(path, rows, moment, "1990-01-01", "2030-12-31", gathered=True) for _ in range(2)][-1]
 
 
 @query("load_shop_orders", ORACLE["shop_orders"])

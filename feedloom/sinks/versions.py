@@ -35,6 +35,7 @@ DATA, MANIFESTS, VERSIONS, STAGED = "data", "_manifests", "_versions", "_staged"
 BUCKETS = 1 << 15
 FEW_KEYS = 8 << 20  # bytes of a file of keys that are broadcast
 ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
+OPEN_COST, WHOLE_FILES = "spark.sql.files.openCostInBytes", str(1 << 40)  # so that no task reads two files
 MANIFEST = "file string, rows bigint, buckets array<int>"
 
 
@@ -127,14 +128,29 @@ def read_table(spark: SparkSession, path: str, number: int | None = None, like:
 # The steps that change something, in the order a load takes them.
 
 
-def write_rows(rows: DataFrame, path: str, by: Index, max_rows: int = 0) -> str:
-    """New files of rows gathered by bucket; returns their folder in the table."""
+def write_rows(rows: DataFrame, path: str, by: Index, max_rows: int = 0, gathered: bool = False) -> str:
+    """New files of rows gathered by bucket; returns their folder in the table.
+
+    Rows that are ``gathered`` already, read from files staged by bucket, are written file by file, with no shuffle.
+    """
     folder = f"{DATA}/{uuid4().hex}"
-    placed = rows.withColumn("_bucket", by.bucket()).hint("rebalance", "_bucket").sortWithinPartitions("_bucket")
-    _written(placed.drop("_bucket"), f"{path}/{folder}", max_rows)
+    if not gathered:
+        _written(_gathered(rows, by), f"{path}/{folder}", max_rows)
+        return folder
+    conf = rows.sparkSession.conf
+    before = conf.get(OPEN_COST)
+    conf.set(OPEN_COST, WHOLE_FILES)
+    try:
+        _written(rows, f"{path}/{folder}", max_rows)
+    finally:
+        conf.set(OPEN_COST, before)
     return folder
 
 
+def _gathered(rows: DataFrame, by: Index) -> DataFrame:
+    return rows.withColumn("_bucket", by.bucket()).hint("rebalance", "_bucket").sortWithinPartitions("_bucket").drop("_bucket")
+
+
 def _written(rows: DataFrame, folder: str, max_rows: int = 0) -> None:
     writer = rows.write.option("compression", "zstd")
     (writer.option("maxRecordsPerFile", max_rows) if max_rows else writer).parquet(folder)
@@ -167,10 +183,10 @@ def _bytes(staged: DataFrame) -> int:
     return sum(_files(spark, file)[0].getFileStatus(_files(spark, file)[1]).getLen() for file in staged.inputFiles())
 
 
-def stage(batch: DataFrame, path: str) -> DataFrame:
-    """The batch, computed once and read from beside the table."""
+def stage(batch: DataFrame, path: str, by: Index | None = None) -> DataFrame:
+    """The batch, computed once and read from beside the table; its rows are gathered by bucket if ``by`` is given."""
     folder = f"{path}/{STAGED}/{uuid4().hex}"
-    _written(batch, folder)
+    _written(_gathered(batch, by) if by else batch, folder)
     return batch.sparkSession.read.schema(batch.schema).parquet(folder)
 
 
@@ -325,11 +341,14 @@ def load_new(batch: DataFrame, path: str, key: str, max_rows: int = 0) -> DataFr
     return _publish(spark, path, base, manifest(spark, path, base), [fresh], base.schema, by)
 
 
-def load_days(batch: DataFrame, path: str, moment: str, start: str, end: str | None, drop_null: bool = False, max_rows: int = 0) -> DataFrame:
-    """``replace_by_window``: rows from ``start`` to the end of day ``end``, or all later ones, give way to the batch."""
+def load_days(batch: DataFrame, path: str, moment: str, start: str, end: str | None, drop_null: bool = False, max_rows: int = 0, gathered: bool = False) -> DataFrame:
+    """``replace_by_window``: rows from ``start`` to the end of day ``end``, or all later ones, give way to the batch.
+
+    ``gathered`` says that the batch is read from where it has been staged by its days.
+    """
     spark, by = batch.sparkSession, ByDay(moment)
     base = version(spark, path)
-    fresh = write_rows(_aligned(batch, base), path, by, max_rows)
+    fresh = write_rows(_aligned(batch, base), path, by, max_rows, gathered)
     if base is None:
         return _publish(spark, path, None, None, [fresh], _plain(batch.schema), by)
     first = F.unix_date(F.to_date(F.lit(start)))

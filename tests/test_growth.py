@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedloom import functions as fn
+from feedloom import plans
 from feedloom.functions.text import WHITESPACE, WHITE_RANGES
 from feedloom.operators import joins
 from feedloom.sinks import versions
@@ -38,6 +39,28 @@ def test_rows_beside_a_batch_are_written_without_a_second_shuffle(spark, tmp_pat
     assert spark.conf.get(versions.ALL_KEYS) == setting
 
 
+def test_a_staged_window_is_loaded_without_a_shuffle(spark, tmp_path, monkeypatch):
+    """Rows are gathered by day once, as they are staged; each load writes the staged files one by one."""
+    path, plans_seen, written = str(tmp_path / "t"), [], versions._written
+    table = spark.createDataFrame([(i, f"2024-01-{1 + i % 9:02d}" if i % 10 else None) for i in range(300)], "id int, at string")
+
+    def seen(frame, *args):
+        plans_seen.append(frame._jdf.queryExecution().executedPlan().toString())
+        return written(frame, *args)
+
+    monkeypatch.setattr(versions, "_written", seen)
+    setting = spark.conf.get(versions.OPEN_COST)
+    staged = plans.stage_window(path, table, "at")
+    assert plans_seen.pop().count("Exchange hashpartitioning") == 1
+    plans.load_window(path, staged.where("at < '2024-01-05'"), "at", "2024-01-01", "2024-01-04", gathered=True)
+    for _ in range(2):
+        loaded = plans.load_window(path, staged, "at", "2024-01-01", "2024-01-31", gathered=True)
+        assert rows(loaded) == rows(table)
+    assert len(plans_seen) == 5 and not any("Exchange" in plan for plan in plans_seen)  # three batches, twice the rest
+    assert len(loaded.inputFiles()) == len(staged.inputFiles())
+    assert spark.conf.get(versions.OPEN_COST) == setting
+
+
 def test_facts_are_shuffled_once_for_all_dimensions_of_a_key(spark):
     fact = spark.createDataFrame([(i, str(i % 5) if i % 6 else None) for i in range(60)], "n int, cpf string")
     first = spark.createDataFrame([("1", "a"), ("1", "b"), ("3", "c"), (None, "z")], "cpf string, x string")
