@@ -243,7 +243,8 @@ class Encoder:
         if len(self.known) > SEGMENTS:
             self.known.clear()
             self.differing.clear()
-        made = self._merged(list(set().union(*cut) - self.known.keys()))
+        # against the dict itself: taking its keys off a set walks through all that is remembered
+        made = self._merged(list(set().union(*cut).difference(self.known)))
         self.known |= made
         ids = [np.frombuffer(b"".join(map(self.known.__getitem__, segments)), np.int32) for segments in cut]
         if not self.bytes:  # unknown pieces in a row are one

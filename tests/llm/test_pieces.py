@@ -59,6 +59,19 @@ def test_forgetting_segments_changes_nothing(known, monkeypatch):
         assert known.encode([text])[0][0].tolist() == known.library.encode(text)
 
 
+def test_known_segments_are_not_walked_through(known, monkeypatch):
+    """A chunk looks its own segments up; what is remembered is not gone through for it."""
+
+    class Remembered(dict):
+        def keys(self):
+            raise AssertionError("all that is remembered was asked for")
+
+    monkeypatch.setattr(known, "known", Remembered())
+    for text in ("one two", "two three four"):
+        assert known.encode([text])[0][0].tolist() == known.library.encode(text)
+    assert len(known.known) == 4
+
+
 def test_rows_and_digests(spark, known):
     texts = ["plain words", None, "", "plain words", "  spaced\tout ", "漢字😀", "x" * 40_000]
     docs = spark.createDataFrame([(i if i != 5 else None, t, 7, "d", 1, "e") for i, t in enumerate(texts)], SCHEMA)
