@@ -37,6 +37,20 @@ LATIN_LETTERS = "a-zA-ZÀ-ÖØ-öø-ÿ"
 WHITE_RANGES = r"\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
+def _not_kept() -> str:
+    """A class of all other characters.
+
+    Single characters up to U+00FF are one look-up in a table, however many; every range is a test of its own, so
+    those of the white space beyond are put where only characters beyond U+00FF come to them.
+    """
+    kept = re.compile(f"[{LATIN_LETTERS}{WHITE_RANGES}]")
+    low = "".join(f"\\x{code:02x}" for code in range(0x100) if not kept.match(chr(code)))
+    return rf"[{low}[\u0100-\x{{10FFFF}}&&[^{WHITE_RANGES}]]]"
+
+
+NOT_KEPT = _not_kept()
+
+
 def _plain_letters() -> tuple[str, str]:
     """Accented Latin letters and their base letters, from the Unicode decomposition."""
     pairs = dict(SINGLE_LETTERS)
@@ -127,7 +141,7 @@ def clean_document(c: ColumnLike, length: int = 11, default: str = "-1") -> Colu
 
 
 def letters_only(c: ColumnLike) -> Column:
-    return F.regexp_replace(as_column(c), f"[^{LATIN_LETTERS}{WHITE_RANGES}]+", "")
+    return F.regexp_replace(as_column(c), f"{NOT_KEPT}+", "")
 
 
 def truncate(c: ColumnLike, length: int) -> Column:

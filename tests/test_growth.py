@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from itertools import count
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from feedloom import functions as fn
 from feedloom import plans
-from feedloom.functions.text import WHITESPACE, WHITE_RANGES
+from feedloom.functions.text import LATIN_LETTERS, NOT_KEPT, WHITESPACE, WHITE_RANGES
 from feedloom.operators import joins
 from feedloom.sinks import versions
 from tests.conftest import rows
@@ -93,3 +94,12 @@ def test_white_ranges_are_the_white_space(column):
     kept = "".join(x or "" for x in column(fn.letters_only, *texts))
     assert [c for c in texts if c in WHITESPACE] == [c for c in kept if not c.isalpha()]
     assert len(WHITE_RANGES) < 90
+
+
+def test_only_characters_beyond_latin_1_come_to_the_ranges(column):
+    """What is not kept is the complement of letters and white space; up to U+00FF it is told by one table."""
+    plain = f"[{LATIN_LETTERS}{WHITE_RANGES}]"
+    texts = [chr(code) for code in range(1, 0x3100)] + ["\U0001f600", "\U0010ffff", "a\U0001f600\u2003b-1"]
+    assert column(fn.letters_only, *texts) == ["".join(re.findall(plain, text)) for text in texts]
+    low = NOT_KEPT[1:].split("[")[0]
+    assert "-" not in low and len(low) == 4 * sum(not re.match(plain, chr(code)) for code in range(0x100))
