@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from feedloom.functions._column import ColumnLike, as_column
-from feedloom.functions.text import strip
+from feedloom.functions.text import strip_text
 
 # The formats the feeds use.  One-letter fields take one or two digits.
 MINUTE_FORMAT = "d/M/yyyy H:m"
@@ -25,8 +25,7 @@ def combine_dt(day: ColumnLike, time: ColumnLike, fmt: str = MINUTE_FORMAT) -> C
 
 def to_utc_ms(c: ColumnLike) -> Column:
     """Any timestamp text (or timestamp) as UTC text cut to the millisecond."""
-    moment = strip(as_column(c).cast("string")).try_cast("timestamp")
-    return F.date_format(moment, "yyyy-MM-dd HH:mm:ss.SSS")
+    return F.date_format(strip_text(c).try_cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSS")
 
 
 def day_range(c: ColumnLike, start: str, end: str) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from feedloom.functions._column import ColumnLike, as_column
-from feedloom.functions.text import strip
+from feedloom.functions.text import strip, strip_text
 
 # The words each feed takes for true and false (lower case).
 SHOP_WORDS = {
@@ -62,7 +62,7 @@ def map_value(c: ColumnLike, mapping: Mapping[str, object], default: object = No
 
 def to_bool(c: ColumnLike, words: Mapping[str, bool] = SHOP_WORDS, default: bool | None = None) -> Column:
     """Word to boolean, in any case and with spaces around; unknown words give ``default``."""
-    return map_value(F.lower(strip(as_column(c).cast("string"))), words, default)
+    return map_value(F.lower(strip_text(c)), words, default)
 
 
 def map_channel(c: ColumnLike) -> Column:

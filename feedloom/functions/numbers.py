@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from feedloom.functions._column import ColumnLike, as_column
 from feedloom.functions.text import null_tokens, strip
 
+NUMERALS = "0123456789,.-"
 PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
@@ -23,6 +24,10 @@ def number_text(c: ColumnLike) -> Column:
     Dots count as thousands marks only next to a comma, so ``1.234`` stays 1.234.
     """
     kept = F.regexp_replace(as_column(c), r"[^0-9,.\-]+", "")
+    if isinstance(c, str):
+        # Texts of nothing else are taken as they are.
+        text = F.col(c).cast("string")
+        kept = F.when(F.ltrim(text, F.lit(NUMERALS)) == "", text).otherwise(kept)
     no_marks = F.when(
         F.contains(kept, F.lit(",")), F.replace(kept, F.lit("."), F.lit(""))
     ).otherwise(kept)
@@ -47,7 +52,7 @@ def to_int(c: ColumnLike, ptbr: bool = True) -> Column:
     """Whole number.  ``ptbr`` keeps the digits before the decimal mark; otherwise a
     text with a fraction is not a whole number and gives null."""
     if ptbr:
-        return F.split_part(number_text(c), F.lit("."), F.lit(1)).try_cast("bigint")
+        return F.substring_index(number_text(c), ".", 1).try_cast("bigint")
     text = strip(as_column(c).cast("string"))
     number = _double(text)
     # Through a decimal, so that long identifiers keep all their digits.

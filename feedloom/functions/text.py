@@ -105,8 +105,30 @@ def null_tokens(c: ColumnLike, tokens: Sequence[str]) -> Column:
     return F.get(F.filter(F.array(as_column(c)), lambda text: ~text.isin(*tokens)), F.lit(0))
 
 
+def is_bare(c: ColumnLike) -> Column:
+    """True where the text begins and ends with a visible ASCII character, so that there is nothing to strip.
+
+    Two comparisons of bytes at each end cost a small part of looking for white space there.
+    """
+    text = as_column(c)
+    last = F.substring(text, -1, 1)
+    return (text >= "!") & (text < "\x7f") & (last >= "!") & (last < "\x7f")
+
+
+def strip_text(c: ColumnLike) -> Column:
+    """``strip`` of anything as text; a column, named by its name, is only searched for white space if it is not bare.
+
+    An expression is stripped as it is: every time it were named it would be worked out.
+    """
+    text = as_column(c).cast("string")
+    return F.when(is_bare(text), text).otherwise(strip(text)) if isinstance(c, str) else strip(text)
+
+
 def clean_text(c: ColumnLike, upper: bool = True, missing: Sequence[str] = MISSING_WORDS) -> Column:
     kept = null_tokens(strip(c), missing)
+    if isinstance(c, str):
+        text = F.col(c).cast("string")
+        kept = F.when(is_bare(text), F.when(~text.isin(*missing), text)).otherwise(kept)
     return F.upper(kept) if upper else kept
 
 
