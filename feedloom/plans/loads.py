@@ -21,42 +21,69 @@ from feedloom.plans.ecommerce import read_exports
 from feedloom.plans.facts import build_fact, build_integration, extend_dim, extend_dim_entries
 from feedloom.plans.web_events import event_base
 from feedloom.sinks import full_refresh, swap_partitions, verify_unique
-from feedloom.sinks.versions import ByDay, load_by_key, load_days, load_new, load_upsert, vacuum
+from feedloom.sinks.versions import ByDay, is_small, load_by_key, load_days, load_new, load_upsert, vacuum
 from feedloom.sinks.versions import stage as stage_rows
 from feedloom.specs import tickets as spec
 
 Events = Sequence[str] | DataFrame | None
+# Fixed value: the catalogue's columns that the dimension and the feed show.
+CATALOGUE_USED = ["COD_EVENTO", "PARTIDA", "CAMPEONATO", "DT_EVENTO", "HR_EVENTO"]
 
 
-def load_fact(path: str, stage: DataFrame, people: DataFrame, contracts: DataFrame, events: Events = None) -> DataFrame:
-    """The tickets of the batch's matches give way to the ones staged now."""
-    keys = stage_rows(stage.select("cpf").distinct(), path)
+def load_fact(
+    path: str, stage: DataFrame, people: DataFrame, contracts: DataFrame, events: Events = None,
+    keys: DataFrame | None = None, gathered: bool = False,
+) -> DataFrame:
+    """The tickets of the batch's matches give way to the ones staged now.
+
+    ``keys`` has the tickets' documents, if they have been staged already (``stage_documents``); ``gathered`` says that the
+    tickets are read from files whose rows are gathered by match.
+    """
+    keys = stage_documents(path, stage) if keys is None else keys
     open_ones = people.where(F.col("load_end_date").isNull()).select("cpf", "sk_pessoa", "load_end_date")
     people, contracts = _known(open_ones, keys, path), _known(contracts.select("cpf", "sk_contrato"), keys, path)
+    if is_small(people) and is_small(contracts):
+        fact = build_fact(stage, F.broadcast(people), F.broadcast(contracts), events, ())
+        return load_by_key(fact, path, "sk_partida", gathered=gathered and events is None)
     return load_by_key(build_fact(stage, people, contracts, events, hot_keys(stage, "cpf")), path, "sk_partida")
 
 
+def stage_documents(path: str, stage: DataFrame) -> DataFrame:
+    """The documents of the tickets, computed once for the loads that look them up."""
+    return stage_rows(stage.select("cpf").distinct(), path)
+
+
 def _known(dim: DataFrame, keys: DataFrame, path: str) -> DataFrame:
     """The dimension's rows of the tickets' documents, computed once.
 
-    What is left of a dimension is as a rule small enough for the planner to broadcast, so the wide tickets stay where they are.
+    What is left of a dimension is as a rule small enough to be broadcast, so the wide tickets stay where they are.
     """
     return stage_rows(dim.join(keys, "cpf", "left_semi"), path)
 
 
-def load_integration(path: str, stage: DataFrame, catalogue: DataFrame, people: DataFrame, clients: DataFrame, events: Events = None) -> DataFrame:
-    """The marketing feed's rows of the batch's matches give way to the ones staged now."""
-    keys = stage_rows(stage.select("cpf").distinct(), path)
+def load_integration(
+    path: str, stage: DataFrame, catalogue: DataFrame, people: DataFrame, clients: DataFrame, events: Events = None,
+    keys: DataFrame | None = None, gathered: bool = False,
+) -> DataFrame:
+    """The marketing feed's rows of the batch's matches give way to the ones staged now.
+
+    For ``keys`` and ``gathered`` see ``load_fact``; with the latter the catalogue is read from staged rows as well.
+    """
+    keys = stage_documents(path, stage) if keys is None else keys
     mailed = F.col("load_end_date").isNull() & F.col("email").isNotNull()
     people = _known(people.where(mailed).select("cpf", "nome", "email", "load_end_date"), keys, path)
     clients = _known(clients.where(F.col("email").isNotNull()).select("cpf", "nome", "email"), keys, path)
-    return load_by_key(build_integration(stage, catalogue, people, clients, events, hot_keys(stage, "cpf")), path, "event")
+    if not (is_small(people) and is_small(clients)):
+        return load_by_key(build_integration(stage, catalogue, people, clients, events, hot_keys(stage, "cpf")), path, "event")
+    gathered = gathered and events is None and is_small(catalogue)
+    catalogue = F.broadcast(catalogue) if gathered else catalogue
+    feed = build_integration(stage, catalogue, F.broadcast(people), F.broadcast(clients), events, ())
+    return load_by_key(feed, path, "event", gathered=gathered)
 
 
 def load_dim(path: str, catalogue: DataFrame) -> DataFrame:
     """The match dimension, longer by the catalogue's matches that it lacks."""
-    spark = catalogue.sparkSession
-    empty = spark.createDataFrame([], "sk_partida string, partida string, campeonato string, dthr_partida string")
+    empty = catalogue.select(F.col("COD_EVENTO").alias("sk_partida")).where(F.lit(False))  # the catalogue is not computed for it
     return load_new(extend_dim(catalogue, empty), path, "sk_partida")
 
 
@@ -98,13 +125,19 @@ def load_all(
 ) -> dict[str, DataFrame]:
     """The chain of one run: staged tickets, match dimension, fact, marketing feed.
 
-    ``events`` reprocesses the chosen matches and leaves all others alone.
+    ``events`` reprocesses the chosen matches and leaves all others alone.  The catalogue, the chosen matches, their tickets
+    and the tickets' documents are computed once and read by every load; ``vacuum`` removes them.
     """
+    catalogue = stage_rows(catalogue.select(*CATALOGUE_USED), f"{folder}/dim_partida")
+    if isinstance(events, DataFrame):
+        events = stage_rows(events, f"{folder}/stage")
     chosen = stage if events is None else keep_ids(stage, "cod_evento", events)
     staged = load_by_key(chosen, f"{folder}/stage", "cod_evento")
     dim = load_dim(f"{folder}/dim_partida", catalogue)
-    fact = load_fact(f"{folder}/fact", staged, people, contracts, events)
-    feed = load_integration(f"{folder}/integration", staged, catalogue, people, clients, events)
+    tickets = staged if events is None else stage_rows(keep_ids(staged, "cod_evento", events), f"{folder}/stage")
+    keys = stage_documents(f"{folder}/stage", tickets)
+    fact = load_fact(f"{folder}/fact", tickets, people, contracts, keys=keys, gathered=events is None)
+    feed = load_integration(f"{folder}/integration", tickets, catalogue, people, clients, keys=keys, gathered=events is None)
     for name in ("stage", "dim_partida", "fact", "integration"):
         vacuum(staged.sparkSession, f"{folder}/{name}")
     return {"stage": staged, "dim_partida": dim, "fact": fact, "integration": feed}

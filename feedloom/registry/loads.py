@@ -104,8 +104,9 @@ def load_web_day(t):
 
 @query("load_all", ORACLE["load_fact"])
 def load_all(t):
-    """The chain, then the matches of chosen days again; the fact of the last run."""
-    folder, catalogue = work_path(t.spark, "chain"), feeds.catalogue_in(t)
+    """The chain, then the matches of chosen days again; the fact of the last run.  The catalogue is computed once."""
+    folder = work_path(t.spark, "chain")
+    catalogue = versions.stage(feeds.catalogue_in(t), folder)
     inputs = (_stage(t), catalogue, _people(t), feeds._contracts(t), feeds._shop_clients(t))
     plans.load_all(folder, *inputs)
     days = plans.events_of_dates(catalogue, ["1995-03-01", "1996-07-14"])

@@ -33,10 +33,11 @@ from feedloom.sinks.merge import merge_upsert, outside_window
 
 DATA, MANIFESTS, VERSIONS, STAGED = "data", "_manifests", "_versions", "_staged"
 BUCKETS = 1 << 15
-FEW_KEYS = 8 << 20  # bytes of a file of keys that are broadcast
+FEW_KEYS = 8 << 20  # bytes of the files of staged rows that are broadcast
 ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
 OPEN_COST, WHOLE_FILES = "spark.sql.files.openCostInBytes", str(1 << 40)  # so that no task reads two files
 MANIFEST = "file string, rows bigint, buckets array<int>"
+FILE_PATH = "_metadata.file_path"
 
 
 class Conflict(RuntimeError):
@@ -110,6 +111,11 @@ def _rows(spark: SparkSession, path: str, schema: T.StructType, files: Sequence[
     return spark.read.schema(schema).parquet(*[f"{path}/{file}" for file in files])
 
 
+def _file(location: str) -> Column:
+    """A file's name in the list, from where it lies."""
+    return F.regexp_extract(location, f"({DATA}/[^/]+/[^/]+)$", 1)
+
+
 def _named(files: DataFrame) -> list[str]:
     # The names of files only, which the reader needs on the driver in any case.
     return sorted(row["file"] for row in files.select("file").collect())
@@ -164,7 +170,7 @@ def write_rest(spark: SparkSession, path: str, at: Version, files: Sequence[str]
     """
     folder = f"{DATA}/{uuid4().hex}"
     rows = _rows(spark, path, at.schema, files)
-    if _bytes(keys) <= FEW_KEYS:
+    if is_small(keys):
         _written(rows.join(F.broadcast(keys), by.key, "left_anti").select(*at.schema.names), f"{path}/{folder}", max_rows)
         return folder
     rows, keys = (frame.withColumn("_bucket", by.bucket()).repartition("_bucket") for frame in (rows, keys))
@@ -178,6 +184,11 @@ def write_rest(spark: SparkSession, path: str, at: Version, files: Sequence[str]
     return folder
 
 
+def is_small(staged: DataFrame) -> bool:
+    """Whether staged rows are few enough to be broadcast."""
+    return _bytes(staged) <= FEW_KEYS
+
+
 def _bytes(staged: DataFrame) -> int:
     spark = staged.sparkSession
     return sum(_files(spark, file)[0].getFileStatus(_files(spark, file)[1]).getLen() for file in staged.inputFiles())
@@ -196,9 +207,10 @@ def write_manifest(spark: SparkSession, path: str, kept: DataFrame | None, folde
     parts = [] if kept is None else [kept.select("file", "rows", "buckets")]
     if folders:
         found = spark.read.schema(schema).parquet(*[f"{path}/{f}" for f in folders])
-        file = F.regexp_extract("_metadata.file_path", f"({DATA}/[^/]+/[^/]+)$", 1)
-        counted = found.select(file.alias("file"), by.bucket().alias("bucket")).groupBy("file")
-        parts.append(counted.agg(F.count(F.lit(1)).alias("rows"), F.collect_set("bucket").alias("buckets")))
+        # Rows are counted per bucket of a file first; sets of buckets and names are made of what is left.
+        placed = found.select(F.col(FILE_PATH).alias("_path"), by.bucket().alias("bucket")).groupBy("_path", "bucket")
+        counted = placed.agg(F.count(F.lit(1)).alias("rows")).groupBy(_file("_path").alias("file"))
+        parts.append(counted.agg(F.sum("rows").alias("rows"), F.collect_set("bucket").alias("buckets")))
     listed = parts[0].union(parts[1]) if len(parts) == 2 else parts[0] if parts else spark.createDataFrame([], MANIFEST)
     listed.coalesce(1).write.parquet(f"{path}/{folder}")
     return folder
@@ -268,9 +280,9 @@ def holding(spark: SparkSession, path: str, at: Version, keys: DataFrame, key: s
     near = sharing(spark, path, at, keys, ByKey(key))
     if not near:
         return []
-    file = F.regexp_extract("_metadata.file_path", f"({DATA}/[^/]+/[^/]+)$", 1)
-    held = _rows(spark, path, at.schema, near).select(F.col(key), file.alias("file"))
-    return _named(held.join(keys.select(key).distinct(), key, "left_semi").select("file").distinct())
+    held = _rows(spark, path, at.schema, near).select(F.col(key), F.col(FILE_PATH).alias("_path"))
+    found = held.join(keys.select(key).distinct(), key, "left_semi").select("_path").distinct()
+    return _named(found.select(_file("_path").alias("file")))
 
 
 def _without(spark: SparkSession, path: str, at: Version, files: Sequence[str]) -> DataFrame:
@@ -296,14 +308,15 @@ def _load(batch: DataFrame, path: str, key: str, max_rows: int, first: Callable,
     return _publish(spark, path, base, _without(spark, path, base, files), [write_rows(made, path, by, max_rows)], base.schema, by)
 
 
-def load_by_key(batch: DataFrame, path: str, key: str, max_rows: int = 0) -> DataFrame:
+def load_by_key(batch: DataFrame, path: str, key: str, max_rows: int = 0, gathered: bool = False) -> DataFrame:
     """Rows whose key is in the batch give way to the batch.
 
-    The batch's own files become the table's; only other rows of touched files are written once more.
+    The batch's own files become the table's; only other rows of touched files are written once more.  ``gathered`` says
+    that the batch is read, without a shuffle, from files whose rows are gathered by the same key.
     """
     spark, by = batch.sparkSession, ByKey(key)
     base = version(spark, path)
-    fresh = write_rows(_aligned(batch, base), path, by, max_rows)
+    fresh = write_rows(_aligned(batch, base), path, by, max_rows, gathered)
     if base is None:
         return _publish(spark, path, None, None, [fresh], _plain(batch.schema), by)
     keys = stage(spark.read.schema(base.schema).parquet(f"{path}/{fresh}").select(key).distinct(), path)
