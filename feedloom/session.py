@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 # by map output, whatever its rows hold.  Broadcasts are left to the planner and
 # its size threshold; the library gives no broadcast hint of unproven size.
 # A join that filters one side lets the other be filtered before it is shuffled, at any size.
+# The JVM compiles no method of over 8,000 bytes of code; a stage that would be generated as one, the catalogue's for
+# one, is run operator by operator instead, since its method would be interpreted row by row.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -20,6 +22,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "64MB",
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -80,3 +80,14 @@ def test_the_list_names_rows_and_buckets_of_files(spark, tmp_path, by):
     for r in listed:
         held = spark.read.schema(frame.schema).parquet(f"{path}/{r['file']}").select(by.bucket().alias("b")).collect()
         assert (r["rows"], sorted(r["buckets"])) == (len(held), sorted({h["b"] for h in held}))
+
+
+def test_no_stage_is_generated_as_a_method_that_the_jvm_does_not_compile(spark):
+    """A stage whose code is longer is run operator by operator, with the same rows."""
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) == 8000
+    events = spark.range(60).selectExpr(
+        "CAST(id AS STRING) AS event_id", "concat(lpad(1 + id % 9, 2, '0'), '/03/2024') AS event_date", "'16:00' AS event_time", "'Ação x B' AS `match`",
+        "if(id % 3 = 0, 'Outro', ' maracanã ') AS stadium", "if(id % 5 = 0, 'nbb', 'Copa') AS championship", *[f"'x' AS {c}" for c in ("sales_start_date", "sales_start_time", "public_sale_start_date", "public_sale_start_time", "sales_end")],
+    )
+    found = plans.clean_events(events).select("COD_EVENTO", "DT_EVENTO", "PARTIDA")
+    assert rows(found) == sorted((str(i), f"2024-03-{1 + i % 9:02d}", "ACAO X B") for i in range(60) if i % 3 and i % 5)
